@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.operators.ordered import GROUP_LIMIT
+from ledgerline.operators.ordered import GROUP_LIMIT, large_groups
 
 #: Rows up to which a lookup side may be copied to every executor.
 BROADCAST_ROWS = 500_000
@@ -35,11 +35,11 @@ def spread_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("spread_join supports inner and left joins")
-    sizes = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > limit).select(*on, F.lit(True).alias("_hot"))
-    # At most (all rows / limit) keys can be large, which bounds this broadcast.
-    if hot.limit(1).isEmpty():
+    keys = large_groups(left, on, limit).collect()
+    if not keys:
         return left.join(right, list(on), how)
+    # At most about (all rows / limit) keys are large, which bounds this broadcast.
+    hot = left.sparkSession.createDataFrame(keys, left.select(*on).schema).withColumn("_hot", F.lit(True))
     hot = F.broadcast(hot)
     row = F.xxhash64(*[F.col(c) for c in left.columns])
     salted_left = left.join(hot, list(on), "left").withColumn(

@@ -20,10 +20,26 @@ from ledgerline.workspace import materialize
 GROUP_LIMIT = 2_000_000
 
 
+#: Rows of a group at the limit that the size estimate should see.
+_SEEN = 1_000
+
+
+def large_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame:
+    """Keys with about ``limit`` rows or more.
+
+    The sizes are estimated from a sample of the key columns: they choose how the
+    work is spread, never which rows take part. At most about (rows / limit)
+    keys can come back.
+    """
+    fraction = min(1.0, _SEEN / limit)
+    seen = df.select(*keys)
+    seen = seen.sample(fraction=fraction, seed=11) if fraction < 1.0 else seen
+    sizes = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.filter(F.col("_n") > limit * fraction).select(*keys)
+
+
 def has_large_group(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> bool:
-    """Whether any group exceeds ``limit`` rows. Counts are combined before the shuffle."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return not sizes.filter(F.col("_n") > limit).limit(1).isEmpty()
+    return not large_groups(df, keys, limit).isEmpty()
 
 
 def _struct(cols: Mapping[str, Column]) -> Column:
