@@ -1,4 +1,4 @@
 """The queries of the library on the given tables."""
 
-from workload import reports  # noqa: F401
+from workload import history, reports, shape  # noqa: F401
 from workload.registry import QUERIES, SQL  # noqa: F401
