@@ -94,10 +94,13 @@ def _compare(asked: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
             for queries, points in zip(batch["queries"], batch["points"]):
                 ids = np.array([p["id"] for p in points], dtype=np.int64)
                 matrix = np.array([p["v"] for p in points], dtype=np.float64)
+                found = []
                 for query in queries:
                     far = ((matrix - np.asarray(query["v"], dtype=np.float64)) ** 2).sum(axis=1)
                     best = np.lexsort((ids, far))[:k]
-                    yield pd.DataFrame({"q": query["id"], "p": ids[best], "distance": far[best]})
+                    found.append((np.full(len(best), query["id"]), ids[best], far[best]))
+                q, p, distance = (np.concatenate(part) for part in zip(*found))
+                yield pd.DataFrame({"q": q, "p": p, "distance": distance})
 
     packed = _blocks(asked.select("id", "v", "list"), BLOCK, "queries")
     joined = packed.join(blocks, "list").select("queries", "points")

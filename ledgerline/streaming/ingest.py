@@ -16,7 +16,7 @@ def file_stream(
     fmt: str = "parquet",
     *,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """New files of a directory as a stream; subdirectories are data, not partitions."""
@@ -39,7 +39,7 @@ def with_lineage(stream: DataFrame) -> DataFrame:
 
 
 def table_stream(
-    spark: SparkSession, path: str, schema: StructType | str, where: Column | None = None, max_bytes: str | None = None
+    spark: SparkSession, path: str, schema: StructType | str, where: Column | None = None, max_bytes: int | None = None
 ) -> DataFrame:
     """A stored table as a stream, limited by bytes per micro-batch, filtered at the scan."""
     stream = file_stream(spark, path, schema, max_bytes=max_bytes)
