@@ -174,12 +174,10 @@ def session_arrays(spark, sf):
         part = lambda i: F.concat_ws(":", F.col("o_orderkey").cast("string"), i.cast("string"))
         return F.transform(F.sequence(F.lit(1), F.lit(20)), lambda i: hash_index(part(i), salt, size) + least)
 
-    arrays = table(spark, sf, "orders").select(
+    arrays = stage.spread(table(spark, sf, "orders").select("o_orderkey")).select(
         "o_orderkey", values("gap", 8, 0).alias("gap"), values("duration", 50, 5).alias("duration")
     )
-    timed = timeline.expand_sessions(
-        arrays, ["o_orderkey"], base=F.lit(1727740800), gaps="gap", durations="duration"
-    )
+    timed = timeline.expand_sessions(arrays, base=F.lit(1727740800), gaps="gap", durations="duration")
     return timed.drop("gap")
 
 
@@ -217,7 +215,7 @@ _PLACES_SQL = f"""
     FROM (SELECT *, unnest(range(1, 41)) AS copy FROM ({_PLACES_SQL}))
 """)
 def scatter_points(spark, sf):
-    places = stage.coordinates(table(spark, sf, "customer").select("c_custkey"), "c_custkey")
+    places = stage.coordinates(stage.spread(table(spark, sf, "customer").select("c_custkey")), "c_custkey")
     points = geography.scatter(places, F.col("c_custkey"), copies=40, km=2.0, lat="lat", lon="lon")
     return points.select("c_custkey", "copy", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"))
 

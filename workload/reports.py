@@ -102,7 +102,7 @@ def _locations(spark, sf):
     addresses = stage.coordinates(stage.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id")), "id")
     addresses = addresses.withColumnsRenamed({"lat": "lat_res", "lon": "lon_res"})
     clients = stage.customers(spark, sf).select("nu_doct", "nu_tlfn")
-    return assign_locations(clients, addresses, F.col("nu_doct"), "id")
+    return assign_locations(clients, addresses, F.col("nu_doct"), "id").select("nu_tlfn", "id", "lat_res", "lon_res")
 
 
 @query("home_locations", f"""
@@ -120,7 +120,8 @@ def home_locations(spark, sf):
     FROM ({PERFORMANCE_SQL}) p LEFT JOIN ({_LOCATIONS_SQL}) l ON p.nu_tlfn = l.nu_tlfn GROUP BY 1, 2, 3
 """)
 def revenue_by_location(spark, sf):
-    return reports.revenue_by_location(_performance(spark, sf), _locations(spark, sf)).select(
+    locations = stage.stored(spark, sf, "locations", lambda: _locations(spark, sf))
+    return reports.revenue_by_location(_performance(spark, sf), locations).select(
         "categoria_cliente", F.round("lat_res", 9).alias("lat_res"), F.round("lon_res", 9).alias("lon_res"),
         F.col("TOTAL_REVENUE").cast("double").alias("TOTAL_REVENUE"),
     )

@@ -11,7 +11,15 @@ from ledgerline.plans import calendar, star
 from ledgerline.workspace import materialize, new_dir
 
 SEGMENT_CODES = {"AUTOMOBILE": "P", "BUILDING": "S", "FURNITURE": "G", "HOUSEHOLD": "PL", "MACHINERY": "V"}
-_FACTS: dict[tuple[str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """Write a derived table once per session; dimensions and facts are stored tables to the reports."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORED:
+        _STORED[key] = materialize(build(), name)
+    return _STORED[key]
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -42,17 +50,20 @@ def with_closed_versions(rows: DataFrame) -> DataFrame:
 
 
 def dim_customer(spark: SparkSession, sf: str) -> DataFrame:
-    return star.dimension(with_closed_versions(customers(spark, sf)), ["nu_doct"], "SK_DIM_CUSTOMER")
+    return stored(spark, sf, "dim-customer", lambda: star.dimension(
+        with_closed_versions(customers(spark, sf)), ["nu_doct"], "SK_DIM_CUSTOMER"))
 
 
 def dim_product(spark: SparkSession, sf: str) -> DataFrame:
     """Products of the invoices: one per type and brand."""
     kinds = table(spark, sf, "part").select(F.col("p_type").alias("ds_prdt"), F.col("p_brand").alias("ds_plno"))
-    return star.dimension(with_closed_versions(kinds.distinct()), ["ds_prdt", "ds_plno"], "SK_DIM_PRODUCT")
+    return stored(spark, sf, "dim-product", lambda: star.dimension(
+        with_closed_versions(kinds.distinct()), ["ds_prdt", "ds_plno"], "SK_DIM_PRODUCT"))
 
 
 def dim_date(spark: SparkSession, sf: str) -> DataFrame:
-    return calendar.calendar(calendar.date_range_of(table(spark, sf, "orders"), "o_orderdate"))
+    return stored(spark, sf, "dim-date", lambda: calendar.calendar(
+        calendar.date_range_of(table(spark, sf, "orders"), "o_orderdate")))
 
 
 def invoices(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,14 +92,8 @@ def invoices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact_invoicing(spark: SparkSession, sf: str) -> DataFrame:
-    """The stored invoice fact; written once per session, as the reports expect a table."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FACTS:
-        fact = star.invoice_fact(
-            invoices(spark, sf), dim_date(spark, sf), dim_customer(spark, sf), dim_product(spark, sf)
-        )
-        _FACTS[key] = materialize(fact, "fact-invoicing")
-    return _FACTS[key]
+    return stored(spark, sf, "fact-invoicing", lambda: star.invoice_fact(
+        invoices(spark, sf), dim_date(spark, sf), dim_customer(spark, sf), dim_product(spark, sf)))
 
 
 def coordinates(df: DataFrame, key: str) -> DataFrame:
@@ -101,6 +106,11 @@ def coordinates(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread narrow rows evenly before each of them becomes many (the test tables are single files)."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def land(df: DataFrame, spark: SparkSession, label: str, files: int = 4) -> str:
     """Write ``df`` as files of a landing directory and return its path."""
     path = new_dir(spark, label)
