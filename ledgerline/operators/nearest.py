@@ -106,14 +106,16 @@ def knn_join(
     asked = queries.select(
         F.col(query_id).alias("_q"), F.col(x).cast("double").alias("_qx"), F.col(y).cast("double").alias("_qy")
     ).filter("_qx is not null and _qy is not null")
-    frontier = asked.withColumn("_parent", F.lit(0).cast("bigint"))
-    level = 0
-    while level < DEEPEST:
-        level += STEP
-        cells = _pyramid_level(places, level)
-        frontier = _keep_useful(_descend(frontier, cells), k)
+    # The first level has at most 4**STEP cells: every query carries them as one array.
+    cells = _pyramid_level(places, STEP).drop("_parent")
+    first = cells.agg(F.collect_list(F.struct(*cells.columns)).alias("_cells"))
+    frontier = _keep_useful(asked.withColumn("_cells", first.scalar()).select("*", F.inline("_cells")), k)
+    for level in range(2 * STEP, DEEPEST + 1, STEP):
         if cells.agg(F.max("_n")).first()[0] <= leaf_points:
+            level -= STEP
             break
+        cells = _pyramid_level(places, level)
+        frontier = _keep_useful(_descend(frontier, cells), k)
 
     leaves = places.select(_cell(level).alias("_parent"), "_p", "_x", "_y")
     pairs = _descend(frontier, leaves)
