@@ -166,7 +166,7 @@ def scd2_history(
         F.max_by(F.struct(*content), _newest_first(content, F.col(SEQUENCE))).alias("_c")
     ).select(*keys, START, "_c.*")
     if split is None:
-        split = has_large_group(single, keys, limit)
+        split = has_large_group(log, keys, limit)  # counts copies too, so it errs on the safe side
 
     mark = F.struct(F.col(DELETED), *[F.when(~F.col(DELETED), F.col(c)).alias(c) for c in tracked])
     marked = ordered_columns(

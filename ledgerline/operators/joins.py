@@ -5,16 +5,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
 from ledgerline.operators.ordered import GROUP_LIMIT, large_groups
 
-#: Rows up to which a lookup side may be copied to every executor.
+#: Rows and bytes up to which a lookup side may be copied to every executor.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 128 * 2**20
+_FIXED_WIDTH = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``max_rows + 1`` rows of ``df`` and compare with the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Measure at most ``max_rows + 1`` rows of ``df`` and compare with both bounds."""
+    width = F.lit(0)
+    for field in df.schema:
+        if isinstance(field.dataType, _FIXED_WIDTH):
+            width = width + 8
+        else:
+            width = width + F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def spread_join(

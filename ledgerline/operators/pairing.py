@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.functions.hashing import hash_index
-from ledgerline.operators.joins import lookup_join
+from ledgerline.operators.joins import lookup_join, spread_join
 from ledgerline.operators.ordered import ordered_columns
 
 
@@ -71,5 +71,5 @@ def expand_schedule(df: DataFrame, templates: DataFrame, max_templates: int = 10
     )
     count = chunks.agg(F.max("_chunk").alias("m"))
     copies = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), count.scalar())))
-    joined = copies.join(chunks, "_chunk").withColumn("_t", F.explode("_a"))
+    joined = spread_join(copies, chunks, ["_chunk"]).withColumn("_t", F.explode("_a"))
     return joined.select(*df.columns, "_t.*")

@@ -53,19 +53,24 @@ def session_times(
     )
 
 
-@F.arrow_udf(ArrayType(LongType()))
-def _offsets(gaps: pa.Array, durations: pa.Array) -> pa.Array:
+def _offsets(gaps: Column, durations: Column) -> Column:
     """Start of each session relative to the base: one cumulative sum per batch of
     arrays, less its value where each array begins."""
-    bounds, other = gaps.offsets.to_numpy(), durations.offsets.to_numpy()
-    if not np.array_equal(np.diff(bounds), np.diff(other)):
-        raise ValueError("gap and duration arrays must have the same length in every row")
-    gap = pc.fill_null(gaps.flatten(), 0).to_numpy(zero_copy_only=False)
-    duration = pc.fill_null(durations.flatten(), 0).to_numpy(zero_copy_only=False)
-    total = np.concatenate([[0], np.cumsum(gap + duration)])
-    bounds = bounds - bounds[0]
-    start = total[:-1] + gap - np.repeat(total[bounds[:-1]], np.diff(bounds))
-    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(start, pa.int64()))
+
+    # Nested, so that it is shipped whole and executors need not have this package.
+    @F.arrow_udf(ArrayType(LongType()))
+    def offsets(gaps: pa.Array, durations: pa.Array) -> pa.Array:
+        bounds, other = gaps.offsets.to_numpy(), durations.offsets.to_numpy()
+        if not np.array_equal(np.diff(bounds), np.diff(other)):
+            raise ValueError("gap and duration arrays must have the same length in every row")
+        gap = pc.fill_null(gaps.flatten(), 0).to_numpy(zero_copy_only=False)
+        duration = pc.fill_null(durations.flatten(), 0).to_numpy(zero_copy_only=False)
+        total = np.concatenate([[0], np.cumsum(gap + duration)])
+        bounds = bounds - bounds[0]
+        start = total[:-1] + gap - np.repeat(total[bounds[:-1]], np.diff(bounds))
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(start, pa.int64()))
+
+    return offsets(gaps.cast("array<bigint>"), durations.cast("array<bigint>"))
 
 
 def expand_sessions(
@@ -78,7 +83,7 @@ def expand_sessions(
     of the time. A missing gap or duration counts as zero.
     """
     arrays = df.filter(F.col(gaps).isNotNull() & F.col(durations).isNotNull()).withColumn(
-        "start_at", _offsets(F.col(gaps).cast("array<bigint>"), F.col(durations).cast("array<bigint>"))
+        "start_at", _offsets(F.col(gaps), F.col(durations))
     )
     rows = zip_explode(arrays, [gaps, durations, "start_at", *others], "session")
     return rows.withColumn("start_at", F.col("start_at") + base).withColumn(

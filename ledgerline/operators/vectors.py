@@ -12,15 +12,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from ledgerline.operators.joins import spread_join
 from ledgerline.workspace import materialize
 
 #: Vectors per block.
 BLOCK = 512
+#: Query blocks of one list that may be compared in a single task.
+QUERY_BLOCKS = 32
 
 
 def train_centres(points: DataFrame, vector: str, lists: int, seed: int = 7, iterations: int = 5) -> np.ndarray:
@@ -30,13 +34,8 @@ def train_centres(points: DataFrame, vector: str, lists: int, seed: int = 7, ite
     return np.array(model.clusterCenters(), dtype=np.float64)
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.float64)
-
-
-def _centre_distances(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.stack([np.sqrt(((vectors - c) ** 2).sum(axis=1)) for c in centres], axis=1)
-
+# Functions that run in tasks are nested, so they are shipped whole and the
+# executors need not have this package installed.
 
 def _assign(df: DataFrame, centres: np.ndarray, count: int) -> DataFrame:
     """The ``count`` nearest lists of every vector, with the distance to their centre."""
@@ -45,7 +44,8 @@ def _assign(df: DataFrame, centres: np.ndarray, count: int) -> DataFrame:
         for batch in batches:
             if len(batch) == 0:
                 continue
-            far = _centre_distances(_matrix(batch["v"]), centres)
+            matrix = np.stack(batch["v"].to_numpy()).astype(np.float64)
+            far = np.stack([np.sqrt(((matrix - c) ** 2).sum(axis=1)) for c in centres], axis=1)
             order = np.argsort(far, axis=1, kind="stable")[:, :count]
             rows = np.repeat(np.arange(len(batch)), order.shape[1])
             out = batch.iloc[rows].reset_index(drop=True)
@@ -63,7 +63,8 @@ def _further_lists(df: DataFrame, centres: np.ndarray, radii: np.ndarray, probes
         for batch in batches:
             if len(batch) == 0:
                 continue
-            far = _centre_distances(_matrix(batch["v"]), centres)
+            matrix = np.stack(batch["v"].to_numpy()).astype(np.float64)
+            far = np.stack([np.sqrt(((matrix - c) ** 2).sum(axis=1)) for c in centres], axis=1)
             order = np.argsort(far, axis=1, kind="stable")
             visited = np.zeros(far.shape, dtype=bool)
             np.put_along_axis(visited, order[:, :probes], True, axis=1)
@@ -78,33 +79,44 @@ def _further_lists(df: DataFrame, centres: np.ndarray, radii: np.ndarray, probes
 
 
 def _blocks(df: DataFrame, size: int, name: str) -> DataFrame:
-    """Pack the members of each list into blocks of about ``size`` by a hash of their id."""
+    """Pack the members of each list into blocks of about ``size`` by a hash of their id.
+
+    A block is an array of ids and one flat array of all vector components.
+    """
     counts = df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / size).alias("parts"))
     # One row per list: bounded by the number of centres.
     parted = df.join(F.broadcast(counts), "list")
     part = F.pmod(F.xxhash64("id"), F.col("parts")).alias("part")
-    return parted.groupBy("list", part).agg(F.collect_list(F.struct("id", "v")).alias(name)).drop("part")
+    packed = parted.groupBy("list", part).agg(F.collect_list(F.struct("id", "v")).alias("b"))
+    return packed.select(
+        "list", F.col("b.id").alias(f"{name}_ids"), F.flatten(F.col("b.v")).alias(f"{name}_values")
+    )
 
 
 def _compare(asked: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
     """k best rows per query and block."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def unpack(batch: pa.RecordBatch, name: str, row: int) -> tuple[np.ndarray, np.ndarray]:
+            ids = batch.column(f"{name}_ids")[row].values.to_numpy()
+            values = batch.column(f"{name}_values")[row].values.to_numpy()
+            return ids, values.reshape(len(ids), -1).astype(np.float64)
+
         for batch in batches:
-            for queries, points in zip(batch["queries"], batch["points"]):
-                ids = np.array([p["id"] for p in points], dtype=np.int64)
-                matrix = np.array([p["v"] for p in points], dtype=np.float64)
+            for row in range(batch.num_rows):
+                asked_ids, asked_rows = unpack(batch, "queries", row)
+                ids, matrix = unpack(batch, "points", row)
                 found = []
-                for query in queries:
-                    far = ((matrix - np.asarray(query["v"], dtype=np.float64)) ** 2).sum(axis=1)
+                for query, vector in zip(asked_ids, asked_rows):
+                    far = ((matrix - vector) ** 2).sum(axis=1)
                     best = np.lexsort((ids, far))[:k]
-                    found.append((np.full(len(best), query["id"]), ids[best], far[best]))
-                q, p, distance = (np.concatenate(part) for part in zip(*found))
-                yield pd.DataFrame({"q": q, "p": p, "distance": distance})
+                    found.append((np.full(len(best), query), ids[best], far[best]))
+                columns = [pa.array(np.concatenate(part)) for part in zip(*found)]
+                yield pa.RecordBatch.from_arrays(columns, names=["q", "p", "distance"])
 
-    packed = _blocks(asked.select("id", "v", "list"), BLOCK, "queries")
-    joined = packed.join(blocks, "list").select("queries", "points")
-    return joined.mapInPandas(run, "q long, p long, distance double")
+    packed = materialize(_blocks(asked.select("id", "v", "list"), BLOCK, "queries"), "asked")
+    joined = spread_join(packed, blocks, ["list"], limit=QUERY_BLOCKS).drop("list")
+    return joined.mapInArrow(run, "q long, p long, distance double")
 
 
 def _best(pairs: DataFrame, k: int) -> DataFrame:
@@ -130,7 +142,10 @@ def knn_vectors(
     """
     named = lambda df: df.select(F.col(id).alias("id"), F.col(vector).alias("v"))
     centres = train_centres(points, vector, lists)
-    members = materialize(_assign(named(points), centres, 1), "lists")
+    # Of points with equal vectors no query needs more than k.
+    copies = Window.partitionBy("v").orderBy("id")
+    searched = named(points).withColumn("rn", F.row_number().over(copies)).filter(F.col("rn") <= k).drop("rn")
+    members = materialize(_assign(searched, centres, 1), "lists")
     blocks = materialize(_blocks(members.select("id", "v", "list"), BLOCK, "points"), "blocks")
     first = _compare(_assign(named(queries), centres, probes), blocks, k)
     if not exact:
