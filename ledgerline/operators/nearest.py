@@ -16,7 +16,7 @@ from ledgerline.operators.joins import fits_broadcast, spread_join
 from ledgerline.workspace import materialize
 
 #: Halvings per step; one cell has up to 4**STEP children.
-STEP = 3
+STEP = 2
 DEEPEST = 24
 
 
@@ -51,14 +51,16 @@ def _keep_useful(frontier: DataFrame, k: int) -> DataFrame:
     nx, fx = _gap(F.col("_qx"), F.col("_x0"), F.col("_x1"))
     ny, fy = _gap(F.col("_qy"), F.col("_y0"), F.col("_y1"))
     measured = frontier.withColumns({"_near": nx * nx + ny * ny, "_far": fx * fx + fy * fy})
+    # The bound of the level above already excludes most children, before any sorting.
+    measured = measured.filter(F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound")))
     per_query = Window.partitionBy("_q")
     upto = per_query.orderBy("_far", "_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = measured.withColumn("_seen", F.sum("_n").over(upto))
     bound = F.min(F.when(F.col("_seen") >= k, F.col("_far"))).over(per_query)
     return (
-        reached.withColumn("_bound", bound)
+        reached.withColumn("_bound", F.least("_bound", bound))
         .filter(F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound")))
-        .select("_q", "_qx", "_qy", F.col("_cell").alias("_parent"))
+        .select("_q", "_qx", "_qy", "_bound", F.col("_cell").alias("_parent"))
     )
 
 
@@ -78,7 +80,7 @@ def knn_join(
     point_id: str,
     x: str = "lat",
     y: str = "lon",
-    leaf_points: int = 64,
+    leaf_points: int = 32,
 ) -> DataFrame:
     """For every query its k nearest points by squared distance; ties go to the smaller id.
 
@@ -109,7 +111,8 @@ def knn_join(
     # The first level has at most 4**STEP cells: every query carries them as one array.
     cells = _pyramid_level(places, STEP).drop("_parent")
     first = cells.agg(F.collect_list(F.struct(*cells.columns)).alias("_cells"))
-    frontier = _keep_useful(asked.withColumn("_cells", first.scalar()).select("*", F.inline("_cells")), k)
+    asked = asked.withColumns({"_bound": F.lit(None).cast("double"), "_cells": first.scalar()})
+    frontier = _keep_useful(asked.select("*", F.inline("_cells")), k)
     for level in range(2 * STEP, DEEPEST + 1, STEP):
         if cells.agg(F.max("_n")).first()[0] <= leaf_points:
             level -= STEP
@@ -123,6 +126,7 @@ def knn_join(
     nearest = Window.partitionBy("_q").orderBy("distance", "_p")
     return (
         pairs.withColumn("distance", dx * dx + dy * dy)
+        .filter(F.col("_bound").isNull() | (F.col("distance") <= F.col("_bound")))
         .withColumn("rank", F.row_number().over(nearest))
         .filter(F.col("rank") <= k)
         .select(F.col("_q").alias(query_id), F.col("_p").alias(point_id), "distance", "rank")

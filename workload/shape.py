@@ -304,16 +304,15 @@ def assign_numbers(spark, sf):
 
 
 _ALNUM = "'0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
+_LETTERS = " || ".join(f"substr({_ALNUM}, CAST((k // 1000000 // {36**i}) % 36 + 1 AS INTEGER), 1)" for i in range(6, -1, -1))
 
 
 @query("assign_codes", f"""
-    SELECT k AS o_orderkey, substr({_ALNUM}, CAST((k // 1000 // 1296) % 36 + 1 AS INTEGER), 1)
-           || substr({_ALNUM}, CAST((k // 1000 // 36) % 36 + 1 AS INTEGER), 1)
-           || substr({_ALNUM}, CAST((k // 1000) % 36 + 1 AS INTEGER), 1) || '-' || lpad(CAST(k % 1000 AS VARCHAR), 3, '0') AS code
+    SELECT k AS o_orderkey, {_LETTERS} || '-' || lpad(CAST(k % 1000000 AS VARCHAR), 6, '0') AS code
     FROM (SELECT o_orderkey AS k FROM orders)
 """)
 def assign_codes(spark, sf):
-    return table(spark, sf, "orders").select("o_orderkey", assign.code(F.col("o_orderkey"), "KKK-ddd").alias("code"))
+    return table(spark, sf, "orders").select("o_orderkey", assign.code(F.col("o_orderkey"), "KKKKKKK-dddddd").alias("code"))
 
 
 @query("seeded_sample", f"SELECT o_orderkey, o_totalprice FROM orders WHERE {unit_sql('o_orderkey', 'sample')} < 0.1")
