@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
-from ledgerline.operators.ordered import GROUP_LIMIT, large_groups
+from ledgerline.operators.ordered import GROUP_LIMIT, large_groups, row_hash
 
 #: Rows and bytes up to which a lookup side may be copied to every executor.
 BROADCAST_ROWS = 500_000
@@ -51,10 +51,8 @@ def spread_join(
     # At most about (all rows / limit) keys are large, which bounds this broadcast.
     hot = left.sparkSession.createDataFrame(keys, left.select(*on).schema).withColumn("_hot", F.lit(True))
     hot = F.broadcast(hot)
-    row = F.xxhash64(*[F.col(c) for c in left.columns])
-    salted_left = left.join(hot, list(on), "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(row, F.lit(pieces)).cast("int")).otherwise(0)
-    )
+    salt = F.pmod(row_hash(left), F.lit(pieces)).cast("int")
+    salted_left = left.join(hot, list(on), "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0))
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0)))
     salted_right = right.join(hot, list(on), "left").withColumn("_salt", F.explode(salts))
     return salted_left.drop("_hot").join(salted_right.drop("_hot"), [*on, "_salt"], how).drop("_salt")
@@ -68,14 +66,16 @@ def lookup_join(
     *,
     max_rows: int = BROADCAST_ROWS,
     limit: int = GROUP_LIMIT,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join a big frame to a lookup table.
 
     The lookup is broadcast when a count shows that it is small enough; beyond
     that the join is a shuffle join with salted large keys. A streaming fact
     cannot be counted up front, so there Spark's own size estimate decides.
+    ``small`` passes on an earlier measurement of the same lookup.
     """
-    if fits_broadcast(dim, max_rows):
+    if fits_broadcast(dim, max_rows) if small is None else small:
         return fact.join(F.broadcast(dim), list(on), how)
     if fact.isStreaming:
         return fact.join(dim, list(on), how)

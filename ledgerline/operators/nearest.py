@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from ledgerline.operators.joins import fits_broadcast, spread_join
+from ledgerline.operators.joins import BROADCAST_ROWS, spread_join
 from ledgerline.workspace import materialize
 
-#: Halvings per step; one cell has up to 4**STEP children.
+#: Halvings of the first level, and of each further step: a cell has up to 4**STEP children.
+FIRST = 3
 STEP = 2
-DEEPEST = 24
+DEEPEST = 23
 
 
 def _cell(level: int, depth: int = DEEPEST) -> Column:
@@ -64,11 +65,12 @@ def _keep_useful(frontier: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _descend(frontier: DataFrame, cells: DataFrame) -> DataFrame:
-    """Attach child rows; broadcast a counted small table, else join with salted large cells."""
-    if fits_broadcast(cells):
-        return frontier.join(F.broadcast(cells), "_parent")
-    return spread_join(materialize(frontier, "frontier"), cells, ["_parent"])
+def _descend(frontier: DataFrame, below: DataFrame, rows: int) -> DataFrame:
+    """Attach what lies below a cell. All columns are numbers, so the counted rows
+    bound the size: broadcast a small table, else join with salted large cells."""
+    if rows <= BROADCAST_ROWS:
+        return frontier.join(F.broadcast(below), "_parent")
+    return spread_join(materialize(frontier, "frontier"), below, ["_parent"])
 
 
 def knn_join(
@@ -108,20 +110,20 @@ def knn_join(
     asked = queries.select(
         F.col(query_id).alias("_q"), F.col(x).cast("double").alias("_qx"), F.col(y).cast("double").alias("_qy")
     ).filter("_qx is not null and _qy is not null")
-    # The first level has at most 4**STEP cells: every query carries them as one array.
-    cells = _pyramid_level(places, STEP).drop("_parent")
+    # The first level has at most 4**FIRST cells: every query carries them as one array.
+    cells = _pyramid_level(places, FIRST).drop("_parent")
     first = cells.agg(F.collect_list(F.struct(*cells.columns)).alias("_cells"))
     asked = asked.withColumns({"_bound": F.lit(None).cast("double"), "_cells": first.scalar()})
     frontier = _keep_useful(asked.select("*", F.inline("_cells")), k)
-    for level in range(2 * STEP, DEEPEST + 1, STEP):
-        if cells.agg(F.max("_n")).first()[0] <= leaf_points:
-            level -= STEP
-            break
+    level, largest = FIRST, cells.agg(F.max("_n")).first()[0]
+    while largest > leaf_points and level < DEEPEST:
+        level += STEP
         cells = _pyramid_level(places, level)
-        frontier = _keep_useful(_descend(frontier, cells), k)
+        rows, largest = cells.agg(F.count(F.lit(1)), F.max("_n")).first()
+        frontier = _keep_useful(_descend(frontier, cells, rows), k)
 
     leaves = places.select(_cell(level).alias("_parent"), "_p", "_x", "_y")
-    pairs = _descend(frontier, leaves)
+    pairs = _descend(frontier, leaves, places.count())
     dx, dy = F.col("_x") - F.col("_qx"), F.col("_y") - F.col("_qy")
     nearest = Window.partitionBy("_q").orderBy("distance", "_p")
     return (

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import MapType
 from pyspark.sql.window import Window
 
 from ledgerline.workspace import materialize
@@ -42,6 +43,20 @@ def has_large_group(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT
     return not large_groups(df, keys, limit).isEmpty()
 
 
+def row_hash(df: DataFrame) -> Column:
+    """Hash of the content of a row (map columns have no order and are left out)."""
+    return F.xxhash64(*[F.col(f.name) for f in df.schema if not isinstance(f.dataType, MapType)])
+
+
+def with_stable_id(df: DataFrame, name: str) -> DataFrame:
+    """An id per row that a repeated task gives again.
+
+    Row ids follow the order of rows in their partition, and after a shuffle that
+    order may differ in a second attempt. Sorting by content fixes it.
+    """
+    return df.sortWithinPartitions(row_hash(df)).withColumn(name, F.monotonically_increasing_id())
+
+
 def _struct(cols: Mapping[str, Column]) -> Column:
     return F.struct(*[c.alias(name) for name, c in cols.items()])
 
@@ -84,7 +99,7 @@ def _split_columns(df, keys, order, lag, lead, running, slices):
     # _copy also separates rows that agree on every ordering column.
     position = [*order, "_copy"]
     sliced = materialize(
-        df.withColumn("_copy", F.monotonically_increasing_id())
+        with_stable_id(df, "_copy")
         .repartitionByRange(count, *keys, *position)
         .withColumn("_slice", F.spark_partition_id()),
         "slices",

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerline.operators.ordered import with_stable_id
+
 # Fixed value: records per message.
 MESSAGE_SIZE = 10_500
 
@@ -17,7 +19,7 @@ def pack_batches(df: DataFrame, columns: Sequence[str] | None = None, size: int
     the map side; the shuffle only moves finished arrays.
     """
     columns = list(columns or df.columns)
-    numbered = df.withColumn("_id", F.monotonically_increasing_id())
+    numbered = with_stable_id(df.select(*columns), "_id")
     # The upper bits of the id are the partition, the lower 33 bits the row in it.
     part, row = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit(2**33 - 1))
     return (

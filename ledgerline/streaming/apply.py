@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.operators import changes as ch
-from ledgerline.operators.joins import lookup_join
+from ledgerline.operators.joins import fits_broadcast, lookup_join
 from ledgerline.sources.tables import BucketedLog, BucketedTable
 from ledgerline.streaming.ingest import run_batches
 from ledgerline.workspace import materialize
@@ -66,11 +66,12 @@ def apply_scd2(
         buckets = target.touched(named)
         if not buckets:
             return
-        known = lookup_join(log.read(buckets), named, keys)
+        small = fits_broadcast(named)
+        known = lookup_join(log.read(buckets), named, keys, small=small)
         rows = ch.scd2_history(known, keys, track_except=track_except)
         before = target.read(buckets)
         if before is not None:
-            marked = lookup_join(before, named.withColumn("_named", F.lit(True)), keys, "left")
+            marked = lookup_join(before, named.withColumn("_named", F.lit(True)), keys, "left", small=small)
             rows = rows.unionByName(marked.filter(F.col("_named").isNull()).drop("_named"))
         target.replace(rows, batch_id, buckets)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from ledgerline.operators import changes as ch
@@ -164,7 +162,7 @@ def _versions_of_years(spark, sf):
     for year in range(first, last + 1):
         snapshot = states.filter(F.col("snapshot_year") == year).drop("snapshot_year")
         target = ch.scd2_snapshot(
-            target, snapshot, ["o_custkey"], F.lit(dt.datetime(year, 1, 1)), track_except=["o_totalprice"]
+            target, snapshot, ["o_custkey"], F.lit(f"{year}-01-01").cast("timestamp"), track_except=["o_totalprice"]
         )
         target = materialize(target, "scd2-snapshot")
     return target
