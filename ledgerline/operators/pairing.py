@@ -54,7 +54,7 @@ def assign_locations(clients: DataFrame, addresses: DataFrame, client_key: Colum
     return pick_one(clients, addresses, client_key, [address_id], salt="address")
 
 
-def expand_schedule(df: DataFrame, templates: DataFrame, max_templates: int = 100_000) -> DataFrame:
+def expand_schedule(df: DataFrame, templates: DataFrame, max_templates: int = 10_000) -> DataFrame:
     """Every row with every template (for example invoice dates for each subscription).
 
     The templates travel as one array in a one-row frame, so the big side is

@@ -51,8 +51,9 @@ def apply_scd2(
     delete_when: Column | None = None,
     track_except: Sequence[str] = (),
 ) -> None:
-    """Keep versions per key. All changes stay in ``log``; the versions of the keys
-    of a batch are rebuilt from it, so late changes fall into their place."""
+    """Keep versions per key. All changes stay in ``log``, so late changes fall into
+    their place. Only the tail of a key that its earliest news can affect is rebuilt;
+    versions before it are kept, however long the history of the key is."""
     keys = target.keys
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -62,17 +63,29 @@ def apply_scd2(
             ch.scd2_log(batch, keys, sequence, except_columns=except_columns, delete_when=delete_when), batch_id
         )
         news = log.spark.read.parquet(f"{log.root}/batch={batch_id}")
-        named = materialize(news.select(*keys).distinct(), "scd2-keys")
-        buckets = target.touched(named)
+        first = materialize(news.groupBy(*keys).agg(F.min(ch.START).alias("_cut")), "scd2-keys")
+        buckets = target.touched(first)
         if not buckets:
             return
-        small = fits_broadcast(named)
-        known = lookup_join(log.read(buckets), named, keys, small=small)
-        rows = ch.scd2_history(known, keys, track_except=track_except)
+        small = fits_broadcast(first)
         before = target.read(buckets)
+        cuts = first if before is None else materialize(_tails(before, first, keys, small), "scd2-cuts")
+        tail = lookup_join(log.read(buckets), cuts, keys, small=small).filter(F.col(ch.START) >= F.col("_cut"))
+        rows = ch.scd2_history(tail.drop("_cut"), keys, track_except=track_except)
         if before is not None:
-            marked = lookup_join(before, named.withColumn("_named", F.lit(True)), keys, "left", small=small)
-            rows = rows.unionByName(marked.filter(F.col("_named").isNull()).drop("_named"))
+            marked = lookup_join(before, cuts, keys, "left", small=small)
+            kept = marked.filter(F.col("_cut").isNull() | (F.col(ch.START) < F.col("_cut"))).drop("_cut")
+            rows = rows.unionByName(kept)
         target.replace(rows, batch_id, buckets)
 
     run_batches(stream, merge, checkpoint)
+
+
+def _tails(versions: DataFrame, first: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """Where the rebuild of each key starts: at the version that is valid at its
+    earliest news or ends there, else at that news itself."""
+    joined = lookup_join(versions.select(*keys, ch.START, ch.END), first, keys, small=small)
+    reaches = F.col(ch.END).isNull() | (F.col(ch.END) >= F.col("_cut"))
+    covering = joined.filter((F.col(ch.START) < F.col("_cut")) & reaches).select(*keys, F.col(ch.START).alias("_from"))
+    # At most one version covers an instant, so both sides have unique keys.
+    return first.join(covering, list(keys), "left").select(*keys, F.coalesce("_from", "_cut").alias("_cut"))

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -202,6 +203,24 @@ def test_stream_scd2_with_late_rows_equals_batch(spark, tmp_path):
         ("a", "w", 3, 4), ("a", "x", 5, None), ("b", "p", 1, 2), ("b", "r", 4, None), ("c", "q", 1, None)]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_late_batches_give_the_batch_history(spark, tmp_path, seed):
+    source = random.Random(seed)
+    data = [(f"k{i % 3}", i, source.choice("xy"), "D" if source.random() < 0.2 else "U") for i in range(90)]
+    late = data[:]
+    source.shuffle(late)
+    land(spark, tmp_path / "in", [late[i : i + 18] for i in range(0, 90, 18)])
+    table = tables.BucketedTable(spark, str(tmp_path / "t"), ["k"], buckets=2)
+    log = tables.BucketedLog(spark, str(tmp_path / "log"), table)
+    form = dict(except_columns=["seq", "op"])
+    stream = ingest.file_stream(spark, str(tmp_path / "in"), EVENTS, max_files=1)
+    apply.apply_scd2(stream, table, log, str(tmp_path / "cp"), ["seq"], delete_when=F.col("op") == "D", **form)
+    whole = spark.createDataFrame(data, EVENTS)
+    batch = ch.scd2_history(ch.scd2_log(whole, ["k"], ["seq"], delete_when=F.col("op") == "D", **form), ["k"])
+    columns = ["k", "v", ch.START, ch.END]
+    assert rows(table.read().select(columns)) == rows(batch.select(columns))
+
+
 def test_bucket_that_becomes_empty(spark, tmp_path):
     table = tables.BucketedTable(spark, str(tmp_path / "t"), ["k"], buckets=1)
     table.replace(spark.createDataFrame([("a", 1)], "k string, v int"), 0, [0])

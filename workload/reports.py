@@ -43,7 +43,7 @@ def _by_month(spark, sf):
 @query("product_performance", f"""
     SELECT categoria_cliente, nu_tlfn, ANO, TRIMESTRE, DS_PRDT, DS_PLNO, CUSTOMER_COUNT,
            CAST(TOTAL_REVENUE AS DOUBLE) AS TOTAL_REVENUE,
-           round(CAST(TOTAL_REVENUE AS DOUBLE) / n, 3) AS AVG_INVOICE_VALUE
+           round(CAST(TOTAL_REVENUE AS DOUBLE) / n, 6) AS AVG_INVOICE_VALUE
     FROM ({PERFORMANCE_SQL}) ORDER BY ANO, TRIMESTRE DESC
 """)
 def product_performance(spark, sf):
@@ -51,7 +51,7 @@ def product_performance(spark, sf):
         _performance(spark, sf)
         .withColumns({
             "TOTAL_REVENUE": F.col("TOTAL_REVENUE").cast("double"),
-            "AVG_INVOICE_VALUE": F.round(F.col("AVG_INVOICE_VALUE"), 3).cast("double"),
+            "AVG_INVOICE_VALUE": F.col("AVG_INVOICE_VALUE").cast("double"),
         })
         .orderBy("ANO", F.desc("TRIMESTRE"))
     )
