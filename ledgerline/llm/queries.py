@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import mixing, quality, secrets, sharding, warc
+from ledgerline.llm import chat, language, mixing, quality, secrets, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op1_chat_formatting")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.read_back(chat.format_conversations(chat.with_probe(table(spark, sf, "conversations"), spark)))
+
+
 @query("op2_quality_rules")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return quality.with_quality(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "quality.*")
@@ -124,3 +129,11 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
         F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast("long").alias("refers_to"),
     )
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text", "lang").withColumn("held_out", language.held_out("doc_id"))
+    model = language.fit(documents.where(~F.col("held_out")), "text", "lang", "doc_id")
+    labelled = language.with_language(documents.select("doc_id", "held_out", "text"), model, spans=False)
+    return labelled.select("doc_id", "held_out", "language.lang_pred", "language.score")
