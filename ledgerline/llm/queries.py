@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import chat, language, mixing, quality, secrets, sharding, warc
+from ledgerline.llm import chat, language, mixing, quality, secrets, sharding, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,13 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op6_simhash_near_dedup")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents")).select(
+        "doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id"
+    )
+
+
 _BASE = ("assign", "access", "hex")
 
 
