@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import chat, language, mixing, quality, secrets, sharding, simhash, warc
+from ledgerline.llm import chat, language, mixing, quality, secrets, sharding, simhash, suffixes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,11 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op4_suffix_array_dedup")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf, "documents")).drop("spans")
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents")).select(
