@@ -48,27 +48,27 @@ def targets(sizes: DataFrame, max_epochs: int = 3, cycle: int = 3, total: int |
     )
 
 
-def mix(
-    df: DataFrame, text: str = "text", id_column: str = "doc_id", source: str = "source", max_epochs: int = 3,
-    cycle: int = 3, seed: int = 42,
+def with_repeats(
+    df: DataFrame, text: str = "text", id_column: str = "doc_id", source: str = "source", into: str = "mix",
+    max_epochs: int = 3, cycle: int = 3, seed: int = 42,
 ) -> DataFrame:
-    """``id``, ``source``, ``size`` (words), ``source_size``, ``target``, ``repeats`` and ``taken`` (size x repeats) per row.
+    """Add the struct ``into``: ``size`` (words), ``source_size``, ``target``, ``repeats`` and ``taken`` (size x repeats).
 
     A source's taken words differ from its target by less than the one document at the cut. The cut is found from sums
     over 4,096 cells of the order hash per source; rows are only put in order inside the cell that holds it, so no source
     goes through one task whatever its size. Null texts have size 0, a null source is a source of its own (the last), null
-    ids are in order under one hash, repeated rows count each. Only the three named columns are read. An empty table, or
-    one without words, takes nothing.
+    ids share one place in the order, repeated rows count each. An existing column of the name ``into`` is replaced. An
+    empty table, or one without words, takes nothing.
     """
-    rows = store(
-        df.select(
-            F.col(id_column).alias("_id"), F.col(source).cast("string").alias("_source"),
-            word_count(F.col(text).cast("string")).alias("_size"),
-            order_hash(seed, F.col(id_column)).alias("_u"),
-        ).withColumn("_cell", F.substring("_u", 1, CELL_DIGITS)),
-        "mix",
+    rows = df.withColumns({
+        "_mix_source": F.col(source).cast("string"),
+        "_mix_size": word_count(F.col(text).cast("string")),
+        "_mix_u": order_hash(seed, F.col(id_column)),
+    }).withColumn("_mix_cell", F.substring("_mix_u", 1, CELL_DIGITS))
+    cells = store(
+        rows.groupBy(F.col("_mix_source").alias("_source"), F.col("_mix_cell").alias("_cell")).agg(F.sum("_mix_size").alias("_b")),
+        "cells",
     )
-    cells = rows.groupBy("_source", "_cell").agg(F.sum("_size").alias("_b"))
     sizes = cells.groupBy(F.col("_source").alias("source")).agg(F.sum("_b").alias("source_size"))
     goal = targets(sizes, max_epochs, cycle).withColumns({
         "_whole": F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"),
@@ -77,21 +77,25 @@ def mix(
     cut = (
         cells.withColumn("_before", F.coalesce(F.sum("_b").over(in_source), F.lit(0)))
         .join(goal, F.col("_source").eqNullSafe(F.col("source")))
-        .select("_source", "_cell", "_before", "_b", "source_size", "target", "_whole", "_rest")
+        .select(
+            "_source", "_cell",
+            F.struct("_before", "_b", "source_size", "target", "_whole", "_rest").alias("_mix_cut"),
+        )
     )
     # At most sources x 4,096 rows, far fewer than documents; Spark measures them and picks the join.
-    joined = rows.alias("r").join(
-        cut.alias("c"),
-        F.col("r._source").eqNullSafe(F.col("c._source")) & (F.col("r._cell") == F.col("c._cell")),
-    ).select("r.*", "c._before", "c._b", "c.source_size", "c.target", "c._whole", "c._rest")
-    inside = (F.col("_before") < F.col("_rest")) & (F.col("_rest") < F.col("_before") + F.col("_b"))
-    order = Window.partitionBy("_source", "_cell").orderBy("_u", "_id", "_size")
-    at_cut = joined.where(inside).withColumn(
-        "_end", F.col("_before") + F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("_extra", F.col("_end") - F.col("_size") / 2 <= F.col("_rest")).drop("_end")
-    others = joined.where(~inside).withColumn("_extra", F.col("_before") + F.col("_b") <= F.col("_rest"))
-    repeats = F.col("_whole") + F.when(F.col("_extra") & (F.col("_whole") < max_epochs), 1).otherwise(0)
-    return others.unionByName(at_cut).select(
-        F.col("_id").alias(id_column), F.col("_source").alias(source), F.col("_size").alias("size"), "source_size", "target",
-        repeats.alias("repeats"), (F.col("_size") * repeats).alias("taken"),
+    joined = rows.join(
+        cut, F.col("_mix_source").eqNullSafe(F.col("_source")) & (F.col("_mix_cell") == F.col("_cell"))
+    ).drop("_source", "_cell")
+    before, own, rest, whole = (F.col(f"_mix_cut.{n}") for n in ("_before", "_b", "_rest", "_whole"))
+    inside = (before < rest) & (rest < before + own)
+    order = Window.partitionBy("_mix_source", "_mix_cell").orderBy("_mix_u", F.col(id_column), "_mix_size")
+    end = before + F.sum("_mix_size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    at_cut = joined.where(inside).withColumn("_mix_extra", end - F.col("_mix_size") / 2 <= rest)
+    others = joined.where(~inside).withColumn("_mix_extra", before + own <= rest)
+    repeats = whole + F.when(F.col("_mix_extra") & (whole < max_epochs), 1).otherwise(0)
+    mixed = F.struct(
+        F.col("_mix_size").alias("size"), F.col("_mix_cut.source_size").alias("source_size"),
+        F.col("_mix_cut.target").alias("target"), repeats.alias("repeats"), (F.col("_mix_size") * repeats).alias("taken"),
     )
+    columns = [F.col(c) for c in df.columns if c != into]
+    return others.unionByName(at_cut).select(*columns, mixed.alias(into))

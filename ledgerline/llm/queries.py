@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import chat, language, mixing, quality, secrets, sharding, simhash, suffixes, warc
+import corpus_pipeline
+from ledgerline.llm import chat, decontaminate, language, mixing, quality, secrets, sharding, simhash, suffixes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +51,14 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf, "documents")).drop("spans")
 
 
+@query("op5_benchmark_decontamination")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    return decontaminate.with_matches(documents, table(spark, sf, "benchmark")).select(
+        "doc_id", F.explode("matches").alias("m")
+    ).select("doc_id", "m.*")
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents")).select(
@@ -130,7 +139,8 @@ _OP8_SQL = r"""
 
 @query("op8_source_mixing", _OP8_SQL)
 def op8(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.mix(table(spark, sf, "documents"))
+    documents = table(spark, sf, "documents").select("doc_id", "source", "text")
+    return mixing.with_repeats(documents).select("doc_id", "source", "mix.*")
 
 
 @query("op9_warc_salvage")
@@ -149,3 +159,8 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     model = language.fit(documents.where(~F.col("held_out")), "text", "lang", "doc_id")
     labelled = language.with_language(documents.select("doc_id", "held_out", "text"), model, spans=False)
     return labelled.select("doc_id", "held_out", "language.lang_pred", "language.score")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)

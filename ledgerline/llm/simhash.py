@@ -19,7 +19,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from ledgerline.llm.common import store, utf8
 from ledgerline.llm.graph import components
@@ -264,22 +265,48 @@ def links(prints: DataFrame, settings: Settings, count: int, shard_rows: int = S
 
 
 def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
-    """``id``, ``fp`` (binary) and ``component_id``, the smallest id reachable over links, for every row.
+    """``id``, ``twin`` (a hash of the text), ``fp`` (binary), ``component_id`` and ``chosen`` for every row.
 
-    Texts without a word share fingerprint zero and link like any other. Equal fingerprints are one node, so a group of
-    copies of any size is one row after an aggregate that combines before the shuffle. Null ids belong to components but
-    do not name them; a component of null ids only has a null name. Repeated rows come back each. Only id and text are read.
+    ``component_id`` is the smallest id reachable over links; ``chosen`` is true for the row of that id (of several texts
+    under one id, for the smallest hash). Texts without a word share fingerprint zero and link like any other. Equal
+    fingerprints are one node, so a group of copies of any size is one row after an aggregate that combines before the
+    shuffle. Null ids belong to components but name one only if it has no other. Repeated rows come back each. Only id and
+    text are read.
     """
     rows = store(
-        with_fingerprint(df.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")), "_text", "fp", settings).drop("_text"),
+        with_fingerprint(
+            df.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")).withColumn("twin", text_hash("_text")),
+            "_text", "fp", settings,
+        ).drop("_text"),
         "prints",
     )
-    prints = store(rows.groupBy("fp").agg(F.min("_id").alias("_least")), "distinct")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), "twin"))
+    prints = store(rows.groupBy("fp").agg(first.alias("_least")), "distinct")
     edges = links(prints, settings, prints.count())
     roots = components(edges)
     named = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "_least", F.coalesce("root", "fp").alias("root")
     )
-    names = named.groupBy("root").agg(F.min("_least").alias("component_id"))
-    by_print = named.join(names, "root").select("fp", "component_id")
-    return rows.join(by_print, "fp").select(F.col("_id").alias(id_column), "fp", "component_id")
+    names = named.groupBy("root").agg(F.min("_least").alias("_first"))
+    by_print = named.join(names, "root").select("fp", "_first")
+    chosen = F.col("_id").eqNullSafe(F.col("_first.id")) & (F.col("twin") == F.col("_first.twin"))
+    return rows.join(by_print, "fp").select(
+        F.col("_id").alias(id_column), "twin", "fp", F.col("_first.id").alias("component_id"), chosen.alias("chosen")
+    )
+
+
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def keep_one(df: DataFrame, text: str = "text", id_column: str = "doc_id", settings: Settings = SIMILAR) -> DataFrame:
+    """The rows of ``df`` with one of each component: the one with the smallest id (see ``near_duplicates``); of repeated rows one."""
+    kept = store(
+        near_duplicates(df, text, id_column, settings).where("chosen")
+        .select(F.col(id_column).alias("_kept_id"), F.col("twin").alias("_kept_twin")).distinct(),
+        "kept",
+    )
+    rows = df.withColumn("_twin", text_hash(text))
+    same = F.col(id_column).eqNullSafe(F.col("_kept_id")) & (F.col("_twin") == F.col("_kept_twin"))
+    turn = Window.partitionBy(id_column, "_twin").orderBy("_twin")
+    return rows.join(kept, same, "left_semi").withColumn("_turn", F.row_number().over(turn)).where("_turn = 1").select(*df.columns)
