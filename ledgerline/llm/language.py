@@ -203,13 +203,15 @@ def with_language(
 
     def label(texts: list[str | None], letters: np.ndarray, scripts: np.ndarray) -> list[tuple]:
         known = shared.value
+        if not known.languages:
+            return [(UNKNOWN, 0.0, [] if spans else None)] * len(texts)
         words = [word_scores(code_points(t or "", letters), known, scripts, settings.word_cap) for t in texts]
         ends = np.cumsum([len(w[0]) for w in words])
         path = viterbi(np.concatenate([w[2] for w in words]), ends, settings.switch)
         out = []
         for (starts, lengths, scores), end in zip(words, ends, strict=True):
             own = path[end - len(starts) : end]
-            if not len(own) or not known.languages or not scores.any():
+            if not len(own) or not scores.any():
                 out.append((UNKNOWN, 0.0, [] if spans else None))
                 continue
             share = np.bincount(own, weights=lengths, minlength=len(known.languages))

@@ -29,9 +29,32 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-@query("op1_chat_formatting")
+def _escaped_sql(text: str) -> str:
+    """Code points after escaping: one more for each backslash and each control string."""
+    added = [f"len(string_split({text}, '{c}')) - 1" for c in ["\\", *chat.Template().reserved]]
+    return f"(length({text}) + {' + '.join(added)})"
+
+
+_MARKERS = " ".join(f"WHEN '{role}' THEN {len(mark)}" for role, mark in chat.Template().markers)
+_OP1_SQL = f"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+               UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+    e AS (SELECT *, {len("<turn>") + len("</turn>")} + {_escaped_sql("text")} +
+                 CASE role {_MARKERS} ELSE {len("### Role:") + len(":###")} + {_escaped_sql("role")} END AS chars FROM c)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(chars) AS BIGINT) AS formatted_chars
+    FROM e GROUP BY conv_id
+"""
+
+
+@query("op1_chat_formatting", _OP1_SQL)
 def op1(spark: SparkSession, sf: str) -> DataFrame:
-    return chat.read_back(chat.format_conversations(chat.with_probe(table(spark, sf, "conversations"), spark)))
+    rows = chat.with_probe(table(spark, sf, "conversations"), spark)
+    return chat.read_back(chat.format_conversations(rows)).drop("n_tokens")
 
 
 @query("op2_quality_rules")
@@ -46,7 +69,26 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("op4_suffix_array_dedup")
+_OP4_SQL = """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+    w AS (SELECT doc_id, unnest([md5_number(substr(h, 2 * s + 1, 200)) for s in range(0, n - 99)]) AS k,
+                 unnest(range(0, n - 99)) AS s FROM d),
+    f AS (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS rn FROM w),
+    g AS (SELECT doc_id, s, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 100 THEN 0 ELSE 1 END AS new
+          FROM f WHERE rn > 1),
+    q AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS n FROM g),
+    p AS (SELECT doc_id, n AS span, min(s) AS a, max(s) + 100 AS b FROM q GROUP BY doc_id, n),
+    k AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM p),
+    r AS (SELECT d.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+                 string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+          FROM k JOIN d USING (doc_id) GROUP BY d.doc_id)
+    SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+           CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+    FROM d LEFT JOIN r USING (doc_id)
+"""
+
+
+@query("op4_suffix_array_dedup", _OP4_SQL)
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf, "documents")).drop("spans")
 
@@ -143,7 +185,20 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.with_repeats(documents).select("doc_id", "source", "mix.*")
 
 
-@query("op9_warc_salvage")
+_OP9_SQL = """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+    h AS (SELECT *, sha1(body) AS h, max(page_id) OVER (PARTITION BY body) AS top FROM p)
+    SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+           array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               CAST(((CAST('0x' || substr(h, CAST(j // 4 AS INTEGER) * 5 + 1, 5) AS INTEGER) >> (15 - (j % 4) * 5)) & 31) + 1 AS INTEGER), 1)
+               for j in range(0, 32)], '') AS payload_digest,
+           CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> top THEN top END AS refers_to
+    FROM h
+"""
+
+
+@query("op9_warc_salvage", _OP9_SQL)
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     root = warc.write_archives(table(spark, sf, "pages"))
     back = warc.read_archives(spark, root, with_payload=False)

@@ -375,7 +375,7 @@ def remove_repeats(
     candidates = store(docs.drop("id").dropDuplicates(["doc", "twin"]).join(hits, ["doc", "twin"]), "candidates")
 
     pieces = _pieces_of(candidates, length).withColumn("part", F.pmod(F.xxhash64("doc", "twin"), F.col("parts")))
-    ordered = pieces.repartition("key", "part").sortWithinPartitions("key", "part", "doc", "twin", "start")
+    ordered = pieces.repartition("key", "part").sortWithinPartitions("key", "doc", "twin", "start")
     dealt = hits.select(F.explode("hits").alias("h")).where("h.parts > 1").agg(F.coalesce(F.sum("h.count"), F.lit(0))).first()[0]
     cells = max(1, -(-dealt // CELL_WINDOWS))
     found = store(_search(ordered, length, cells, shard_bytes), "found")
