@@ -74,8 +74,6 @@ PRICES = {
 }
 # Discount of a service per client class.
 DISCOUNT_RATES = {"P": "0.00", "S": "0.02", "G": "0.05", "PL": "0.10", "V": "0.15"}
-# The payment due days.
-DUE_DAYS = (1, 3, 5, 8, 9, 10, 15, 20, 22, 27)
 
 
 def products(spark) -> DataFrame:

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_RANGE = 2**32
+#: 15 hex digits, the most that a signed 64-bit integer holds.
+_DIGITS = 15
+_RANGE = 16**_DIGITS
 
 
 def hash_int(key: Column, salt: str) -> Column:
-    """Integer in [0, 2**32) from the first 8 hex digits of md5(key '|' salt)."""
+    """Integer in [0, 2**60) from the first 15 hex digits of md5(key '|' salt)."""
     text = F.concat(key.cast("string"), F.lit(f"|{salt}"))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(text), 1, _DIGITS), 16, 10).cast("bigint")
 
 
 def hash_unit(key: Column, salt: str) -> Column:

@@ -32,8 +32,12 @@ def _others(df: DataFrame, names: Sequence[str]) -> list[str]:
 def changes_between(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Change feed between two states of a table with unique keys.
 
-    Unchanged rows give nothing; a changed row gives its old and its new image.
+    Unchanged rows give nothing; a changed row gives its old and its new image. Rows with a NULL key cannot be told
+    apart and are left out; ``split_valid`` gives them. Both states must have the same columns.
     """
+    if _lower(old.columns) != _lower(new.columns):
+        raise ValueError(f"columns differ: {sorted(_lower(old.columns) ^ _lower(new.columns))}")
+    old, new = split_valid(old, keys)[0], split_valid(new, keys)[0]
     payload = _others(old, keys)
     left = old.select(*keys, F.struct(*payload).alias("_old"))
     right = new.select(*keys, F.struct(*payload).alias("_new"))
@@ -58,7 +62,7 @@ def changes_between(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Data
     )
 
 
-def split_valid(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def split_valid(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Changes that can be applied, and those with a NULL key or NULL sequence."""
     usable = F.lit(True)
     for name in [*keys, *sequence]:
@@ -206,8 +210,10 @@ def scd2_snapshot(
     A new key opens a version, a missing key closes one, a changed tracked
     column does both. Columns in ``track_except`` are refreshed on the open
     version; of these, ``keep`` columns (surrogate keys) stay as first written.
+    Rows with a NULL key name nothing and add no version; ``split_valid`` gives them.
     """
     keys = list(keys)
+    snapshot, _ = split_valid(snapshot, keys)
     payload = _others(snapshot, keys)
     _check_snapshot(target, snapshot, keys, at, allow_empty)
     fresh = snapshot.select(

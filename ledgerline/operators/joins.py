@@ -7,24 +7,39 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
-from ledgerline.operators.ordered import GROUP_LIMIT, large_groups, row_hash
+from ledgerline.operators.ordered import GROUP_LIMIT, large_groups, with_stable_id
+from ledgerline.workspace import materialize
 
-#: Rows and bytes up to which a lookup side may be copied to every executor.
-BROADCAST_ROWS = 500_000
+#: Bytes up to which a lookup side may be copied to every executor.
 BROADCAST_BYTES = 128 * 2**20
-_FIXED_WIDTH = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
+#: What rows may take in memory, against their size in a compressed columnar file.
+_UNPACKED = 8
+_FIXED_WIDTH = (NumericType, BooleanType, DateType, TimestampNTZType, TimestampType)
+#: Plan nodes behind which the optimizer's size estimate may be too small.
+_GROWING = ("Generate", "MapIn", "FlatMap", "Expand", "Join", "Union", "Scalar", "Window")
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure at most ``max_rows + 1`` rows of ``df`` and compare with both bounds."""
-    width = F.lit(0)
+def known_bytes(df: DataFrame) -> int | None:
+    """An upper estimate of the size without running anything: for scans, filters, projections and groupings of stored data."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    if any(node in text for node in _GROWING):
+        return None
+    return int(str(plan.stats().sizeInBytes())) * _UNPACKED
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` may be broadcast: by the optimizer's size where that is an upper bound, else measured, by all tasks."""
+    known = known_bytes(df)
+    if known is not None and known <= max_bytes:
+        return True
+    width = F.lit(16)
     for field in df.schema:
         if isinstance(field.dataType, _FIXED_WIDTH):
             width = width + 8
         else:
-            width = width + F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0))
-    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
-    return rows <= max_rows and (size or 0) <= max_bytes
+            width = width + 8 + F.coalesce(F.octet_length(F.col(f"`{field.name}`").cast("string")), F.lit(0))
+    return (df.agg(F.sum(width.cast("bigint"))).first()[0] or 0) <= max_bytes
 
 
 def spread_join(
@@ -34,28 +49,39 @@ def spread_join(
     how: str = "inner",
     *,
     limit: int = GROUP_LIMIT,
-    pieces: int = 32,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join in which the large keys of the left side are salted.
 
-    Keys with more than ``limit`` left rows get ``pieces`` salts; the matching
-    right rows are repeated once per salt. All other keys keep salt 0, so the
-    join stays one plain shuffle join for them. The salt is a hash of the row,
-    hence the same after a task is run again.
+    A key with n > ``limit`` left rows is dealt to 2 n / limit salts by the number of the row, so equal rows spread too;
+    the matching right rows are repeated once per salt. Rows with a NULL key match nothing and are dealt out likewise.
+    All other keys keep salt 0, so the join stays one plain shuffle join for them. ``sized_by`` is a cheaper frame with
+    the same keys in about the same numbers, where ``left`` is itself the result of much work.
     """
     if how not in ("inner", "left"):
         raise ValueError("spread_join supports inner and left joins")
-    keys = large_groups(left, on, limit).collect()
-    if not keys:
-        return left.join(right, list(on), how)
-    # At most about (all rows / limit) keys are large, which bounds this broadcast.
-    hot = left.sparkSession.createDataFrame(keys, left.select(*on).schema).withColumn("_hot", F.lit(True))
-    hot = F.broadcast(hot)
-    salt = F.pmod(row_hash(left), F.lit(pieces)).cast("int")
-    salted_left = left.join(hot, list(on), "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0))
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.join(hot, list(on), "left").withColumn("_salt", F.explode(salts))
-    return salted_left.drop("_hot").join(salted_right.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+    on = list(on)
+    hot = materialize(large_groups(left if sized_by is None else sized_by, on, limit, "_n"), "hot-keys")
+    if hot.isEmpty():
+        return left.join(right, on, how)
+    # About (rows / limit) keys at most; Spark knows the stored size and picks the join.
+    hot = hot.select(*[F.col(c).alias(f"_hot_{c}") for c in on], F.ceil(F.col("_n") * 2 / limit).cast("int").alias("_salts"))
+
+    def marked(side: DataFrame) -> DataFrame:
+        match = F.lit(True)
+        for c in on:
+            match &= F.col(c).eqNullSafe(F.col(f"_hot_{c}"))
+        return side.join(hot, match, "left").drop(*[f"_hot_{c}" for c in on])
+
+    salted_left = marked(with_stable_id(left, "_row")).withColumn(
+        "_salt", F.when(F.col("_salts") > 1, F.pmod(F.xxhash64("_row"), F.col("_salts")).cast("int")).otherwise(0)
+    )
+    salts = F.when(F.col("_salts") > 1, F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(F.array(F.lit(0)))
+    usable = F.lit(True)
+    for c in on:
+        usable &= F.col(c).isNotNull()
+    salted_right = marked(right.filter(usable)).withColumn("_salt", F.explode(salts))
+    return salted_left.drop("_salts", "_row").join(salted_right.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
 def lookup_join(
@@ -64,19 +90,18 @@ def lookup_join(
     on: Sequence[str],
     how: str = "inner",
     *,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
     limit: int = GROUP_LIMIT,
     small: bool | None = None,
 ) -> DataFrame:
     """Join a big frame to a lookup table.
 
-    The lookup is broadcast when a count shows that it is small enough; beyond
-    that the join is a shuffle join with salted large keys. A streaming fact
-    cannot be counted up front, so there Spark's own size estimate decides.
+    The lookup is broadcast when its size in bytes allows it; beyond that the join is a shuffle join with salted large
+    keys. A stream is planned anew for every micro-batch, so there Spark's own estimate decides each time.
     ``small`` passes on an earlier measurement of the same lookup.
     """
-    if fits_broadcast(dim, max_rows) if small is None else small:
-        return fact.join(F.broadcast(dim), list(on), how)
     if fact.isStreaming:
         return fact.join(dim, list(on), how)
+    if fits_broadcast(dim, max_bytes) if small is None else small:
+        return fact.join(F.broadcast(dim), list(on), how)
     return spread_join(fact, dim, on, how, limit=limit)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from ledgerline.operators.joins import BROADCAST_ROWS, spread_join
+from ledgerline.operators.joins import BROADCAST_BYTES, spread_join
 from ledgerline.workspace import materialize
 
 #: Halvings of the first level, and of each further step: a cell has up to 4**STEP children.
@@ -68,7 +68,7 @@ def _keep_useful(frontier: DataFrame, k: int) -> DataFrame:
 def _descend(frontier: DataFrame, below: DataFrame, rows: int) -> DataFrame:
     """Attach what lies below a cell. All columns are numbers, so the counted rows
     bound the size: broadcast a small table, else join with salted large cells."""
-    if rows <= BROADCAST_ROWS:
+    if rows * 8 * (len(below.columns) + 2) <= BROADCAST_BYTES:
         return frontier.join(F.broadcast(below), "_parent")
     return spread_join(materialize(frontier, "frontier"), below, ["_parent"])
 

@@ -25,8 +25,8 @@ GROUP_LIMIT = 2_000_000
 _SEEN = 1_000
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame:
-    """Keys with about ``limit`` rows or more.
+def large_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT, rows: str | None = None) -> DataFrame:
+    """Keys with about ``limit`` rows or more; with ``rows``, also their estimated number under that name.
 
     The sizes are estimated from a sample of the key columns: they choose how the
     work is spread, never which rows take part. At most about (rows / limit)
@@ -36,7 +36,8 @@ def large_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -
     seen = df.select(*keys)
     seen = seen.sample(fraction=fraction, seed=11) if fraction < 1.0 else seen
     sizes = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.filter(F.col("_n") > limit * fraction).select(*keys)
+    large = sizes.filter(F.col("_n") > limit * fraction)
+    return large.select(*keys, *([(F.col("_n") / fraction).cast("bigint").alias(rows)] if rows else []))
 
 
 def has_large_group(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> bool:
@@ -90,12 +91,11 @@ def ordered_columns(
             | {n: F.lead(c).over(window) for n, c in lead.items()}
             | {n: F.sum(c).over(upto) for n, c in running.items()}
         )
-    return _split_columns(df, list(keys), list(order), lag, lead, running, slices)
+    return _split_columns(df, list(keys), list(order), lag, lead, running, slices, limit)
 
 
-def _split_columns(df, keys, order, lag, lead, running, slices):
-    spark = df.sparkSession
-    count = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _split_columns(df, keys, order, lag, lead, running, slices, limit):
+    count = slices or max(2, -(-df.count() // limit))
     # _copy also separates rows that agree on every ordering column.
     position = [*order, "_copy"]
     sliced = materialize(

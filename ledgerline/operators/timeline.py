@@ -89,14 +89,3 @@ def expand_sessions(
     return rows.withColumn("start_at", F.col("start_at") + base).withColumn(
         "end_at", F.col("start_at") + F.coalesce(F.col(durations), F.lit(0))
     )
-
-
-def traffic_budget(gb_month: int = 25, begin_hour: int = 0, end_hour: int = 6) -> dict[str, float]:
-    """Sessions per client and mean bytes per session second (fixed rule).
-
-    A tenth of a day's share of the monthly volume is spread over 100 sessions
-    per hour of 50 seconds; the uplink carries a tenth of the downlink.
-    """
-    sessions = (end_hour - begin_hour) * 100
-    down = (gb_month / 30) * 0.1 * 1024**3 / (sessions * 50)
-    return {"sessions": sessions, "down": down, "up": 0.10 * down}

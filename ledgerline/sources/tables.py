@@ -35,6 +35,11 @@ class _Files:
         return [str(s.getPath().toString()) for s in self._fs.globStatus(self.path(pattern)) or []]
 
 
+def is_versioned(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is the root of a versioned or bucketed table."""
+    return bool(_Files(spark, path).glob(f"{path.rstrip('/')}/v=*"))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     return _Files(spark, path).exists(path)
 
@@ -111,7 +116,10 @@ class VersionedTable:
 class BucketedTable:
     """Keyed state in ``v=N/bucket=B``: an update rewrites only the buckets it touches.
 
-    The newest complete version that holds a bucket is the state of that bucket.
+    The newest complete version that holds a bucket is the state of that bucket. Versions count up by themselves; what a
+    caller wants to do only once (a micro-batch of a stream) it names by a token, which the marker of the version keeps.
+    So a repeated batch is known, whichever stream, restart or checkpoint it comes from, and a new one never looks like
+    an old one. One writer at a time. Choose ``buckets`` so that one holds a few hundred MB: a changed row rewrites it.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 64):
@@ -125,48 +133,87 @@ class BucketedTable:
         """Buckets that occur in ``changes``; at most ``buckets`` numbers."""
         return [r[0] for r in changes.select(self.bucket().alias("b")).distinct().collect()]
 
-    def has_version(self, version: int) -> bool:
-        return self._files.exists(f"{self.root}/v={version}/{_MARKER}")
+    def has(self, token: str) -> bool:
+        """Whether a complete version was written under this token."""
+        return bool(self._files.glob(f"{self.root}/v=*/{_MARKER}.{token}"))
+
+    def _committed(self) -> dict[int, list[int]]:
+        """Buckets of each complete version, from the names of its index files: one listing, however many buckets."""
+        found: dict[int, list[int]] = {}
+        for path in self._files.glob(f"{self.root}/v=*/_BUCKETS.*"):
+            version, index = path.split("/")[-2:]
+            found.setdefault(int(version.removeprefix("v=")), []).extend(_numbers(index))
+        done = {int(p.split("/")[-2].removeprefix("v=")) for p in self._files.glob(f"{self.root}/v=*/{_MARKER}.*")}
+        return {v: held for v, held in found.items() if v in done}
 
     def read(self, buckets: Iterable[int] | None = None) -> DataFrame | None:
         """Current rows of all or some buckets; None while there are none."""
         wanted = None if buckets is None else set(buckets)
-        committed = {p.split("/")[-2] for p in self._files.glob(f"{self.root}/v=*/{_MARKER}")}
-        newest: dict[int, tuple[int, str]] = {}
-        for path in self._files.glob(f"{self.root}/v=*/bucket=*"):
-            version, bucket = path.split("/")[-2:]
-            number, v = int(bucket.removeprefix("bucket=")), int(version.removeprefix("v="))
-            if version in committed and (wanted is None or number in wanted):
-                newest[number] = max(newest.get(number, (-1, "")), (v, path))
-        paths = [path for _, path in newest.values() if self._files.glob(f"{path}/*.parquet")]
+        newest: dict[int, int] = {}
+        for version, held in sorted(self._committed().items()):
+            newest |= {b: version for b in held if wanted is None or b in wanted}
+        paths = [f"{self.root}/v={v}/bucket={b}" for b, v in newest.items()]
+        paths = [p for p in paths if self._files.exists(p)]
         if not paths:
             return None
         return self.spark.read.parquet(*paths)
 
-    def replace(self, rows: DataFrame, version: int, buckets: Iterable[int]) -> None:
-        """Write the complete new rows of ``buckets``. A bucket without rows becomes empty."""
+    def replace(self, rows: DataFrame, token: str, buckets: Iterable[int]) -> int:
+        """Write the complete new rows of ``buckets`` as the next version. A bucket without rows becomes empty."""
+        known = [int(p.split("=")[-1]) for p in self._files.glob(f"{self.root}/v=*")]
+        version = max(known, default=0) + 1  # also beyond unfinished ones
         target = f"{self.root}/v={version}"
         # The rebalance hint lets adaptive execution split a large bucket over tasks.
         placed = rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket")
         placed.write.mode("overwrite").partitionBy("bucket").parquet(target)
-        for number in buckets:
-            self._files._fs.mkdirs(self._files.path(f"{target}/bucket={number}"))
-        self._files.touch(f"{target}/{_MARKER}")
+        for name in _index_names(buckets):
+            self._files.touch(f"{target}/{name}")
+        self._files.touch(f"{target}/{_MARKER}.{token}")
+        return version
+
+    def set_aside(self, rows: DataFrame, token: str) -> None:
+        """Keep rows that cannot be applied (NULL key or sequence), once per token."""
+        rows.write.mode("overwrite").parquet(f"{self.root}/_quarantine/batch={token}")
+
+    def quarantined(self) -> DataFrame | None:
+        """All rows set aside so far, with the ``batch`` that brought them; count them to know how many."""
+        root = f"{self.root}/_quarantine"
+        found = [p for p in self._files.glob(f"{root}/batch=*") if self._files.glob(f"{p}/*.parquet")]
+        return self.spark.read.option("basePath", root).parquet(*found) if found else None
+
+
+#: Buckets in one index file, whose name holds them as a hex bit mask.
+_PER_INDEX = 800
+
+
+def _index_names(buckets: Iterable[int]) -> list[str]:
+    masks: dict[int, int] = {}
+    for b in buckets:
+        masks[b // _PER_INDEX] = masks.get(b // _PER_INDEX, 0) | 1 << b % _PER_INDEX
+    return [f"_BUCKETS.{part}.{mask:x}" for part, mask in masks.items()]
+
+
+def _numbers(index_name: str) -> list[int]:
+    _, part, spelled = index_name.split(".")
+    mask = int(spelled, 16)
+    return [int(part) * _PER_INDEX + k for k in range(mask.bit_length()) if mask >> k & 1]
 
 
 class BucketedLog:
-    """Append-only changes in ``batch=N/bucket=B``; a repeated batch replaces itself."""
+    """Append-only changes in ``batch=TOKEN/bucket=B``; a repeated batch replaces itself."""
 
     def __init__(self, spark: SparkSession, root: str, table: BucketedTable):
         self.spark, self.root, self.table = spark, root.rstrip("/"), table
 
-    def append(self, changes: DataFrame, batch: int) -> None:
+    def append(self, changes: DataFrame, batch: str) -> None:
         placed = changes.withColumn("bucket", self.table.bucket()).hint("rebalance", "bucket")
         placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/batch={batch}")
 
-    def read(self, buckets: Iterable[int]) -> DataFrame:
+    def read(self, buckets: Iterable[int], since: Column | None = None) -> DataFrame:
+        """Changes of some buckets, from those that ``since`` selects; both reach the scan."""
         log = self.spark.read.option("basePath", self.root).parquet(self.root)
-        return log.filter(F.col("bucket").isin(*buckets)).drop("batch", "bucket")
+        log = log.filter(F.col("bucket").isin(*buckets)).drop("batch", "bucket")
+        return log if since is None else log.filter(since)
 
 
 def refresh(table: VersionedTable, build: Callable[[], DataFrame]) -> DataFrame:

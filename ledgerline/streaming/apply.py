@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerline.operators import changes as ch
 from ledgerline.operators.joins import fits_broadcast, lookup_join
@@ -13,6 +14,23 @@ from ledgerline.streaming.ingest import run_batches
 from ledgerline.workspace import materialize
 
 
+def batch_token(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """Name of a micro-batch that no other query shares: the id that Spark gave the checkpoint, and the batch number.
+
+    A new checkpoint is a new query whose batches are counted from 0 again; its rows are news, not repeats.
+    """
+    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return f"{json.loads(line)['id']}-{batch_id}"
+
+
+def _usable(batch: DataFrame, target: BucketedTable, sequence: Sequence[str], token: str) -> DataFrame:
+    """The rows that can be applied; the others (NULL key or sequence) are stored with the target."""
+    valid, invalid = ch.split_valid(batch, target.keys, sequence)
+    if not invalid.isEmpty():
+        target.set_aside(invalid, token)
+    return valid
+
+
 def apply_scd1(
     stream: DataFrame,
     target: BucketedTable,
@@ -22,20 +40,25 @@ def apply_scd1(
     except_columns: Sequence[str] = (),
     delete_when: Column | None = None,
 ) -> None:
-    """Upsert the newest change per key. A repeated micro-batch changes nothing."""
+    """Upsert the newest change per key. A repeated micro-batch changes nothing.
+
+    Rows with a NULL key or sequence go to ``target.quarantined()``.
+    """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if target.has_version(batch_id):
+        token = batch_token(batch.sparkSession, checkpoint, batch_id)
+        if target.has(token):
             return
-        news = ch.newest(
+        news = materialize(
             ch.scd1_changes(
-                batch, target.keys, sequence, except_columns=except_columns, delete_when=delete_when
+                _usable(batch, target, sequence, token), target.keys, sequence,
+                except_columns=except_columns, delete_when=delete_when,
             ),
-            target.keys,
+            "scd1-news",
         )
-        news = materialize(news, "scd1-news")
         buckets = target.touched(news)
-        target.replace(ch.scd1(target.read(buckets), news, target.keys), batch_id, buckets)
+        if buckets:
+            target.replace(ch.scd1(target.read(buckets), news, target.keys), token, buckets)
 
     run_batches(stream, merge, checkpoint)
 
@@ -53,30 +76,39 @@ def apply_scd2(
 ) -> None:
     """Keep versions per key. All changes stay in ``log``, so late changes fall into
     their place. Only the tail of a key that its earliest news can affect is rebuilt;
-    versions before it are kept, however long the history of the key is."""
+    versions before it are kept, however long the history of the key is. Of the log only
+    changes from the earliest of these tails on are read. Rows with a NULL key or sequence
+    go to ``target.quarantined()``."""
     keys = target.keys
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if target.has_version(batch_id) or batch.isEmpty():
+        token = batch_token(batch.sparkSession, checkpoint, batch_id)
+        if target.has(token):
             return
-        log.append(
-            ch.scd2_log(batch, keys, sequence, except_columns=except_columns, delete_when=delete_when), batch_id
+        news = materialize(
+            ch.scd2_log(
+                _usable(batch, target, sequence, token), keys, sequence,
+                except_columns=except_columns, delete_when=delete_when,
+            ),
+            "scd2-news",
         )
-        news = log.spark.read.parquet(f"{log.root}/batch={batch_id}")
+        if news.isEmpty():
+            return
+        log.append(news, token)
         first = materialize(news.groupBy(*keys).agg(F.min(ch.START).alias("_cut")), "scd2-keys")
         buckets = target.touched(first)
-        if not buckets:
-            return
         small = fits_broadcast(first)
         before = target.read(buckets)
         cuts = first if before is None else materialize(_tails(before, first, keys, small), "scd2-cuts")
-        tail = lookup_join(log.read(buckets), cuts, keys, small=small).filter(F.col(ch.START) >= F.col("_cut"))
+        earliest = cuts.agg(F.min("_cut")).first()[0]
+        changes = log.read(buckets, F.col(ch.START) >= F.lit(earliest))
+        tail = lookup_join(changes, cuts, keys, small=small).filter(F.col(ch.START) >= F.col("_cut"))
         rows = ch.scd2_history(tail.drop("_cut"), keys, track_except=track_except)
         if before is not None:
             marked = lookup_join(before, cuts, keys, "left", small=small)
             kept = marked.filter(F.col("_cut").isNull() | (F.col(ch.START) < F.col("_cut"))).drop("_cut")
             rows = rows.unionByName(kept)
-        target.replace(rows, batch_id, buckets)
+        target.replace(rows, token, buckets)
 
     run_batches(stream, merge, checkpoint)
 

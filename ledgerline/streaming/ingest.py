@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ledgerline.sources.tables import is_versioned
+
 
 def file_stream(
     spark: SparkSession,
@@ -18,9 +20,12 @@ def file_stream(
     max_files: int | None = None,
     max_bytes: int | None = None,
     options: Mapping[str, str] | None = None,
+    nested: bool = True,
 ) -> DataFrame:
-    """New files of a directory as a stream; subdirectories are data, not partitions."""
-    reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
+    """New files of a directory as a stream. With ``nested`` subdirectories are landing lots; without, they are partitions."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    if nested:
+        reader = reader.option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
@@ -41,8 +46,14 @@ def with_lineage(stream: DataFrame) -> DataFrame:
 def table_stream(
     spark: SparkSession, path: str, schema: StructType | str, where: Column | None = None, max_bytes: int | None = None
 ) -> DataFrame:
-    """A stored table as a stream, limited by bytes per micro-batch, filtered at the scan."""
-    stream = file_stream(spark, path, schema, max_bytes=max_bytes)
+    """A stored table as a stream, limited by bytes per micro-batch, filtered at the scan.
+
+    ``schema`` includes the partition columns, and a filter on them skips folders. Versioned and bucketed tables hold
+    superseded and unfinished states side by side: stream their change log, not their root.
+    """
+    if is_versioned(spark, path):
+        raise ValueError(f"{path} holds versions of a table; a stream would read all of them")
+    stream = file_stream(spark, path, schema, max_bytes=max_bytes, nested=False)
     return stream if where is None else stream.filter(where)
 
 

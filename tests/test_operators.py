@@ -80,12 +80,6 @@ def test_sessions_from_arrays_equal_sessions_from_rows(spark):
         timeline.expand_sessions(uneven, base=F.lit(0), gaps="g", durations="d").collect()
 
 
-def test_traffic_budget():
-    budget = timeline.traffic_budget(25, 0, 6)
-    assert budget["sessions"] == 600 and budget["up"] == budget["down"] * 0.10
-    assert budget["down"] == pytest.approx(25 / 30 * 0.1 * 2**30 / 30_000)
-
-
 def test_knn_equals_brute_force_with_a_dense_place_and_copies(spark):
     key = F.col("id")
     spreaded = spark.range(300).select(key, (hash_unit(key, "a") * 60).alias("lat"), (hash_unit(key, "b") * 60).alias("lon"))

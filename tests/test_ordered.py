@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import lookup_join, spread_join
+from ledgerline.operators.joins import fits_broadcast, lookup_join, spread_join
 from ledgerline.operators.ordered import has_large_group, large_groups, ordered_columns
 from tests.conftest import rows
 
@@ -51,17 +51,38 @@ def test_null_keys_form_a_group(spark):
 def test_salted_join_equals_plain_join(spark, skewed, how):
     lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("k3", 3), ("none", 4)], "k string, w int")
     plain = skewed.join(lookup, ["k"], how)
-    assert rows(spread_join(skewed, lookup, ["k"], how, limit=100, pieces=8)) == rows(plain)
-    assert rows(lookup_join(skewed, lookup, ["k"], how, max_rows=2, limit=100)) == rows(plain)
+    assert rows(spread_join(skewed, lookup, ["k"], how, limit=100)) == rows(plain)
+    assert rows(lookup_join(skewed, lookup, ["k"], how, max_bytes=2, limit=100)) == rows(plain)
 
 
 def test_lookup_is_broadcast_only_within_its_bound(spark, skewed, capsys):
     lookup = spark.range(50).select(F.concat(F.lit("k"), "id").alias("k"))
-    lookup_join(skewed, lookup, ["k"], max_rows=50).explain()
+    lookup_join(skewed, lookup, ["k"]).explain()
     assert "BroadcastHashJoin" in capsys.readouterr().out
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        lookup_join(skewed, lookup, ["k"], max_rows=49).explain()
+        lookup_join(skewed, lookup, ["k"], max_bytes=50).explain()
         assert "SortMergeJoin" in capsys.readouterr().out
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_wide_lookup_of_many_narrow_rows_is_broadcast(spark):
+    dimension = spark.range(600_000).select(F.col("id").alias("k"), F.concat(F.lit("55"), "id").alias("phone"), F.lit("GOLD").alias("kind"))
+    assert fits_broadcast(dimension) and not fits_broadcast(dimension, max_bytes=2**20)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_equal_rows_and_null_keys_spread(spark, how):
+    left = spark.range(4000).select(F.when(F.col("id") % 2 == 0, "hot").alias("k"), F.lit("same").alias("v"))
+    right = spark.createDataFrame([("hot", 1), (None, 2)], "k string, w int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spread_join(left, right, ["k"], how, limit=200)
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows(joined) == rows(left.join(right, ["k"], how))
+    assert max(sizes) < 0.6 * sum(sizes) and len(sizes) > 2

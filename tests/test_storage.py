@@ -101,8 +101,9 @@ def test_source_size_and_throughput(spark, tmp_path):
     assert sizes["files"] == 2 and sizes["bytes"] == sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
     df = spark.createDataFrame([("ab", None), ("é", 1)], "a string, b int")
     report = throughput(df, 2.0).first()
-    assert report["total_rows"] == 2 and report["total_mb"] == 5 / 2**20
-    assert report["gb_per_minute"] == pytest.approx(5 / 2**20 / 2 * 60 / 1024)
+    assert report["rows"] == 2 and report["text_bytes"] == 5 and report["rows_a_second"] == 1
+    assert report["mib_a_second"] == pytest.approx(2.5 / 2**20)
+    assert report["gib_a_minute"] == pytest.approx(5 / 2**30 * 30)
 
 
 @pytest.mark.parametrize("count", [0, 1, 100, 101, 1000])
@@ -185,7 +186,7 @@ def test_stream_scd1_equals_batch_and_replay_changes_nothing(spark, tmp_path):
         return rows(ch.scd1_rows(table.read()).select("k", "v"))
 
     assert run("cp") == [("a", "x"), ("b", "r"), ("c", "q")]
-    # A lost checkpoint repeats all batches; their versions exist, so nothing changes.
+    # A lost checkpoint brings all batches again; their sequences are known, so nothing changes.
     assert run("cp-again") == [("a", "x"), ("b", "r"), ("c", "q")]
 
 
@@ -223,15 +224,79 @@ def test_random_late_batches_give_the_batch_history(spark, tmp_path, seed):
 
 def test_bucket_that_becomes_empty(spark, tmp_path):
     table = tables.BucketedTable(spark, str(tmp_path / "t"), ["k"], buckets=1)
-    table.replace(spark.createDataFrame([("a", 1)], "k string, v int"), 0, [0])
-    table.replace(spark.createDataFrame([], "k string, v int"), 1, [0])
+    table.replace(spark.createDataFrame([("a", 1)], "k string, v int"), "one", [0])
+    table.replace(spark.createDataFrame([], "k string, v int"), "two", [0])
     assert table.read() is None
 
 
 def test_failed_batch_leaves_the_old_state(spark, tmp_path):
     table = tables.BucketedTable(spark, str(tmp_path / "t"), ["k"], buckets=2)
-    table.replace(spark.createDataFrame([("a", 1)], "k string, v int"), 0, [0, 1])
+    table.replace(spark.createDataFrame([("a", 1)], "k string, v int"), "one", [0, 1])
     broken = spark.createDataFrame([("a", 1)], "k string, v int").withColumn("v", F.raise_error(F.lit("x")).cast("int"))
     with pytest.raises(PySparkException):
-        table.replace(broken, 1, [0, 1])
+        table.replace(broken, "two", [0, 1])
     assert rows(table.read().select("k", "v")) == [("a", 1)]
+
+
+def test_new_checkpoint_and_second_stream_bring_news(spark, tmp_path):
+    table = tables.BucketedTable(spark, str(tmp_path / "t"), ["k"], buckets=4)
+    lots = {"old": [("a", 1, "1", "U"), ("b", 1, "2", "U")], "new": [("a", 2, "NEW", "U"), ("c", 2, "3", "U")]}
+    for name, lot in lots.items():
+        land(spark, tmp_path / name, [lot])
+        stream = ingest.file_stream(spark, str(tmp_path / name), EVENTS)
+        apply.apply_scd1(stream, table, str(tmp_path / f"cp-{name}"), ["seq"], except_columns=["seq", "op"])
+    assert rows(ch.scd1_rows(table.read()).select("k", "v")) == [("a", "NEW"), ("b", "2"), ("c", "3")]
+
+
+def test_same_batch_is_applied_once(spark, tmp_path):
+    land(spark, tmp_path / "in", LOTS)
+    table = tables.BucketedTable(spark, str(tmp_path / "t"), ["k"], buckets=4)
+    for _ in range(2):
+        stream = ingest.file_stream(spark, str(tmp_path / "in"), EVENTS)
+        apply.apply_scd1(stream, table, str(tmp_path / "cp"), ["seq"], except_columns=["seq", "op"])
+    token = apply.batch_token(spark, str(tmp_path / "cp"), 0)
+    assert table.has(token) and not table.has(token[:-1] + "1")
+
+
+@pytest.mark.parametrize("kind", ["one", "two"])
+def test_batch_of_only_invalid_rows_is_set_aside(spark, tmp_path, kind):
+    land(spark, tmp_path / "in", [[(None, 1, "x", "U"), ("a", None, "y", "U")], [("a", 2, "z", "U"), (None, 9, "w", "U")]])
+    table = tables.BucketedTable(spark, str(tmp_path / "t"), ["k"], buckets=2)
+    stream = ingest.file_stream(spark, str(tmp_path / "in"), EVENTS, max_files=1)
+    if kind == "one":
+        apply.apply_scd1(stream, table, str(tmp_path / "cp"), ["seq"], except_columns=["seq", "op"])
+    else:
+        log = tables.BucketedLog(spark, str(tmp_path / "log"), table)
+        apply.apply_scd2(stream, table, log, str(tmp_path / "cp"), ["seq"], except_columns=["seq", "op"])
+    assert [r["v"] for r in table.read().collect()] == ["z"]
+    assert sorted(r["v"] for r in table.quarantined().collect()) == ["w", "x", "y"]
+
+
+def test_null_keys_in_snapshots_and_feeds(spark):
+    first = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    when = lambda day: F.lit(f"2024-01-0{day}").cast("timestamp")
+    state = ch.scd2_snapshot(None, first, ["k"], when(1))
+    state = ch.scd2_snapshot(state, first, ["k"], when(2))
+    assert state.count() == 1 and ch.changes_between(first, first, ["k"]).count() == 0
+    assert [r["v"] for r in ch.split_valid(first, ["k"])[1].collect()] == [2]
+    with pytest.raises(ValueError, match="columns differ"):
+        ch.changes_between(first, first.withColumn("w", F.lit(1)), ["k"])
+
+
+def test_table_stream_keeps_partition_columns(spark, tmp_path):
+    days = spark.range(6).select("id", F.concat(F.lit("2024-01-0"), (F.col("id") % 3 + 1).cast("string")).cast("date").alias("partition_date"))
+    days.write.partitionBy("partition_date").parquet(str(tmp_path / "days"))
+    wanted = F.col("partition_date") == F.lit("2024-01-02").cast("date")
+    stream = ingest.table_stream(spark, str(tmp_path / "days"), days.schema, where=wanted)
+    ingest.run_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert rows(spark.read.schema(days.schema).parquet(str(tmp_path / "out"))) == rows(days.filter(wanted))
+    tables.VersionedTable(spark, str(tmp_path / "versions")).publish(days)
+    with pytest.raises(ValueError, match="versions"):
+        ingest.table_stream(spark, str(tmp_path / "versions"), days.schema)
+
+
+def test_index_names_hold_all_buckets():
+    for buckets in ([0], [3, 799, 800, 5000], range(2000)):
+        names = tables._index_names(buckets)
+        assert sorted(b for n in names for b in tables._numbers(n)) == sorted(buckets)
+        assert all(len(n) < 240 for n in names)

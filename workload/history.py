@@ -52,8 +52,8 @@ def _landed_in_two_parts(spark, sf):
     events = _event_changes(spark, sf)
     path = new_dir(spark, "event-changes")
     afternoon = F.hour("ts") >= 12
-    events.filter(afternoon).repartition(2).write.parquet(f"{path}/first")
-    events.filter(~afternoon).repartition(2).write.parquet(f"{path}/second")
+    for lot, rows in (("first", afternoon), ("second", ~afternoon)):
+        events.filter(rows).write.option("maxRecordsPerFile", stage.FILE_ROWS).parquet(f"{path}/{lot}")
     return events.schema, path
 
 
@@ -64,12 +64,44 @@ def scd1_upsert(spark, sf):
     home = new_dir(spark, "scd1")
     target = BucketedTable(spark, f"{home}/table", ["user_id"], buckets=8)
     apply.apply_scd1(
-        file_stream(spark, path, schema, max_files=2), target, f"{home}/checkpoint", ["ts", "event_id"],
+        file_stream(spark, path, schema, max_files=1), target, f"{home}/checkpoint", ["ts", "event_id"],
         except_columns=["ts", "event_id"], delete_when=F.col("event_type") == "error",
     )
     return ch.scd1_rows(target.read())
 
 
+@query("scd1_restart", _LATEST_SQL)
+def scd1_restart(spark, sf):
+    """The second half of the events comes through a new checkpoint, whose batches are numbered from 0 again."""
+    schema, path = _landed_in_two_parts(spark, sf)
+    home = new_dir(spark, "scd1-restart")
+    target = BucketedTable(spark, f"{home}/table", ["user_id"], buckets=8)
+    for lot in ("first", "second"):
+        apply.apply_scd1(
+            file_stream(spark, f"{path}/{lot}", schema), target, f"{home}/checkpoint-{lot}", ["ts", "event_id"],
+            except_columns=["ts", "event_id"], delete_when=F.col("event_type") == "error",
+        )
+    return ch.scd1_rows(target.read())
+
+
+@query("scd_quarantine", """
+    SELECT event_id, CASE WHEN event_id % 10 = 3 THEN 'user_id' ELSE 'ts' END AS missing, event_type
+    FROM events WHERE event_id % 10 IN (3, 4)
+""")
+def scd_quarantine(spark, sf):
+    """Changes without a key or without a sequence are stored beside the table, none is lost."""
+    gone = lambda name, last: F.when(F.col("event_id") % 10 != last, F.col(name)).alias(name)
+    events = _event_changes(spark, sf).select(gone("user_id", 3), gone("ts", 4), "event_id", "event_type")
+    path, home = stage.land(events, spark, "faulty-changes"), new_dir(spark, "scd-quarantine")
+    target = BucketedTable(spark, f"{home}/table", ["user_id"], buckets=8)
+    apply.apply_scd1(
+        file_stream(spark, path, events.schema), target, f"{home}/checkpoint", ["ts", "event_id"],
+        except_columns=["ts", "event_id"], delete_when=F.col("event_type") == "error",
+    )
+    missing = F.when(F.col("user_id").isNull(), "user_id").otherwise("ts")
+    return target.quarantined().select("event_id", missing.alias("missing"), "event_type")
+
+
 @query("scd1_late_rows", _LATEST_SQL)
 def scd1_late_rows(spark, sf):
     """The same in batch form: a state from the later rows, then the earlier rows as news."""
@@ -112,7 +144,7 @@ def scd2_changes_stream(spark, sf):
     target = BucketedTable(spark, f"{home}/table", ["user_id"], buckets=8)
     log = BucketedLog(spark, f"{home}/log", target)
     apply.apply_scd2(
-        file_stream(spark, path, schema, max_files=2), target, log, f"{home}/checkpoint", ["ts", "event_id"],
+        file_stream(spark, path, schema, max_files=1), target, log, f"{home}/checkpoint", ["ts", "event_id"],
         except_columns=["ts", "event_id", "value", "props"], delete_when=F.col("event_type") == "error",
     )
     return _shown(target.read())

@@ -24,8 +24,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def hash_sql(key: str, salt: str) -> str:
     """SQL form of ``functions.hashing.hash_int``."""
-    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{salt}'), 1, 8))::BIGINT)"
+    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{salt}'), 1, 15))::BIGINT)"
 
 
 def unit_sql(key: str, salt: str) -> str:
-    return f"({hash_sql(key, salt)} / 4294967296.0::DOUBLE)"
+    return f"({hash_sql(key, salt)} / 1152921504606846976.0::DOUBLE)"

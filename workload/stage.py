@@ -111,10 +111,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def land(df: DataFrame, spark: SparkSession, label: str, files: int = 4) -> str:
+#: Rows in a landed file; the number of files follows from the data.
+FILE_ROWS = 1_000_000
+
+
+def land(df: DataFrame, spark: SparkSession, label: str, partition_by: tuple[str, ...] = ()) -> str:
     """Write ``df`` as files of a landing directory and return its path."""
     path = new_dir(spark, label)
-    df.repartition(files).write.parquet(path)
+    writer = df.write.option("maxRecordsPerFile", FILE_ROWS)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return path
 
 

@@ -38,7 +38,7 @@ def ingest_files_incremental(spark, sf):
     landing, target, checkpoint = f"{home}/landing", f"{home}/bronze", f"{home}/checkpoint"
     morning = F.hour("ts") < 12
     for lot in (events.filter(morning), events.filter(~morning)):
-        lot.repartition(3).write.mode("append").parquet(landing)
+        lot.write.option("maxRecordsPerFile", stage.FILE_ROWS).mode("append").parquet(landing)
         ingest.ingest_files(spark, landing, events.schema, target, checkpoint)
     ingest.ingest_files(spark, landing, events.schema, target, checkpoint)
     lineage = ["bronze_ts", "_metadata_file_path", "_metadata_file_modification_time"]
@@ -59,7 +59,7 @@ def _orders_csv(spark, sf, compression):
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
         F.col("o_orderdate").cast("date").alias("day"),
     )
-    tables.export_csv(orders.repartition(4), path, compression)
+    tables.export_csv(orders, path, compression)
     return path
 
 
@@ -89,17 +89,19 @@ def rescue_columns(spark, sf):
 
 @query("table_stream_filtered", """
     SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS partition_date FROM events
-    WHERE event_type IN ('purchase', 'signup', 'click')
+    WHERE event_type IN ('purchase', 'signup', 'click') AND CAST(ts AS DATE) >= DATE '2024-01-10'
 """)
 def table_stream_filtered(spark, sf):
+    """A table partitioned by date, itself written by a stream, read as a stream from one date on."""
     events = table(spark, sf, "events")
-    landing, home = stage.land(events, spark, "event-table", files=6), new_dir(spark, "table-stream")
-    stream = ingest.table_stream(
-        spark, landing, events.schema,
-        where=F.col("event_type").isin("purchase", "signup", "click"), max_bytes=2**30,
+    landing, home = stage.land(events, spark, "event-table"), new_dir(spark, "table-stream")
+    dated = ingest.table_stream(spark, landing, events.schema, max_bytes=2**30).select(
+        "event_id", "user_id", "event_type", "value", F.to_date("ts").alias("partition_date")
     )
-    dated = stream.select("event_id", "user_id", "event_type", "value", F.to_date("ts").alias("partition_date"))
-    ingest.run_stream(dated, f"{home}/table", f"{home}/checkpoint", partition_by=["partition_date"])
+    ingest.run_stream(dated, f"{home}/dated", f"{home}/dated-checkpoint", partition_by=["partition_date"])
+    wanted = (F.col("partition_date") >= F.lit("2024-01-10").cast("date")) & F.col("event_type").isin("purchase", "signup", "click")
+    stream = ingest.table_stream(spark, f"{home}/dated", dated.schema, where=wanted, max_bytes=2**30)
+    ingest.run_stream(stream, f"{home}/table", f"{home}/checkpoint", partition_by=["partition_date"])
     return spark.read.parquet(f"{home}/table")
 
 
@@ -107,7 +109,7 @@ def table_stream_filtered(spark, sf):
 def message_pack_unpack(spark, sf):
     """Producer: micro-batches become messages. Consumer: a stream of messages becomes rows again."""
     events = table(spark, sf, "events")
-    landing, home = stage.land(events, spark, "to-pack", files=3), new_dir(spark, "messages")
+    landing, home = stage.land(events, spark, "to-pack"), new_dir(spark, "messages")
 
     def produce(batch, batch_id):
         packed = packing.pack_batches(batch, events.columns, size=500)
