@@ -40,6 +40,14 @@ def is_versioned(spark: SparkSession, path: str) -> bool:
     return bool(_Files(spark, path).glob(f"{path.rstrip('/')}/v=*"))
 
 
+def modified(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, time and length of the files at a path: changes when its content does."""
+    files = _Files(spark, path)
+    found = files._fs.globStatus(files.path(path)) or []
+    parts = [p for s in found for p in (files._fs.listStatus(s.getPath()) if s.isDirectory() else [s])]
+    return sorted((p.getPath().getName(), p.getModificationTime(), p.getLen()) for p in parts)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     return _Files(spark, path).exists(path)
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ledgerline.operators import changes as ch
+from ledgerline.operators.history import SnapshotHistory
 from ledgerline.sources.tables import BucketedLog, BucketedTable
 from ledgerline.streaming import apply
 from ledgerline.streaming.ingest import file_stream
@@ -190,14 +193,11 @@ def _versions_of_years(spark, sf):
     """One full snapshot per year, each applied to the state that the one before left."""
     states = materialize(stage.yearly_states(spark, sf), "yearly")
     first, last = states.agg(F.min("snapshot_year"), F.max("snapshot_year")).first()
-    target = None
+    history = SnapshotHistory(spark, new_dir(spark, "snapshot-history"), ["o_custkey"])
     for year in range(first, last + 1):
         snapshot = states.filter(F.col("snapshot_year") == year).drop("snapshot_year")
-        target = ch.scd2_snapshot(
-            target, snapshot, ["o_custkey"], F.lit(f"{year}-01-01").cast("timestamp"), track_except=["o_totalprice"]
-        )
-        target = materialize(target, "scd2-snapshot")
-    return target
+        history.apply(snapshot, dt.datetime(year, 1, 1), track_except=["o_totalprice"])
+    return history.read()
 
 
 def _years(versions):

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerline.functions.hashing import hash_unit
+from ledgerline.operators import changes as ch
+from ledgerline.operators.history import SnapshotHistory
 from ledgerline.operators.joins import lookup_join, spread_join
-from ledgerline.operators.changes import END, START
 from ledgerline.plans import calendar, star
+from ledgerline.sources.tables import modified
 from ledgerline.workspace import materialize, new_dir
 
 SEGMENT_CODES = {"AUTOMOBILE": "P", "BUILDING": "S", "FURNITURE": "G", "HOUSEHOLD": "PL", "MACHINERY": "V"}
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+_STORED: dict[tuple, DataFrame] = {}
 
 
 def stored(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
-    """Write a derived table once per session; dimensions and facts are stored tables to the reports."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    """Write a derived table once per session and state of the inputs; dimensions and facts are stored tables to the reports."""
+    inputs = [p for t in ("customer", "orders", "lineitem", "part", "supplier") for p in modified(spark, f"{sf}/{t}.parquet")]
+    key = (spark.sparkContext.applicationId, sf, name, hash(tuple(inputs)))
     if key not in _STORED:
         _STORED[key] = materialize(build(), name)
     return _STORED[key]
@@ -40,25 +45,54 @@ def customers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def with_closed_versions(rows: DataFrame) -> DataFrame:
-    """Every row as current version, and once more as a version that ended."""
-    opened = star.open_versions(rows)
-    ended = opened.withColumns(
-        {START: F.lit("1800-01-01").cast("timestamp"), END: F.lit("1900-01-01").cast("timestamp")}
+FIRST_STATE, SECOND_STATE = dt.datetime(1900, 1, 1), dt.datetime(1950, 1, 1)
+
+
+def earlier_customers(rows: DataFrame) -> DataFrame:
+    """An earlier state of the customers: every tenth is not there yet, every seventh is of another class."""
+    number = F.col("nu_doct").cast("long")
+    client = F.when(number % 7 == 0, F.lit("P")).otherwise(F.col("CLIENT"))
+    return rows.filter(number % 10 != 0).withColumn("CLIENT", client)
+
+
+def customer_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Type 2 versions of the customers from the change feed between two states of their table."""
+    after = customers(spark, sf)
+    before = earlier_customers(after)
+    feeds = [
+        ch.changes_between(old, new, ["nu_doct"]).withColumn("_commit_timestamp", F.lit(str(at)).cast("timestamp"))
+        for old, new, at in ((before.limit(0), before, FIRST_STATE), (before, after, SECOND_STATE))
+    ]
+    log = ch.scd2_log(
+        feeds[0].unionByName(feeds[1]), ["nu_doct"], ["_commit_timestamp"], delete_when=F.col(ch.OP) == "delete"
     )
-    return opened.unionByName(ended)
+    return ch.scd2_history(log, ["nu_doct"])
 
 
 def dim_customer(spark: SparkSession, sf: str) -> DataFrame:
     return stored(spark, sf, "dim-customer", lambda: star.dimension(
-        with_closed_versions(customers(spark, sf)), ["nu_doct"], "SK_DIM_CUSTOMER"))
+        customer_versions(spark, sf), ["nu_doct"], "SK_DIM_CUSTOMER"))
+
+
+def snapshot_dimension(spark: SparkSession, rows: DataFrame, keys: list[str], earlier: Column, name: str) -> DataFrame:
+    """A dimension from two snapshots: the rows ``earlier`` selects, with one that is withdrawn later, and all rows.
+
+    The surrogate key is made from business key and snapshot time, and kept as first written.
+    """
+    kinds = dict(rows.dtypes)
+    withdrawn = rows.sparkSession.range(1).select(*[
+        F.lit("withdrawn" if kinds[k] == "string" else -1).cast(kinds[k]).alias(k) for k in rows.columns])
+    history = SnapshotHistory(spark, new_dir(spark, name.lower()), keys)
+    for snapshot, at in ((rows.filter(earlier).unionByName(withdrawn), FIRST_STATE), (rows, SECOND_STATE)):
+        history.apply(snapshot.withColumn(name, F.xxhash64(*keys, F.lit(str(at)).cast("timestamp"))), at, keep=[name])
+    return history.read()
 
 
 def dim_product(spark: SparkSession, sf: str) -> DataFrame:
     """Products of the invoices: one per type and brand."""
-    kinds = table(spark, sf, "part").select(F.col("p_type").alias("ds_prdt"), F.col("p_brand").alias("ds_plno"))
-    return stored(spark, sf, "dim-product", lambda: star.dimension(
-        with_closed_versions(kinds.distinct()), ["ds_prdt", "ds_plno"], "SK_DIM_PRODUCT"))
+    kinds = table(spark, sf, "part").select(F.col("p_type").alias("ds_prdt"), F.col("p_brand").alias("ds_plno")).distinct()
+    return stored(spark, sf, "dim-product", lambda: snapshot_dimension(
+        spark, kinds, ["ds_prdt", "ds_plno"], ~F.col("ds_plno").endswith("1"), "SK_DIM_PRODUCT"))
 
 
 def dim_date(spark: SparkSession, sf: str) -> DataFrame:
