@@ -12,6 +12,8 @@ from ledgerline.workspace import materialize
 
 #: Bytes up to which a lookup side may be copied to every executor.
 BROADCAST_BYTES = 128 * 2**20
+#: Large keys that are collected and broadcast; more are stored and joined.
+HOT_KEYS = 10_000
 #: What rows may take in memory, against their size in a compressed columnar file.
 _UNPACKED = 8
 _FIXED_WIDTH = (NumericType, BooleanType, DateType, TimestampNTZType, TimestampType)
@@ -61,10 +63,14 @@ def spread_join(
     if how not in ("inner", "left"):
         raise ValueError("spread_join supports inner and left joins")
     on = list(on)
-    hot = materialize(large_groups(left if sized_by is None else sized_by, on, limit, "_n"), "hot-keys")
-    if hot.isEmpty():
+    large = large_groups(left if sized_by is None else sized_by, on, limit, "_n")
+    few = large.head(HOT_KEYS + 1)
+    if not few:
         return left.join(right, on, how)
-    # About (rows / limit) keys at most; Spark knows the stored size and picks the join.
+    if len(few) <= HOT_KEYS:
+        hot = F.broadcast(left.sparkSession.createDataFrame(few, large.schema))
+    else:  # about (rows / limit) keys: more than the driver should hold
+        hot = materialize(large, "hot-keys")
     hot = hot.select(*[F.col(c).alias(f"_hot_{c}") for c in on], F.ceil(F.col("_n") * 2 / limit).cast("int").alias("_salts"))
 
     def marked(side: DataFrame) -> DataFrame:

@@ -19,6 +19,9 @@ from ledgerline.workspace import materialize
 FIRST = 3
 STEP = 2
 DEEPEST = 23
+#: Quantiles per axis. Coordinates run evenly between neighbouring quantiles, so cells are small where points are dense,
+#: and a far outlier takes one of many strips instead of stretching the grid for all.
+STRIPS = 1024
 
 
 def _cell(level: int, depth: int = DEEPEST) -> Column:
@@ -99,13 +102,22 @@ def knn_join(
         f"{point_id} {points.schema[point_id].dataType.simpleString()}, distance double, rank int"
     if x0 is None:
         return queries.sparkSession.createDataFrame([], schema)
-    span = max(x1 - x0, y1 - y0) or 1.0
     finest = 2**DEEPEST
-
-    def coordinate(value: str, low: float) -> Column:
-        return F.least(F.floor((F.col(value) - low) / span * finest), F.lit(finest - 1)).cast("bigint")
-
-    places = materialize(located.withColumns({"_ix": coordinate("_x", x0), "_iy": coordinate("_y", y0)}), "places")
+    steps = [k / STRIPS for k in range(1, STRIPS)]
+    at = located.agg(F.percentile_approx("_x", steps, 20 * STRIPS), F.percentile_approx("_y", steps, 20 * STRIPS)).first()
+    edges = {"_x": sorted({x0, *at[0], x1}), "_y": sorted({y0, *at[1], y1})}
+
+    def coordinate(value: str) -> Column:
+        known = F.lit(edges[value])
+        strips = len(edges[value]) - 1
+        if not strips:
+            return F.lit(0).cast("bigint")
+        strip = F.least(F.size(F.filter(known, lambda e: e <= F.col(value))), F.lit(strips))
+        low, high = F.element_at(known, strip), F.element_at(known, strip + 1)
+        part = (strip - 1 + (F.col(value) - low) / (high - low)) / strips
+        return F.greatest(F.lit(0), F.least(F.floor(part * finest), F.lit(finest - 1))).cast("bigint")
+
+    places = materialize(located.withColumns({"_ix": coordinate("_x"), "_iy": coordinate("_y")}), "places")
 
     asked = queries.select(
         F.col(query_id).alias("_q"), F.col(x).cast("double").alias("_qx"), F.col(y).cast("double").alias("_qy")

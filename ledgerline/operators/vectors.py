@@ -8,13 +8,12 @@ and compared block by block, and every block passes on k rows per query.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -27,11 +26,29 @@ BLOCK = 512
 QUERY_BLOCKS = 32
 
 
-def train_centres(points: DataFrame, vector: str, lists: int, seed: int = 7, iterations: int = 5) -> np.ndarray:
-    """Cluster centres; their number is a parameter, so they fit on every executor."""
-    data = points.select(array_to_vector(F.col(vector)).alias("features"))
-    model = KMeans(k=lists, seed=seed, maxIter=iterations, initMode="random").fit(data)
-    return np.array(model.clusterCenters(), dtype=np.float64)
+#: Vectors per list that the centres are fitted on: the only bounded sample; every vector is indexed.
+FIT_PER_LIST = 64
+
+
+def train_centres(points: DataFrame, vector: str, lists: int, seed: int = 7, iterations: int = 8) -> np.ndarray:
+    """Cluster centres by Lloyd's rounds on ``FIT_PER_LIST`` x ``lists`` vectors, drawn by a hash of their content."""
+    rows = points.select(F.col(vector).alias("v")).filter(F.col("v").isNotNull())
+    drawn = rows.orderBy(F.xxhash64("v", F.lit(seed))).limit(FIT_PER_LIST * lists).toPandas()
+    if drawn.empty:
+        return np.zeros((0, 1))
+    data = np.unique(np.stack(drawn["v"].to_numpy()).astype(np.float64), axis=0)
+    draw = np.random.default_rng(seed)
+    centres = data[draw.permutation(len(data))[:lists]]
+    for _ in range(iterations):
+        own = (_squares(data, centres)).argmin(axis=1)
+        used = np.unique(own)
+        centres = np.stack([data[own == c].mean(axis=0) for c in used])
+    return centres
+
+
+def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances by one matrix product."""
+    return np.maximum((a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1) - 2 * (a @ b.T), 0)
 
 
 # Functions that run in tasks are nested, so they are shipped whole and the
@@ -39,13 +56,14 @@ def train_centres(points: DataFrame, vector: str, lists: int, seed: int = 7, ite
 
 def _assign(df: DataFrame, centres: np.ndarray, count: int) -> DataFrame:
     """The ``count`` nearest lists of every vector, with the distance to their centre."""
+    squares = lambda a, b: np.maximum((a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1) - 2 * (a @ b.T), 0)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch) == 0:
                 continue
             matrix = np.stack(batch["v"].to_numpy()).astype(np.float64)
-            far = np.stack([np.sqrt(((matrix - c) ** 2).sum(axis=1)) for c in centres], axis=1)
+            far = np.sqrt(squares(matrix, centres))
             order = np.argsort(far, axis=1, kind="stable")[:, :count]
             rows = np.repeat(np.arange(len(batch)), order.shape[1])
             out = batch.iloc[rows].reset_index(drop=True)
@@ -64,12 +82,12 @@ def _further_lists(df: DataFrame, centres: np.ndarray, radii: np.ndarray, probes
             if len(batch) == 0:
                 continue
             matrix = np.stack(batch["v"].to_numpy()).astype(np.float64)
-            far = np.stack([np.sqrt(((matrix - c) ** 2).sum(axis=1)) for c in centres], axis=1)
+            far = np.sqrt(np.maximum((matrix**2).sum(axis=1)[:, None] + (centres**2).sum(axis=1) - 2 * (matrix @ centres.T), 0))
             order = np.argsort(far, axis=1, kind="stable")
             visited = np.zeros(far.shape, dtype=bool)
             np.put_along_axis(visited, order[:, :probes], True, axis=1)
             reach = batch["reach"].to_numpy(dtype=np.float64, na_value=np.inf)
-            wanted = ~visited & (far - radii <= reach[:, None] * (1 + 1e-9) + 1e-9)
+            wanted = ~visited & (far - radii <= reach[:, None] * (1 + 1e-6) + 1e-6)
             rows, lists = np.nonzero(wanted)
             yield pd.DataFrame(
                 {"id": batch["id"].to_numpy()[rows], "v": batch["v"].to_numpy()[rows], "list": lists.astype("int32")}
@@ -106,12 +124,19 @@ def _compare(asked: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
             for row in range(batch.num_rows):
                 asked_ids, asked_rows = unpack(batch, "queries", row)
                 ids, matrix = unpack(batch, "points", row)
-                found = []
-                for query, vector in zip(asked_ids, asked_rows):
-                    far = ((matrix - vector) ** 2).sum(axis=1)
-                    best = np.lexsort((ids, far))[:k]
-                    found.append((np.full(len(best), query), ids[best], far[best]))
-                columns = [pa.array(np.concatenate(part)) for part in zip(*found)]
+                sizes = (asked_rows**2).sum(axis=1)[:, None] + (matrix**2).sum(axis=1)
+                rough = sizes - 2 * (asked_rows @ matrix.T)
+                reach = np.full(len(asked_ids), np.inf)
+                if len(ids) > k:
+                    reach = np.partition(rough, k - 1, axis=1)[:, k - 1] + 1e-9 * sizes.max(axis=1)
+                # All that may be among the k, ties and rounding included, are measured exactly.
+                rows, cols = np.nonzero(rough <= reach[:, None])
+                far = ((matrix[cols] - asked_rows[rows]) ** 2).sum(axis=1)
+                order = np.lexsort((ids[cols], far, rows))
+                rows, cols, far = rows[order], cols[order], far[order]
+                starts = np.searchsorted(rows, rows, "left")
+                best = np.arange(len(rows)) - starts < k
+                columns = [pa.array(asked_ids[rows[best]]), pa.array(ids[cols[best]]), pa.array(far[best])]
                 yield pa.RecordBatch.from_arrays(columns, names=["q", "p", "distance"])
 
     packed = materialize(_blocks(asked.select("id", "v", "list"), BLOCK, "queries"), "asked")
@@ -131,20 +156,28 @@ def knn_vectors(
     *,
     id: str,
     vector: str,
-    lists: int = 16,
-    probes: int = 2,
-    exact: bool = True,
+    lists: int | None = None,
+    probes: int | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """For every query its k nearest points by squared distance, ties by id.
 
-    With ``exact=False`` only the ``probes`` nearest lists are searched.
-    Returns ``q``, ``p``, ``distance``, ``rank``.
+    By default the index has about sqrt(n) lists, and a query looks into the nearest ``probes`` of them, by default four
+    times the square root of their number: the work per query grows as n to the power 3/4. ``exact`` goes on to all lists
+    that the triangle inequality does not exclude, which in many dimensions is nearly all. Returns ``q``, ``p``,
+    ``distance``, ``rank``.
     """
     named = lambda df: df.select(F.col(id).alias("id"), F.col(vector).alias("v"))
-    centres = train_centres(points, vector, lists)
-    # Of points with equal vectors no query needs more than k.
-    copies = Window.partitionBy("v").orderBy("id")
-    searched = named(points).withColumn("rn", F.row_number().over(copies)).filter(F.col("rn") <= k).drop("rn")
+    stored = materialize(named(points).filter(F.col("v").isNotNull()), "vectors")
+    count = stored.count()
+    lists = lists or max(1, math.isqrt(count))
+    centres = train_centres(stored, "v", lists)
+    if not len(centres):
+        return queries.sparkSession.createDataFrame([], "q long, p long, distance double, rank int")
+    probes = min(len(centres), probes or max(2, 4 * math.isqrt(len(centres))))
+    # Of points with equal vectors no query needs more than k. The hash spares comparing vectors that differ.
+    copies = Window.partitionBy(F.xxhash64("v"), "v").orderBy("id")
+    searched = stored.withColumn("rn", F.row_number().over(copies)).filter(F.col("rn") <= k).drop("rn")
     members = materialize(_assign(searched, centres, 1), "lists")
     blocks = materialize(_blocks(members.select("id", "v", "list"), BLOCK, "points"), "blocks")
     first = _compare(_assign(named(queries), centres, probes), blocks, k)

@@ -182,3 +182,30 @@ def test_change_feed_between_two_states(spark):
 def test_surrogate_key_is_stable(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     assert rows(ch.surrogate_key(df, ["id"], "sk")) == rows(ch.surrogate_key(df.repartition(3), ["id"], "sk"))
+
+
+def test_a_snapshot_leaves_closed_files_alone(spark, tmp_path):
+    import datetime as dt
+
+    from ledgerline.operators.history import SnapshotHistory
+
+    history = SnapshotHistory(spark, str(tmp_path / "h"), ["k"])
+    days = [[("a", 1), ("b", 1)], [("a", 2), ("b", 1)], [("b", 1)], [("b", 1), ("a", 3)]]
+    state, before = None, {}
+    for n, rows_ in enumerate(days):
+        at = dt.datetime(2024, 1, n + 1)
+        snapshot = spark.createDataFrame(rows_, "k string, v int")
+        after = ch.scd2_snapshot(state, snapshot, ["k"], F.lit(str(at)).cast("timestamp"))
+        state = _stored(spark, tmp_path / f"s{n}", after)
+        history.apply(snapshot, at)
+        assert rows(history.read()) == rows(state)
+        now = {p: p.stat().st_mtime_ns for p in (tmp_path / "h").glob("v=*/state=closed/*.parquet")}
+        assert before.items() <= now.items()
+        before = now
+    with pytest.raises(ValueError, match="later"):
+        history.apply(snapshot, dt.datetime(2024, 1, 1))
+
+
+def _stored(spark, path, df):
+    df.write.parquet(str(path))
+    return spark.read.parquet(str(path))

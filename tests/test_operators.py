@@ -125,3 +125,15 @@ def test_vector_search_exact_and_recall(spark):
     near = search(exact=False, probes=4)
     recall = sum(len(set(near[q]) & set(truth[q])) for q in truth) / (5 * len(truth))
     assert recall > 0.7
+
+
+def test_knn_with_one_far_outlier_compares_few_pairs(spark):
+    key = F.col("id")
+    points = spark.range(2000).select(key, (hash_unit(key, "a") + 5).alias("lat"), (hash_unit(key, "b") + 5).alias("lon"))
+    points = points.unionByName(spark.createDataFrame([(2000, 9e7, 9e7)], "id long, lat double, lon double"))
+    found = knn_join(points, points.withColumnRenamed("id", "p"), 2, query_id="id", point_id="p")
+    got = {(r["id"], r["rank"]): r["distance"] for r in found.collect()}
+    data = [(r["id"], r["lat"], r["lon"]) for r in points.collect()]
+    for i, x, y in data[::97] + data[-1:]:
+        best = sorted((x - a) ** 2 + (y - b) ** 2 for _, a, b in data)[:2]
+        assert [got[i, 1], got[i, 2]] == pytest.approx(best)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import billing, checkdigits, labels
 from ledgerline.functions.hashing import hash_index, hash_int, hash_unit
 from ledgerline.operators import assign
-from ledgerline.operators.joins import lookup_join, spread_join
+from ledgerline.operators.joins import fits_broadcast, lookup_join, spread_join
 from ledgerline.plans import calendar as cal
 from ledgerline.sources.files import named_table
 from workload import stage
@@ -97,7 +97,9 @@ def invoice_amounts(spark, sf):
         F.when(F.col("o_orderstatus") == "F", "BANCARIO").otherwise("ELETRONICO").alias("ds_cnl_rcrg"),
     )
     parts = priced_parts(spark, sf).withColumnRenamed("p_partkey", "l_partkey")
-    invoices = lookup_join(spread_join(lines, orders, ["l_orderkey"]), parts, ["l_partkey"])
+    # Parts gain a few narrow columns from the inline products, so the size of their table decides.
+    small = fits_broadcast(table(spark, sf, "part"))
+    invoices = lookup_join(spread_join(lines, orders, ["l_orderkey"]), parts, ["l_partkey"], small=small)
     # Both sides carry a prefix through the join, as the amounts are computed from a wide row.
     clients = billing.prefix_columns(invoices, "clientes_").withColumnRenamed("clientes_o_custkey", "phone")
     services = billing.prefix_columns(_services(spark, sf), "servicos_").withColumnRenamed("servicos_o_custkey", "phone")
