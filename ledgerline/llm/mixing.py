@@ -14,6 +14,8 @@ from ledgerline.llm.common import store, word_count
 
 #: Hex digits of the order hash that number the cells of a source.
 CELL_DIGITS = 3
+#: Cells, of about 100 bytes each, up to which their table is broadcast.
+BROADCAST_CELLS = 300_000
 
 
 def order_hash(seed: int, id_column: Column) -> Column:
@@ -82,7 +84,9 @@ def with_repeats(
             F.struct("_before", "_b", "source_size", "target", "_whole", "_rest").alias("_mix_cut"),
         )
     )
-    # At most sources x 4,096 rows, far fewer than documents; Spark measures them and picks the join.
+    # Sources x 4,096 rows at most: broadcast while they are few, so that texts stay where they are; else a shuffle join.
+    if cells.count() <= BROADCAST_CELLS:
+        cut = F.broadcast(cut)
     joined = rows.join(
         cut, F.col("_mix_source").eqNullSafe(F.col("_source")) & (F.col("_mix_cell") == F.col("_cell"))
     ).drop("_source", "_cell")

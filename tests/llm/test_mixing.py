@@ -45,6 +45,13 @@ def test_near_target(spark):
         assert abs(taken[source] - target[source]) <= most[source]
 
 
+def test_same_mix_when_cells_are_not_broadcast(spark, monkeypatch):
+    show = lambda: sorted(str(r) for r in mixing.with_repeats(documents(spark)).select("doc_id", "mix").collect())
+    small = show()
+    monkeypatch.setattr(mixing, "BROADCAST_CELLS", 0)
+    assert show() == small
+
+
 def test_awkward_rows(spark):
     df = awkward(spark)
     rows = mixing.with_repeats(df, into="m").collect()
