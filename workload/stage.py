@@ -27,6 +27,11 @@ def stored(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     return _STORED[key]
 
 
+def forget() -> None:
+    """Build derived tables anew when they are next asked for."""
+    _STORED.clear()
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
