@@ -300,3 +300,25 @@ def test_index_names_hold_all_buckets():
         names = tables._index_names(buckets)
         assert sorted(b for n in names for b in tables._numbers(n)) == sorted(buckets)
         assert all(len(n) < 240 for n in names)
+
+
+def test_expectations_on_a_stream(spark, tmp_path):
+    from ledgerline.streaming import expect
+
+    land(spark, tmp_path / "in", [[("a", 1, "x", "U"), ("b", None, "y", "U")], [("c", 5, None, "U")]])
+    rules = {"has_seq": F.col("seq").isNotNull(), "short": F.length("v") < 3}
+
+    def run(action, name):
+        table = expect.ExpectedTable(spark, str(tmp_path / name))
+        stream = ingest.file_stream(spark, str(tmp_path / "in"), EVENTS, max_files=1)
+        expect.expect_stream(stream, rules, table, str(tmp_path / f"cp-{name}"), action)
+        return table
+
+    table = run("drop", "drop")
+    assert [r["k"] for r in table.accepted().collect()] == ["a"]
+    assert sorted((r["k"], r["failed_rules"]) for r in table.rejected().collect()) == [("b", ["has_seq"]), ("c", ["short"])]
+    totals = table.metrics().groupBy("rule").agg(F.sum("passed"), F.sum("failed"))
+    assert rows(totals) == [("has_seq", 2, 1), ("short", 2, 1)]
+    assert run("warn", "warn").accepted().count() == 3
+    with pytest.raises(PySparkException):
+        run("fail", "fail")

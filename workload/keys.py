@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ledgerline.functions import geography
 from ledgerline.functions.hashing import hash_index
 from ledgerline.operators import nearest, pairing, quality, timeline, vectors
-from ledgerline.workspace import materialize
+from ledgerline.streaming import expect
+from ledgerline.streaming.ingest import file_stream
+from ledgerline.workspace import materialize, new_dir
 from workload import stage
 from workload.registry import hash_sql, query, unit_sql
 from workload.stage import table
@@ -57,6 +59,31 @@ def expectation_drop(spark, sf):
     return quality.expect(table(spark, sf, "customer"), rules, quality.DROP)
 
 
+@query("expectations_stream", """
+    WITH e AS (SELECT event_id, value > 20 AS a, event_type <> 'error' AND event_id % 9 > 0 AS b FROM events)
+    SELECT 'high_value' AS name, count(*) FILTER (a) AS passed, count(*) FILTER (NOT a) AS failed FROM e
+    UNION ALL SELECT 'usable', count(*) FILTER (b), count(*) FILTER (NOT b) FROM e
+    UNION ALL SELECT 'rows', count(*) FILTER (a AND b), count(*) FILTER (NOT (a AND b)) FROM e
+    UNION ALL SELECT 'ids', sum(event_id) FILTER (a AND b), sum(event_id) FILTER (NOT (a AND b)) FROM e
+""")
+def expectations_stream(spark, sf):
+    """Rules on a stream: counts per micro-batch, rows that fail stored apart. Shown: the counts, and the rows of either table."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    landing, home = stage.land(events, spark, "expected"), new_dir(spark, "expectations")
+    checked = expect.ExpectedTable(spark, f"{home}/table")
+    usable = F.when(F.col("event_id") % 9 > 0, F.col("event_type") != "error")  # NULL fails
+    expect.expect_stream(
+        file_stream(spark, landing, events.schema, max_files=1), {"high_value": F.col("value") > 20, "usable": usable},
+        checked, f"{home}/checkpoint",
+    )
+    counts = checked.metrics().groupBy(F.col("rule").alias("name")).agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+    sides = [
+        rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids")).select(F.stack(F.lit(2), F.lit("rows"), "rows", F.lit("ids"), "ids").alias("name", side))
+        for rows, side in ((checked.accepted(), "passed"), (checked.rejected(), "failed"))
+    ]
+    return counts.unionByName(sides[0].join(sides[1], "name"))
+
+
 @query("key_checks", """
     SELECT 'lineitem' AS name, count(*) AS total_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_keys,
            0 AS null_key_rows, count(*) = count(DISTINCT (l_orderkey, l_linenumber)) AS unique_key FROM lineitem
