@@ -28,7 +28,7 @@ from ledgerline.llm.graph import components
 #: Fingerprints of one shard above which it is cut, and rows that are searched at a time.
 SHARD_ROWS = 20_000
 TASK_ROWS = 100_000
-VISITS = 4_000_000
+VISITS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -36,13 +36,15 @@ class Settings:
     """``words`` 64-bit words of fingerprint over shingles of ``shingle`` words; links differ in at most ``radius`` bits.
 
     Without ``recall`` no link is missed. With it (large radius), tables of sampled bits find a pair at the radius with that
-    probability and closer pairs with a higher one; a table uses about log2 of the number of fingerprints as bits.
+    probability and closer pairs with a higher one. A table's shards hold about ``load`` fingerprints: the smaller they are,
+    the more bits a table needs and the more tables the recall takes.
     """
 
     shingle: int = 3
     words: int = 1
     radius: int = 2
     recall: float | None = None
+    load: int = 16
     seed: int = 42
 
 
@@ -196,7 +198,7 @@ def _tables(settings: Settings, count: int) -> list[np.ndarray]:
     if settings.recall is None:
         blocks = np.array_split(np.arange(bits), settings.radius + 2)
         return [np.concatenate(pair) for pair in itertools.combinations(blocks, 2)]
-    size = max(12, min(40, math.ceil(math.log2(max(count, 2)))))
+    size = max(10, min(40, math.ceil(math.log2(max(count / settings.load, 2)))))
     agree = (1 - settings.radius / bits) ** size
     number = math.ceil(math.log(1 - settings.recall) / math.log(1 - agree))
     draw = np.random.default_rng(settings.seed)
