@@ -57,7 +57,7 @@ def escape(text: str, pattern: re.Pattern) -> str:
 
 
 def unescape(text: str) -> str:
-    return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL)
+    return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL) if "\\" in text else text
 
 
 def load_ranks(path: str = VOCABULARY) -> bytes:
@@ -71,20 +71,24 @@ class Codec:
     def __init__(self, ranks: bytes, template: Template):
         merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.plain = tiktoken.Encoding("plain", pat_str=SPLIT, mergeable_ranks=merges, special_tokens={})
-        first = max(merges.values()) + 1
+        first = self.first = max(merges.values()) + 1
         self.strings = {first + k: s for k, s in enumerate(template.reserved)}
         self.ids = {s: i for i, s in self.strings.items()}
         self.template, self.pattern = template, escape_pattern(template)
         self.marker = dict(template.markers)
         self.role_of = {self.ids[m]: r for r, m in template.markers}
+        self.controls = ["\\", *template.reserved]
+
+    def escaped(self, text: str) -> str:
+        return escape(text, self.pattern) if any(c in text for c in self.controls) else text
 
     def encode(self, role: str, text: str) -> tuple[np.ndarray, np.ndarray]:
         t, spell = self.template, self.plain.encode_ordinary
         if role in self.marker:
             head = [self.ids[t.open], self.ids[self.marker[role]]]
         else:
-            head = [self.ids[t.open], self.ids[t.role], *spell(escape(role, self.pattern)), self.ids[t.role_end]]
-        content = spell(escape(text, self.pattern))
+            head = [self.ids[t.open], self.ids[t.role], *spell(self.escaped(role)), self.ids[t.role_end]]
+        content = spell(self.escaped(text))
         ids = np.array([*head, *content, self.ids[t.close]], dtype=np.int32)
         steps = np.zeros(len(ids) + 1, dtype=np.int8)
         if role in t.learn:
@@ -99,16 +103,23 @@ class Codec:
             for special, run in groupby(ids, lambda i: i in self.strings)
         )
 
-    def decode(self, ids: list[int], mask: list[int]) -> tuple[str, str, str, int]:
+    def decode(self, ids: np.ndarray, mask: np.ndarray) -> tuple[str, str, str, int]:
         """Role, text, text under the mask, and rendered code points of one turn."""
-        spelled = lambda part: unescape(self.plain.decode_bytes(part).decode("utf-8", "replace"))
-        if ids[1] in self.role_of:
-            role, start = self.role_of[ids[1]], 2
+        rendered = lambda part: self.plain.decode_bytes(part.tolist()).decode("utf-8", "replace")
+        if int(ids[1]) in self.role_of:
+            role, start, head = self.role_of[int(ids[1])], 2, ""
         else:
-            stop = ids.index(self.ids[self.template.role_end])
-            role, start = spelled(ids[2:stop]), stop + 1
-        under = spelled([i for i, m in zip(ids, mask, strict=True) if m and i not in self.strings])
-        return role, spelled(ids[start:-1]), under, len(self.text(ids))
+            start = int(np.flatnonzero(ids == self.ids[self.template.role_end])[0]) + 1
+            head = rendered(ids[2 : start - 1])
+            role = unescape(head)
+        content = ids[start:-1]
+        said = rendered(content)
+        text = unescape(said)
+        learned = ids[mask > 0]
+        learned = learned[learned < self.first]
+        under = text if np.array_equal(learned, content) else unescape(rendered(learned)) if len(learned) else ""
+        marks = sum(len(self.strings[i]) for i in ids[ids >= self.first].tolist())
+        return role, text, under, len(said) + len(head) + marks
 
 
 _TURN = pa.schema([
@@ -194,9 +205,12 @@ def read_back(formatted: DataFrame, template: Template = Template(), vocabulary:
             return pa.RecordBatch.from_arrays(columns, schema=fields)
 
         for batch in batches:
-            for k in range(batch.num_rows):
-                conv, ids, mask = (batch.column(c)[k].as_py() for c in (0, 3, 4))
-                if state is None or batch.column(5)[k].as_py() == 0:
+            convs, positions = batch.column(0).to_pylist(), batch.column(5).to_pylist()
+            tokens, learned = (batch.column(c).flatten().to_numpy() for c in (3, 4))
+            ends = np.cumsum([0, *batch.column(3).value_lengths().to_pylist()])
+            for k, conv in enumerate(convs):
+                ids, mask = tokens[ends[k] : ends[k + 1]], learned[ends[k] : ends[k + 1]]
+                if state is None or positions[k] == 0:
                     if state is not None:
                         done.append(closed(state))
                     state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]

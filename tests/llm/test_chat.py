@@ -32,7 +32,7 @@ def test_escape_round_trip():
 def test_turn_round_trip(codec, role):
     for text in TEXTS:
         ids, mask = codec.encode(role, text)
-        found, said, under, chars = codec.decode(ids.tolist(), mask.tolist())
+        found, said, under, chars = codec.decode(ids, mask)
         assert (found, said, under) == (role, text, text if role == "assistant" else "")
         assert chars == len(codec.text(ids.tolist())) and set(mask.tolist()) <= {0, 1}
         reserved = [i for i in ids.tolist() if i in codec.strings]
