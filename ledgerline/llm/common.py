@@ -15,6 +15,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(df: DataFrame) -> None:
+    """Let Spark hand texts to Python in batches of 8 MB; the default of 64 MB is held several times over in every task.
+
+    A setting that the session has made itself stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, None) in (None, "67108864b", "67108864", "64m", "64MB"):
+        conf.set(_BATCH, "8m")
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

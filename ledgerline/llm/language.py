@@ -230,8 +230,8 @@ def with_language(
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         letters, scripts = letter_table()
         for batch in batches:
-            texts, rows, group, held = batch.to_pylist(), [], [], 0
-            for t in texts:
+            rows, group, held = [], [], 0
+            for t in (x.as_py() for x in batch):
                 group.append(t)
                 held += len(t or "")
                 if held > 4_000_000 or len(group) >= 2000:

@@ -14,7 +14,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.llm.common import utf8, window_keys
+from ledgerline.llm.common import small_batches, utf8, window_keys
 
 
 @dataclass(frozen=True)
@@ -117,10 +117,13 @@ def with_quality(
     the name ``into`` is replaced; other columns are untouched.
     """
 
+    small_batches(df)
+
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         compressor = zstandard.ZstdCompressor(level=bands.level)
         for batch in batches:
-            rows = [_row(data or b"", bands, base, compressor) for data in utf8(batch)]
+            parts = (batch.slice(a, 500) for a in range(0, len(batch), 500))
+            rows = [_row(data or b"", bands, base, compressor) for part in parts for data in utf8(part)]
             columns = list(zip(*rows, strict=True)) or [()] * _TYPE.num_fields
             yield pa.StructArray.from_arrays(
                 [pa.array(c, type=f.type) for c, f in zip(columns, _TYPE, strict=True)], fields=list(_TYPE)

@@ -22,13 +22,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from ledgerline.llm.common import store, utf8
+from ledgerline.llm.common import small_batches, store, utf8
 from ledgerline.llm.graph import components
 
 #: Fingerprints of one shard above which it is cut, and rows that are searched at a time.
 SHARD_ROWS = 20_000
 TASK_ROWS = 100_000
-VISITS = 1_000_000
+VISITS = 500_000
 
 
 @dataclass(frozen=True)
@@ -97,11 +97,14 @@ def simhash(hashes: np.ndarray, counts: np.ndarray, words: int) -> np.ndarray:
 def with_fingerprint(df: DataFrame, text: str, into: str, settings: Settings) -> DataFrame:
     """Add the binary column ``into``, big-endian. Null texts and texts without a word have fingerprint zero."""
 
+    small_batches(df)
+
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts, values = [], utf8(batch)
-            for a in range(0, len(values), 500):
-                each = [np.array(shingle_hashes(d or b"", settings.shingle, settings.seed), np.uint64) for d in values[a : a + 500]]
+            parts = []
+            for a in range(0, len(batch), 500):
+                values = utf8(batch.slice(a, 500))
+                each = [np.array(shingle_hashes(d or b"", settings.shingle, settings.seed), np.uint64) for d in values]
                 counts = np.array([len(x) for x in each])
                 found = simhash(np.concatenate(each), counts, settings.words)
                 parts += [x.tobytes() for x in found.astype(">u8")]
