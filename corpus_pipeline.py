@@ -1,8 +1,8 @@
 """A training corpus from raw documents: quality, near-duplicates, benchmark leaks, mixture, shards.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before kept. All but the last return the
-columns of ``documents``; between stages rows are written to the shared folder and read again. Near-duplicates share at
-least about 0.8 of their five-word shingles, and the one with the smallest id stays. The mixture repeats a document as often
+columns of ``documents``; between stages rows are written to the shared folder and read again. Near-duplicates are
+linked by five-word shingle sets with an exactly checked Jaccard similarity of 0.8 or more, and the one with the smallest id stays. The mixture repeats a document as often
 as it is to be read, so the last stage deals out repetitions, each with a slot of its own.
 """
 

@@ -7,6 +7,10 @@ to the parent, and a search follows only edges within the radius. Trees are buil
 broadcast, because all trees together grow with the corpus; a shard above ``SHARD_ROWS`` is cut into slices of which
 each pair gets a tree of its own. Subtrees already linked to the searching fingerprint are skipped, so a large group of
 copies costs little, and a shard passes on a spanning forest, never all pairs.
+
+With ``similarity`` fingerprints only propose: pairs that share a band of minimum hashes are candidates, and a link counts
+once the exact Jaccard similarity of the two shingle sets has been computed. Candidates are first each node and the
+smallest node of its bands; then all that differ in at most ``radius`` sketch bits and are not connected by checked links.
 """
 
 from __future__ import annotations
@@ -46,11 +50,14 @@ class Settings:
     recall: float | None = None
     load: int = 16
     seed: int = 42
+    #: Least Jaccard similarity of shingle sets, in percent, which each link is checked for; None: the radius decides.
+    similarity: int | None = None
 
 
-#: Five words and a similarity of 0.8: shingle counts of such texts have a cosine of 2 * 0.8 / 1.8, an angle of 0.151 pi;
-#: with 256 bits that is 39 bits, and one standard deviation is 5.7.
-SIMILAR = Settings(shingle=5, words=4, radius=44, recall=0.95)
+#: Bands of minimum hashes: at a similarity of 0.8 a pair shares one of 20 bands of 5 with probability 0.9996.
+BANDS, BAND_ROWS = 20, 5
+#: One bit of each of 256 minimum hashes; at 0.8 they differ in 25.6 bits with a deviation of 4.8, so 46 loses about 1 in 10,000.
+SIMILAR = Settings(shingle=5, words=4, radius=46, similarity=80)
 
 
 def shingle_hashes(data: bytes, size: int, seed: int) -> list[int]:
@@ -269,6 +276,138 @@ def links(prints: DataFrame, settings: Settings, count: int, shard_rows: int = S
     return ordered.mapInArrow(trees, "a binary, b binary")
 
 
+def with_sketch(df: DataFrame, text: str, settings: Settings) -> DataFrame:
+    """Add ``fp``, a digest of the shingle set (16 bytes) and its sketch, and ``keys``, its bands of 8 bytes each."""
+    small_batches(df)
+    bits = 64 * settings.words
+    draw = np.random.default_rng(settings.seed)
+    flips, factors = draw.integers(0, 2**64, (2, bits), dtype=np.uint64)
+    factors |= np.uint64(1)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = []
+            for data in utf8(batch):
+                hashes = np.unique(np.array(shingle_hashes(data or b"", settings.shingle, settings.seed), np.uint64))
+                least = np.full(bits, 2**64 - 1, np.uint64)
+                for a in range(0, len(hashes), 512):
+                    np.minimum(least, ((hashes[a : a + 512, None] ^ flips) * factors).min(axis=0), out=least)
+                sketch = np.packbits((least * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(63) == 1)
+                bands = [xxhash.xxh64_digest(least[BAND_ROWS * j : BAND_ROWS * (j + 1)].tobytes(), j) for j in range(BANDS)]
+                out.append(xxhash.xxh3_128_digest(hashes.tobytes()) + sketch.tobytes() + b"".join(bands))
+            yield pa.array(out, type=pa.binary())
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    both = df.withColumn("_both", F.arrow_udf(run, "binary")(F.col(text).cast("string")))
+    size = 16 + bits // 8
+    return both.withColumns({"fp": F.substring("_both", 1, size), "keys": F.substring("_both", size + 1, 8 * BANDS)}).drop("_both")
+
+
+def _shingle_sets(df: DataFrame, text: str, settings: Settings) -> DataFrame:
+    """Add ``shingles``, the sorted distinct hashes of the text as bytes."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array(
+                [np.unique(np.array(shingle_hashes(d or b"", settings.shingle, settings.seed), np.uint64)).tobytes() for d in utf8(batch)],
+                type=pa.binary(),
+            )
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return df.withColumn("shingles", F.arrow_udf(run, "binary")(F.col(text).cast("string")))
+
+
+def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) whose sets have at least the similarity."""
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for left, right in batches:
+            found = []
+            for x, y in zip(left, right, strict=True):
+                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                found.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield pa.array(found, pa.bool_())
+
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    left = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y"))
+    short, long = (f(F.octet_length("x"), F.octet_length("y")) for f in (F.least, F.greatest))
+    joined = pairs.join(left, "a").join(right, "b").where(short * 100 >= long * percent)
+    return joined.where(F.arrow_udf(run, "boolean")("x", "y")).select("a", "b")
+
+
+def checked_links(texts: DataFrame, prints: DataFrame, settings: Settings, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Edges (``a``, ``b``) of exactly checked similarity that connect all candidates which have it.
+
+    ``texts`` has ``_id``, ``_text`` and ``twin``; ``prints`` has ``fp``, ``keys`` and ``_least``, the row that stands for it.
+    """
+    words, radius = settings.words, settings.radius
+
+    def sketch(column: pa.Array) -> np.ndarray:
+        width = 2 + words
+        raw = np.frombuffer(b"".join(column.to_pylist()), np.uint64)
+        return np.ascontiguousarray(raw.reshape(-1, width)[:, 2:])
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(hamming(sketch(batch.column(0)), sketch(batch.column(1))) <= radius))
+
+    def search(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, root = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in (0, 1))
+        raw = np.array([x for b in held for x in b.column(2).to_pylist()], dtype=object)
+        tree = Trees(np.concatenate([sketch(b.column(2)) for b in held]), group)
+        label = np.unique(root, return_inverse=True)[1]
+        whole, chunk = tree.uniform(label), np.cumsum(tree.sizes) // VISITS
+        for part in np.split(np.arange(len(label)), np.flatnonzero(np.diff(chunk)) + 1):
+            a, b = tree.search(part, radius, label, whole)
+            kept = (label[a] != label[b]) & (raw[a] > raw[b])
+            yield pa.RecordBatch.from_arrays([pa.array(raw[x[kept]], pa.binary()) for x in (a, b)], names=["a", "b"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            while batch.num_rows:
+                group = batch.column(0).to_numpy()
+                if rows >= TASK_ROWS and group[0] != held[-1].column(0)[-1].as_py():
+                    yield from search(held)
+                    held, rows = [], 0
+                same = np.flatnonzero(group != group[0])
+                cut = same[0] if rows >= TASK_ROWS and len(same) else len(group)
+                held.append(batch.slice(0, cut))
+                rows, batch = rows + cut, batch.slice(cut)
+        if held:
+            yield from search(held)
+
+    key = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.substring("keys", j * 8 + 1, F.lit(8))))
+    keyed = prints.select("fp", key.alias("key"))
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("pivot")).where("n > 1")
+    shared = store(keyed.join(sizes, "key"), "shared")
+    wanted = prints.join(shared.select("fp").distinct(), "fp", "left_semi").select(
+        "fp", F.col("_least.id").alias("_node_id"), F.col("_least.twin").alias("_node_twin")
+    )
+    its = F.col("_id").eqNullSafe(F.col("_node_id")) & (F.col("twin") == F.col("_node_twin"))
+    # Of repeated rows one; the set is made once a row, after the join has dropped the others.
+    sets = store(
+        _shingle_sets(texts.join(wanted, its), "_text", settings).groupBy("fp").agg(F.first("shingles").alias("shingles")), "shingles"
+    )
+    stars = shared.where("fp <> pivot").select(F.col("fp").alias("a"), F.col("pivot").alias("b")).distinct()
+    first = store(_checked(stars.mapInArrow(close, "a binary, b binary"), sets, settings.similarity), "stars")
+    rooted = shared.select("key", "fp").join(components(first).withColumnRenamed("node", "fp"), "fp", "left").select(
+        "key", "fp", F.xxhash64(F.coalesce("root", "fp")).alias("root")
+    )
+    several = rooted.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    slices = F.ceil(F.col("n") / shard_rows).cast("int")
+    own = F.pmod(F.xxhash64("fp"), slices).cast("int")
+    dealt = rooted.join(several, "key").select(
+        "key", "root", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("other")
+    ).select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "root", "fp")
+    ordered = dealt.repartition("shard").sortWithinPartitions("shard", "fp")
+    rest = ordered.mapInArrow(pairs, "a binary, b binary").distinct().join(stars, ["a", "b"], "left_anti")
+    return first.unionByName(store(_checked(rest, sets, settings.similarity), "rest"))
+
+
 def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
     """``id``, ``twin`` (a hash of the text), ``fp`` (binary), ``component_id`` and ``chosen`` for every row.
 
@@ -278,16 +417,13 @@ def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id"
     shuffle. Null ids belong to components but name one only if it has no other. Repeated rows come back each. Only id and
     text are read.
     """
-    rows = store(
-        with_fingerprint(
-            df.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")).withColumn("twin", text_hash("_text")),
-            "_text", "fp", settings,
-        ).drop("_text"),
-        "prints",
-    )
+    texts = df.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")).withColumn("twin", text_hash("_text"))
+    exact = settings.similarity is not None
+    made = with_sketch(texts, "_text", settings) if exact else with_fingerprint(texts, "_text", "fp", settings)
+    rows = store(made.drop("_text"), "prints")
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), "twin"))
-    prints = store(rows.groupBy("fp").agg(first.alias("_least")), "distinct")
-    edges = links(prints, settings, prints.count())
+    prints = store(rows.groupBy("fp").agg(first.alias("_least"), *([F.min("keys").alias("keys")] if exact else [])), "distinct")
+    edges = checked_links(texts, prints, settings) if exact else links(prints, settings, prints.count())
     roots = components(edges)
     named = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "_least", F.coalesce("root", "fp").alias("root")
@@ -295,7 +431,7 @@ def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id"
     names = named.groupBy("root").agg(F.min("_least").alias("_first"))
     by_print = named.join(names, "root").select("fp", "_first")
     chosen = F.col("_id").eqNullSafe(F.col("_first.id")) & (F.col("twin") == F.col("_first.twin"))
-    return rows.join(by_print, "fp").select(
+    return rows.drop("keys").join(by_print, "fp").select(
         F.col("_id").alias(id_column), "twin", "fp", F.col("_first.id").alias("component_id"), chosen.alias("chosen")
     )
 

@@ -109,3 +109,32 @@ def test_stage_finds_near_copies(spark):
     pairs = {(a, b) for ids in places.values() if len(ids) < 30 for a in ids for b in ids if a < b}
     similar = [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     assert len(similar) > 20 and sum(component[a] == component[b] for a, b in similar) >= 0.9 * len(similar)
+
+
+def test_stage_decides_by_exact_similarity(spark):
+    draw = np.random.default_rng(3)
+    shingles = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    rows, linked, apart = [], [], []
+    for d in range(400):
+        words = [f"w{x}" for x in draw.integers(0, 10**9, 1000 if d % 2 else 300)]
+        other, wanted = list(words), 0.80 + 0.05 * draw.random() if d < 200 else 0.70 + 0.09 * draw.random()
+        for place in draw.permutation(len(words)):
+            before, other[place] = other[place], "changed%d" % place
+            s, t = shingles(words), shingles(other)
+            if len(s & t) < wanted * len(s | t):
+                other[place] = before
+                break
+        s, t = shingles(words), shingles(other)
+        similar = len(s & t) >= 0.8 * len(s | t)
+        (linked if similar else apart).append(d)
+        rows += [(2 * d, " ".join(words)), (2 * d + 1, " ".join(other))]
+    # Dominated by a repeated passage: equal as multisets, different as sets.
+    repeat = "over and over again here now " * 3000
+    for d in (400, 401):
+        rows.append((2 * d, repeat + " ".join(f"own{d}x{k}" for k in range(100))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.keep_one(df).collect()}
+    assert len(linked) > 150 and len(apart) > 150
+    assert all(2 * d in kept for d in [*linked, *apart, 400, 401])
+    assert all(2 * d + 1 in kept for d in apart)
+    assert sum(2 * d + 1 not in kept for d in linked) >= 0.99 * len(linked)
