@@ -1,8 +1,8 @@
 """WARC archives: write pages as records, read archives back even when they are damaged.
 
-Writing is Spark's text sink whose line separator is the end of a record, so archives come and go with the job's commit
-on any file system. Files are
-gzip streams of many records. The salvage reader also takes plain files and members of one record each. It walks from record to record; where a check fails (version line, header, length,
+Writing is Spark's text sink, so archives come and go with the job's commit on any file system. Each record is a gzip
+member of its own, packed in the tasks, so damage costs the records it touches and no later ones; the sink's line
+separator is an empty member. The salvage reader also takes plain files and members of many records. It walks from record to record; where a check fails (version line, header, length,
 end of record, digest, compressed member) it searches for the next valid version line or gzip member, goes on there,
 and reports the bytes between as a quarantined gap.
 """
@@ -10,6 +10,7 @@ and reports the bytes between as a quarantined gap.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -18,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from ledgerline.llm.common import store
+from ledgerline.llm.common import small_batches, store
 from ledgerline.workspace import new_dir
 
 #: Payload bytes per archive file; a file is read by one task.
 FILE_BYTES = 16 << 20
 _END = "\r\n\r\n"
+#: An empty gzip member, which stands between two records.
+_EMPTY = gzip.compress(b"", mtime=0)
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 #: Stands for a null id in joins.
 _NO_ID = -(2**63)
@@ -99,10 +102,23 @@ def write_archives(
         field("Content-Length", F.octet_length(body).cast("string")),
         F.lit("\r\n"),
         body,
+        F.lit(_END),
     )
+    small_batches(df)
+
+    def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            packed = []
+            for data in batch:
+                packer = zlib.compressobj(wbits=31)
+                packed.append(packer.compress(data.as_buffer()) + packer.flush())
+            yield pa.array(packed, pa.binary())
+
+    pack.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    members = F.arrow_udf(pack, "binary")(record.cast("binary")).cast("string")  # the sink writes the bytes as they are
     (
-        joined.withColumn("_twin", twin).select(record.alias("value"))
-        .write.option("lineSep", _END).option("compression", "gzip").text(root)
+        joined.withColumn("_twin", twin).select(members.alias("value"))
+        .write.option("lineSep", _EMPTY.decode("latin-1")).option("encoding", "ISO-8859-1").option("compression", "none").text(root)
     )
     return root
 
@@ -146,14 +162,20 @@ def parse_plain(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
 
 
 def inflate(data: bytes, at: int) -> tuple[bytes, int | None]:
-    """What the gzip member at ``at`` inflates to, and its end, None if it breaks off."""
+    """What the gzip member at ``at`` inflates to, and its end, None if it breaks off; all that comes before an error counts."""
     inflater, parts, place = zlib.decompressobj(wbits=31), [], at
-    try:
-        while place < len(data) and not inflater.eof:
+    while place < len(data) and not inflater.eof:
+        before = inflater.copy()
+        try:
             parts.append(inflater.decompress(data[place : place + 65536]))
-            place += 65536
-    except zlib.error:
-        return b"".join(parts), None
+        except zlib.error:  # a failing call gives nothing: go on from before it, byte by byte
+            try:
+                for k in range(place, min(place + 65536, len(data))):
+                    parts.append(before.decompress(data[k : k + 1]))
+            except zlib.error:
+                pass
+            return b"".join(parts), None
+        place += 65536
     return b"".join(parts), min(place, len(data)) - len(inflater.unused_data) if inflater.eof else None
 
 

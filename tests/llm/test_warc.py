@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+from pathlib import Path
 
 from tests.llm.helpers import LONG
 
@@ -80,3 +81,29 @@ def test_salvage_members(tmp_path, spark):
     rows = warc.read_archives(spark, str(tmp_path)).collect()
     assert {r["record_id"] for r in rows if r["kind"] == "record"} >= {"0", "2"} and any(r["kind"] == "gap" for r in rows)
     assert summary(b"") == [] and [x[2] for x in summary(b"no archive")] == ["version line"]
+
+
+def test_salvage_of_a_damaged_written_file(tmp_path, spark):
+    df = spark.range(3000).selectExpr("id as page_id", "concat('http://h/', id) as url", "repeat(concat(sha2(string(id), 256), ' words '), 5) as html")
+    root = warc.write_archives(df, root=str(tmp_path / "whole"))
+    (path,) = Path(root).glob("part-*")
+    whole = path.read_bytes()
+    assert gzip.decompress(whole).count(b"WARC/1.0\r\n") == 3000
+    for share in (0.1, 0.5, 0.9):
+        data = bytearray(whole)
+        data[int(share * len(data))] ^= 16
+        ids = [found[0]["warc-record-id"] for *_, found in warc.salvage(bytes(data)) if found]
+        assert len(ids) == len(set(ids)) >= 2998
+    data = bytearray(whole)
+    data[len(data) // 2 : len(data) // 2 + 5000] = bytes(5000)
+    (tmp_path / "hurt.warc.gz").write_bytes(data)
+    rows = warc.read_archives(spark, str(tmp_path / "hurt.warc.gz"), with_payload=False)
+    assert rows.where("kind = 'record'").count() > 2950 and rows.where("kind = 'gap'").count() >= 1
+
+
+def test_nothing_before_the_damage_is_lost():
+    records = [record(k, hashlib.sha256(b"%d" % k).hexdigest().encode() * 3) for k in range(1000)]
+    data = bytearray(gzip.compress(b"".join(records)))
+    data[-8] ^= 1  # the check sum, in the last step
+    found = summary(bytes(data))
+    assert [x[3] for x in found if x[3]] == [f"<urn:page:{k}>" for k in range(1000)] and found[-1][2] == "gzip member"
