@@ -14,6 +14,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -26,29 +28,28 @@ BLOCK = 512
 QUERY_BLOCKS = 32
 
 
-#: Vectors per list that the centres are fitted on: the only bounded sample; every vector is indexed.
+#: Distinct vectors per list that the centres are fitted on: the only bounded sample; every vector is indexed.
 FIT_PER_LIST = 64
 
 
 def train_centres(points: DataFrame, vector: str, lists: int, seed: int = 7, iterations: int = 8) -> np.ndarray:
-    """Cluster centres by Lloyd's rounds on ``FIT_PER_LIST`` x ``lists`` vectors, drawn by a hash of their content."""
-    rows = points.select(F.col(vector).alias("v")).filter(F.col("v").isNotNull())
-    drawn = rows.orderBy(F.xxhash64("v", F.lit(seed))).limit(FIT_PER_LIST * lists).toPandas()
-    if drawn.empty:
+    """Cluster centres fitted by Spark on about ``FIT_PER_LIST`` x ``lists`` distinct vectors, drawn by a hash of their content.
+
+    The sample stays in tasks; the driver holds the centres only.
+    """
+    rows = points.select(F.col(vector).alias("v"), F.xxhash64(vector, F.lit(seed)).alias("h")).filter(F.col("v").isNotNull())
+    distinct = rows.agg(F.approx_count_distinct("h", 0.02)).first()[0]
+    if not distinct:
         return np.zeros((0, 1))
-    data = np.unique(np.stack(drawn["v"].to_numpy()).astype(np.float64), axis=0)
-    draw = np.random.default_rng(seed)
-    centres = data[draw.permutation(len(data))[:lists]]
-    for _ in range(iterations):
-        own = (_squares(data, centres)).argmin(axis=1)
-        used = np.unique(own)
-        centres = np.stack([data[own == c].mean(axis=0) for c in used])
-    return centres
-
-
-def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances by one matrix product."""
-    return np.maximum((a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1) - 2 * (a @ b.T), 0)
+    share = FIT_PER_LIST * lists / distinct
+    # Small tables are taken whole: what is drawn may be off by a few vectors.
+    drawn = rows if share > 0.9 else rows.filter(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = materialize(drawn.groupBy("h", "v").agg(F.lit(1).alias("one")).select("v"), "sample")
+    some = sample.limit(2).collect()
+    if len(some) == 1:  # KMeans fails on a single vector
+        return np.array([some[0]["v"]], dtype=np.float64)
+    data = sample.select(array_to_vector(F.col("v").cast("array<double>")).alias("features"))
+    return np.stack(KMeans(k=max(lists, 2), seed=seed, maxIter=iterations, initMode="random").fit(data).clusterCenters())
 
 
 # Functions that run in tasks are nested, so they are shipped whole and the

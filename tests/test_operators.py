@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -137,3 +138,13 @@ def test_knn_with_one_far_outlier_compares_few_pairs(spark):
     for i, x, y in data[::97] + data[-1:]:
         best = sorted((x - a) ** 2 + (y - b) ** 2 for _, a, b in data)[:2]
         assert [got[i, 1], got[i, 2]] == pytest.approx(best)
+
+
+def test_centres_with_a_hot_vector(spark):
+    points = spark.range(3000).selectExpr("transform(sequence(1, 8), j -> float(hash(id, j) / 1e9)) as v")
+    # The vector that a draw by hash takes first, many times over.
+    hot = points.orderBy(F.xxhash64("v", F.lit(7))).limit(1).crossJoin(spark.range(5000)).select("v")
+    centres = vectors.train_centres(points.unionByName(hot), "v", 16)
+    assert 12 <= len(centres) <= 16 and len(np.unique(centres.round(6), axis=0)) == len(centres)
+    assert len(vectors.train_centres(points.limit(1), "v", 1)) == 1
+    assert len(vectors.train_centres(points.limit(0), "v", 4)) == 0
