@@ -143,7 +143,7 @@ def parse_plain(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """Headers, block and end of the record whose version line starts at ``at``."""
     if data[at : at + 7] != b"WARC/1.":
         raise Damaged("version line")
-    head_end = data.find(b"\r\n\r\n", at, at + 65536)
+    head_end = data.find(b"\r\n\r\n", at)
     if head_end < 0:
         raise Damaged("header end")
     headers = {}

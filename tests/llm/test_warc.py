@@ -107,3 +107,9 @@ def test_nothing_before_the_damage_is_lost():
     data[-8] ^= 1  # the check sum, in the last step
     found = summary(bytes(data))
     assert [x[3] for x in found if x[3]] == [f"<urn:page:{k}>" for k in range(1000)] and found[-1][2] == "gzip member"
+
+
+def test_very_long_address(spark):
+    url = "data:text/html," + "x" * 100_000
+    rows = warc.read_archives(spark, warc.write_archives(spark.createDataFrame([(1, url, "a"), (2, "u", "b")], "page_id long, url string, html string"))).collect()
+    assert sorted((r["kind"], r["record_id"], r["target_uri"]) for r in rows) == [("record", "1", url), ("record", "2", "u")]
