@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -73,3 +75,68 @@ def window_keys(words: list[bytes], size: int) -> np.ndarray:
         keys = keys[:-1] * room + ids[covered:]
         top, covered = top * room, covered + 1
     return keys
+
+
+_SPACES = np.zeros(256, dtype=bool)
+_SPACES[[0x20, *range(0x09, 0x0E)]] = True
+
+
+class Words:
+    """The words of a column of texts, as positions in its UTF-8 bytes: no object per word.
+
+    ``data`` holds the bytes of all texts, ``text_at`` where each text begins (one entry more than texts), ``starts`` and
+    ``stops`` the bytes of each word, ``first`` the number of the first word of each text (one entry more). A null text
+    has no words.
+    """
+
+    def __init__(self, column: pa.Array):
+        held = filled(column)
+        _, offsets, data = held.buffers()
+        self.text_at = np.frombuffer(offsets, dtype=np.int64)[held.offset : held.offset + len(held) + 1]
+        low, high = int(self.text_at[0]), int(self.text_at[-1])
+        whole = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
+        self.data, self.text_at = whole[low:high], self.text_at - low
+        inside = ~_SPACES[self.data]
+        begins, ends = inside.copy(), inside.copy()
+        begins[1:] &= ~inside[:-1]
+        ends[:-1] &= ~inside[1:]
+        edges = self.text_at[(self.text_at > 0) & (self.text_at < len(self.data))]
+        begins[edges] = inside[edges]
+        ends[edges - 1] = inside[edges - 1]
+        self.starts, self.stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        self.first = np.searchsorted(self.starts, self.text_at)
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def spelled(self, at: np.ndarray | None = None) -> pa.Array:
+        """The words, or those with the numbers ``at``, as binary values."""
+        starts, stops = (self.starts, self.stops) if at is None else (self.starts[at], self.stops[at])
+        sizes = stops - starts
+        offsets = np.zeros(len(sizes) + 1, dtype=np.int64)
+        np.cumsum(sizes, out=offsets[1:])
+        places = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
+        bytes_ = np.ascontiguousarray(self.data[places])
+        return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(bytes_)])
+
+    def ids(self) -> np.ndarray:
+        """A number for each word, equal exactly for equal words."""
+        return self.spelled().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def filled(column: pa.Array) -> pa.Array:
+    """A string column as large binary without nulls."""
+    held = column.cast(pa.large_string()).cast(pa.large_binary())
+    return held.fill_null(b"") if held.null_count else held
+
+
+def batch_function(run: Callable[[pa.Array], pa.Array], field_type: str) -> Callable[..., Column]:
+    """``run`` as a column function on Arrow batches, each cut to at most 500 rows so that results stay small too."""
+
+    def over(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            parts = [run(batch.slice(a, 500)) for a in range(0, len(batch), 500)]
+            yield pa.concat_arrays(parts) if parts else run(batch)
+
+    over.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}  # as objects: Spark reads them
+    return F.arrow_udf(over, field_type)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from ledgerline.llm import chat, decontaminate, language, mixing, quality, secrets, sharding, simhash, suffixes, warc
+from ledgerline.llm import chat, decontaminate, language, mixing, quality, runs, secrets, sharding, simhash, suffixes, warc
+from ledgerline.llm.common import WORD
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -216,6 +217,22 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return labelled.select("doc_id", "held_out", "language.lang_pred", "language.score")
 
 
+@query("op13_run_detection")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    key = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = table(spark, sf, "documents").select("doc_id", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), 0).alias("words"))
+    planted = words.select("doc_id", F.array_join(runs.with_planted_run(F.col("words"), key), " ").alias("text"))
+    best = F.col("periodic.strongest")
+    return runs.with_runs(planted).select(
+        "doc_id",
+        F.size("periodic.runs").cast("long").alias("n_runs"),
+        *[best[name].alias(name) for name in ("start", "length", "period")],
+        F.floor(best["length"] * 1000 / best["period"]).alias("exponent_milli"),
+        F.sha2(runs.listed(F.col("periodic.runs")), 256).alias("runs_sha256"),
+        F.sha2("periodic.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
