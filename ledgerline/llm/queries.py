@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from ledgerline.llm import chat, decontaminate, language, mixing, quality, runs, secrets, sharding, simhash, suffixes, warc
+from ledgerline.llm import chat, decontaminate, language, licenses, mixing, quality, runs, secrets, sharding, simhash, suffixes, warc
 from ledgerline.llm.common import WORD
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -217,7 +217,97 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return labelled.select("doc_id", "held_out", "language.lang_pred", "language.score")
 
 
-@query("op13_run_detection")
+def _rules_sql() -> str:
+    spelled = ", ".join(
+        f"({k}, '{r.label}', '{r.pattern}', {r.priority}, CAST({r.confidence} AS DOUBLE), {r.base})" for k, r in enumerate(licenses.RULES)
+    )
+    return f"(VALUES {spelled}) r(rule, label, pattern, priority, confidence, base)"
+
+
+def _words_sql(stretch: str) -> str:
+    return f"((length({stretch}) - length(replace({stretch}, ' ', ''))) // 2)"
+
+
+# Every rule is tried on every text that one expression of all of them finds something in: no keywords here.
+_OP11_SQL = rf"""
+    WITH d AS (SELECT doc_id, trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '{licenses.SEPARATOR}', '  ', 'g'), ' ') AS t FROM documents),
+    n AS (SELECT doc_id, CASE WHEN t = '' THEN '' ELSE ' ' || t || ' ' END AS t FROM d),
+    m AS (SELECT doc_id, rule, label, priority, confidence, base, string_split_regex(t, pattern) AS gs, regexp_extract_all(t, pattern) AS ms
+          FROM n, {_rules_sql()} WHERE regexp_matches(t, pattern)),
+    w AS (SELECT *, [{_words_sql("x")} for x in gs] AS gaps, [{_words_sql("x")} for x in ms] AS sizes FROM m),
+    f AS (SELECT doc_id, rule, label, priority, confidence, base,
+                 unnest([CAST(list_sum(gaps[1:i]) + coalesce(list_sum(sizes[1:i - 1]), 0) AS BIGINT) for i in range(1, len(ms) + 1)]) AS s,
+                 unnest(sizes) AS k FROM w),
+    e AS (SELECT *, s + k AS e FROM f),
+    stay AS (SELECT * FROM e WHERE base OR NOT EXISTS (
+        SELECT 1 FROM e o WHERE o.doc_id = e.doc_id AND o.s <= e.s AND o.e >= e.e AND o.priority <= e.priority
+            AND (o.k > e.k OR o.priority < e.priority OR (o.priority = e.priority AND o.rule < e.rule)))),
+    g AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(s) FILTER (base) AS first_word, max(s) FILTER (base) AS last_word,
+                 string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+                 string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(confidence) AS score FROM stay GROUP BY doc_id)
+    SELECT n.doc_id, CAST({_words_sql("t")} AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+           coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+    FROM n LEFT JOIN g USING (doc_id)
+"""
+
+
+@query("op11_license_scans", _OP11_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    found = licenses.with_licenses(table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("licenses.detections", lambda d: d["base"])
+    starts = F.transform(base, lambda d: d["start"].cast("long"))
+    return found.select(
+        "doc_id",
+        "licenses.n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(base, lambda d: d["label"]))), ",").alias("base_labels"),
+        F.array_join("licenses.labels", ",").alias("labels"),
+        "licenses.score",
+    )
+
+
+#: CRC-32 of short ASCII texts, as SQL: a table of the 256 remainders, then a step for each character.
+_CRC_TABLE = """(SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_concat([i], range(8)),
+    lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS c FROM range(256) r(i)))"""
+
+
+def _crc_sql(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_concat([4294967295], [CAST(ascii(x) AS BIGINT) for x in string_split({text}, '')]),
+                   lambda x, y: xor(x // 256, tab[xor(x % 256, y) + 1])))"""
+
+
+# A run's words repeat over 16 words or more a period later, so pairs of equal stretches of 16 words hold all runs.
+_OP13_SQL = rf"""
+    WITH k AS {_CRC_TABLE},
+    d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+                 coalesce({_crc_sql("CAST(doc_id AS VARCHAR)")}, 1) AS h FROM documents, k),
+    g AS (SELECT *, len(w) AS n, h // 10 AS g FROM d),
+    a AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM g),
+    p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+    t AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+                 THEN [w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1] for i in range(n)] ELSE w END AS w FROM p),
+    s AS (SELECT doc_id, unnest(range(0, n - 15)) AS i,
+                 unnest([md5_number(array_to_string(w[i + 1:i + 16], ' ')) for i in range(0, n - 15)]) AS x FROM t),
+    e AS (SELECT a.doc_id, a.i, b.i - a.i AS q FROM s a JOIN s b ON a.doc_id = b.doc_id AND a.x = b.x AND b.i > a.i),
+    f AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+    r AS (SELECT doc_id, q, min(i) AS s, count(*) + 15 + q AS l FROM f GROUP BY doc_id, q, island),
+    m AS (SELECT doc_id, s, l, min(q) AS q FROM r WHERE l >= greatest(24, 3 * q) GROUP BY doc_id, s, l),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM m),
+    x AS (SELECT doc_id, unnest(range(n)) AS i, unnest(w) AS w FROM t),
+    y AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS kept FROM x ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+    b AS (SELECT doc_id, count(*) AS n_runs, arg_min({{'s': s, 'l': l, 'q': q}}, (-l / CAST(q AS DOUBLE), s, q)) AS best,
+                 string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS listed FROM m GROUP BY doc_id)
+    SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.q AS period,
+           best.l * 1000 // best.q AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+           sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM t LEFT JOIN b USING (doc_id) LEFT JOIN y USING (doc_id)
+"""
+
+
+@query("op13_run_detection", _OP13_SQL)
 def op13(spark: SparkSession, sf: str) -> DataFrame:
     key = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     words = table(spark, sf, "documents").select("doc_id", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), 0).alias("words"))
