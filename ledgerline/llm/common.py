@@ -77,8 +77,16 @@ def window_keys(words: list[bytes], size: int) -> np.ndarray:
     return keys
 
 
-_SPACES = np.zeros(256, dtype=bool)
-_SPACES[[0x20, *range(0x09, 0x0E)]] = True
+def byte_set(members) -> np.ndarray:
+    """Whether each byte is one of ``members``."""
+    table = np.zeros(256, dtype=bool)
+    table[list(members)] = True
+    return table
+
+
+SPACES = byte_set([0x20, *range(0x09, 0x0E)])
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
 
 
 class Words:
@@ -86,17 +94,19 @@ class Words:
 
     ``data`` holds the bytes of all texts, ``text_at`` where each text begins (one entry more than texts), ``starts`` and
     ``stops`` the bytes of each word, ``first`` the number of the first word of each text (one entry more). A null text
-    has no words.
+    has no words. Words are runs of bytes outside ``spaces``; ``lower`` turns A-Z small.
     """
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, spaces: np.ndarray = SPACES, lower: bool = False):
         held = filled(column)
         _, offsets, data = held.buffers()
         self.text_at = np.frombuffer(offsets, dtype=np.int64)[held.offset : held.offset + len(held) + 1]
         low, high = int(self.text_at[0]), int(self.text_at[-1])
         whole = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
         self.data, self.text_at = whole[low:high], self.text_at - low
-        inside = ~_SPACES[self.data]
+        if lower:
+            self.data = _LOWER[self.data]
+        inside = ~spaces[self.data]
         begins, ends = inside.copy(), inside.copy()
         begins[1:] &= ~inside[:-1]
         ends[:-1] &= ~inside[1:]

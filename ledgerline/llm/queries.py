@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from ledgerline.llm import chat, decontaminate, language, licenses, mixing, quality, runs, secrets, sharding, simhash, suffixes, warc
+from ledgerline.llm import chat, collocations, decontaminate, language, licenses, mixing, quality, runs, secrets, sharding, simhash, suffixes, warc
 from ledgerline.llm.common import WORD
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -269,6 +269,36 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_OP12_SQL = r"""
+    WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang,
+                      unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+    t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+    o AS (SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') for i in range(1, len(w) - k + 2)]) AS phrase
+          FROM w, range(1, 5) r(k) WHERE len(w) >= k),
+    f AS (SELECT lang, k, phrase, count(*) AS f FROM o GROUP BY ALL),
+    c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+    x AS (SELECT lang, phrase, k, a, unnest(range(1, k)) AS cut, w FROM c),
+    s AS (SELECT x.lang, x.phrase, x.a, x.cut, l.f AS l, r.f AS r, CAST(2000000 AS HUGEINT) * x.a // (CAST(l.f AS HUGEINT) + r.f) AS score
+          FROM x JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+                 JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')),
+    b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    p AS (SELECT c.lang, c.a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+          FROM c, range(2, 4) q(m), range(1, 4) j(i) WHERE m < k AND i + m - 1 <= k),
+    g AS (SELECT lang, phrase, max(a) AS longer FROM p GROUP BY lang, phrase),
+    z AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank
+          FROM b LEFT JOIN g USING (lang, phrase)
+          WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a)
+    SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM z JOIN t USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_phrase_collocations", _OP12_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 #: CRC-32 of short ASCII texts, as SQL: a table of the 256 remainders, then a step for each character.
 _CRC_TABLE = """(SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_concat([i], range(8)),
     lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS c FROM range(256) r(i)))"""
