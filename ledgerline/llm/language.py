@@ -15,6 +15,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerline.llm.common import store
+
 #: First and last code point of common scripts (fixed values); letters outside are script 0.
 SCRIPTS = (
     (0x41, 0x24F, 1), (0x1E00, 0x1EFF, 1), (0x370, 0x3FF, 2), (0x1F00, 0x1FFF, 2), (0x400, 0x52F, 3), (0x530, 0x58F, 4),
@@ -50,12 +52,13 @@ class Model:
     languages: list[str]
     table: np.ndarray  # (3 * CELLS, languages): log odds
     allowed: np.ndarray  # (N_SCRIPTS, languages)
+    usual: int = 0  # the language with most letters in the fit
 
 
 def letter_table() -> tuple[np.ndarray, np.ndarray]:
-    """For each code point below 0x30000 whether it is a letter, and its script."""
-    letters = np.fromiter((chr(i).isalpha() for i in range(0x30000)), dtype=bool, count=0x30000)
-    scripts = np.zeros(0x30000, dtype=np.uint8)
+    """For each code point whether it is a letter, and its script."""
+    letters = np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
+    scripts = np.zeros(0x110000, dtype=np.uint8)
     for first, last, script in SCRIPTS:
         scripts[first : last + 1] = script
     return letters, scripts
@@ -83,7 +86,10 @@ def grams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(labelled: DataFrame, text: str, label: str, id_column: str, settings: Settings = Settings()) -> Model:
-    """Fit on at most about ``fit_rows`` texts per language. Counts are summed by Spark; the driver gets one row per language."""
+    """Fit on at most about ``fit_rows`` texts per language. Counts are summed by Spark; the driver gets one row per language.
+
+    Rows with a null text or label are not used; an empty table gives a model without languages.
+    """
     known = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(
         F.col(label).cast("string").alias("label"), F.col(text).cast("string").alias("text"), F.col(id_column).cast("string").alias("id")
     )
@@ -93,7 +99,8 @@ def fit(labelled: DataFrame, text: str, label: str, id_column: str, settings: Se
         return Model([], np.zeros((3 * CELLS, 0), dtype=np.float32), np.zeros((N_SCRIPTS, 0), dtype=bool))
     rates = F.create_map(*[F.lit(v) for k in names for v in (k, min(1.0, settings.fit_rows / counts[k]))])
     unit = F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1 << 20)) / float(1 << 20)
-    drawn = known.where(unit < F.element_at(rates, F.col("label")))
+    # Drawn by all tasks and stored: only then is the sample small enough for a few.
+    drawn = store(known.where(unit < F.element_at(rates, F.col("label"))).select("label", "text"), "labelled-sample")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters, scripts = letter_table()
@@ -112,27 +119,29 @@ def fit(labelled: DataFrame, text: str, label: str, id_column: str, settings: Se
         total = sum(np.frombuffer(x, dtype=np.int64) for x in pieces["counts"])
         return pd.DataFrame({"label": pieces["label"][:1], "counts": [total.tobytes()]})
 
-    partial = drawn.select("label", "text").coalesce(16).mapInPandas(count, "label string, counts binary")
+    partial = drawn.repartition(16).mapInPandas(count, "label string, counts binary")
     found = {r["label"]: np.frombuffer(r["counts"], dtype=np.int64) for r in partial.groupBy("label").applyInPandas(add, "label string, counts binary").collect()}
     names = [n for n in names if n in found]
     table = np.zeros((3 * CELLS, len(names)), dtype=np.float64)
     allowed = np.zeros((N_SCRIPTS, len(names)), dtype=bool)
+    letters = np.zeros(len(names), dtype=np.int64)
     for k, name in enumerate(names):
         for g in range(3):
             part = found[name][g * CELLS : (g + 1) * CELLS] + settings.smoothing
             table[g * CELLS : (g + 1) * CELLS, k] = np.log(part / part.sum())
         seen = found[name][3 * CELLS :]
         allowed[:, k] = seen >= max(1, settings.least_share * seen.sum())
+        letters[k] = seen.sum()
     table -= table.mean(axis=1, keepdims=True)
-    return Model(names, (table / 3).astype(np.float32), allowed)
+    return Model(names, (table / 3).astype(np.float32), allowed, int(letters.argmax()) if names else 0)
 
 
-def word_scores(codes: np.ndarray, model: Model, scripts: np.ndarray, cap: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and letter counts of the words, and a score for each word and language."""
+def word_scores(codes: np.ndarray, model: Model, scripts: np.ndarray, cap: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """Starts and letter counts of the words, a score for each word and language, whether any word's script is in use."""
     is_letter = codes > 0
     starts = np.flatnonzero(is_letter[1:] & ~is_letter[:-1]) + 1
     if not len(starts):
-        return starts, starts, np.zeros((0, len(model.languages)), dtype=np.float32)
+        return starts, starts, np.zeros((0, len(model.languages)), dtype=np.float32), False
     lengths = np.add.reduceat(is_letter.astype(np.int64), starts)
     scores = np.zeros((len(starts), len(model.languages)), dtype=np.float32)
     size = 1 << 18
@@ -149,7 +158,7 @@ def word_scores(codes: np.ndarray, model: Model, scripts: np.ndarray, cap: float
     some = usable.any(axis=1)
     scores[some[:, None] & ~usable] = -4 * cap
     scores[~some] = 0
-    return starts, lengths, scores
+    return starts, lengths, scores, bool(some.any())
 
 
 def viterbi(scores: np.ndarray, ends: np.ndarray, switch: float) -> np.ndarray:
@@ -196,8 +205,10 @@ def with_language(
     """Add the struct ``into``: ``lang_pred``, ``score`` (its share of the letters) and ``spans`` in code points of the lower-case text.
 
     Texts that are null, empty or without a letter are ``und`` with score 0 and no spans; so are all texts if the model
-    knows no language. Ties go to the language first in order. Words of a script that no language uses count for none.
-    No row moves; an existing column of that name is replaced. With ``spans`` off that field is null.
+    knows no language. Ties go to the language first in order. Words of a script that no language uses score alike for
+    all and follow their neighbours; a text of such words alone gets the language that most letters were learned from,
+    with score 0 and one span. No row moves; an existing column of that name is replaced. With ``spans`` off that field
+    is null. An empty table gives an empty one. A very long text takes about 100 bytes for each letter in its task.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)  # 0.8 MB for each language
 
@@ -209,11 +220,13 @@ def with_language(
         ends = np.cumsum([len(w[0]) for w in words])
         path = viterbi(np.concatenate([w[2] for w in words]), ends, settings.switch)
         out = []
-        for (starts, lengths, scores), end in zip(words, ends, strict=True):
+        for (starts, lengths, _, usable), end in zip(words, ends, strict=True):
             own = path[end - len(starts) : end]
-            if not len(own) or not scores.any():
+            if not len(own):
                 out.append((UNKNOWN, 0.0, [] if spans else None))
                 continue
+            if not usable:
+                own = np.full(len(own), known.usual)
             share = np.bincount(own, weights=lengths, minlength=len(known.languages))
             top = int(share.argmax())
             found = None
@@ -224,7 +237,7 @@ def with_language(
                     {"lang": known.languages[own[a]], "start": int(starts[a]) - 1, "end": int(starts[b] + lengths[b]) - 1}
                     for a, b in zip(first, last, strict=True)
                 ]
-            out.append((known.languages[top], float(share[top] / share.sum()), found))
+            out.append((known.languages[top], float(share[top] / share.sum()) if usable else 0.0, found))
         return out
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -8,6 +8,7 @@ of another of the same or a better priority is suppressed; base rules stay whate
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from itertools import groupby
 from string import ascii_lowercase, ascii_uppercase
@@ -235,7 +236,7 @@ def default_rules() -> tuple[Rule, ...]:
 
 RULES = default_rules()
 
-_SPAN = "struct<start:int,stop:int>"
+_RULE = "struct<keyword:string,pattern:string,priority:int,rule:int,label:string,confidence:double,base:boolean>"
 _FOUND = "struct<start:int,stop:int,priority:int,rule:int,label:string,confidence:double,base:boolean>"
 FIELDS = f"struct<n_words:bigint,detections:array<{_FOUND}>,labels:array<string>,score:double>"
 
@@ -263,16 +264,12 @@ def keyword_pattern(rules: tuple[Rule, ...]) -> str:
 
 def _detections(normal: Column, rules: tuple[Rule, ...]) -> Column:
     """All matches of the rules whose keywords the text has, by start, longest first, then by priority and rule."""
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"), F.lit(r.priority).alias("priority"),
-                F.lit(k).alias("rule"), F.lit(r.label).alias("label"), F.lit(r.confidence).alias("confidence"),
-                F.lit(r.base).alias("base"),
-            )
-            for k, r in enumerate(rules)
-        ]
-    )
+    rows = [
+        {"keyword": r.keyword, "pattern": r.pattern, "priority": r.priority, "rule": k, "label": r.label, "confidence": r.confidence, "base": r.base}
+        for k, r in enumerate(rules)
+    ]
+    # One literal: as a column for each field of each rule it would take longer to build than to run.
+    table = F.from_json(F.lit(json.dumps(rows)), f"array<{_RULE}>")
 
     def of_rule(r: Column) -> Column:
         return F.transform(

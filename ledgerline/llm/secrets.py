@@ -4,6 +4,9 @@ Every version is named by the SHA-256 of its content (a blob). The ledger holds,
 scanned it and what they found. A run scans only the pairs of blob and rule version that the ledger does not know, each
 blob once however many paths and versions hold it, and then joins the findings back to all of them. Everything is an
 expression of the JVM: positions come from splitting the text at the matches of a rule.
+
+Null and empty texts have no findings, an empty table gives an empty ledger and result. A text is one value of a row: a
+task holds some six copies of the longest; n matches in one text cost n to the power of 1.5.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerline.llm.expressions import let, places
 from ledgerline.workspace import new_dir
 
 
@@ -45,8 +49,9 @@ RULES = (
     # Greedy runs: a run that is too short for the rule holds no other match, so the length can be part of the pattern.
     Rule("access", r"AKIA[A-Z0-9]{16,}", r"AKIA"),
     Rule("hex", r"[0-9a-f]{24,}", r"[0-9a-f]{24}"),
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", r"PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", r"eyJ"),
+    # Repetitions are bounded, so no text takes more than a fixed number of steps for each of its characters.
+    Rule("pem", r"-----BEGIN (?:[A-Z0-9]{1,20} ){0,6}PRIVATE KEY-----", r"PRIVATE KEY-----", version=2),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,400}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", r"eyJ", version=2),
 )
 
 _FINDING = "array<struct<start:int,turn:int,kind:string,rule:string,end:int>>"
@@ -54,28 +59,22 @@ _LEDGER = f"blob string, scanned array<string>, findings {_FINDING}"
 
 
 def spans(text: Column, rule: Rule, turn: int) -> Column:
-    """Findings of one rule, in code points: a match starts after all gaps and matches before it."""
-    pattern = F.lit(rule.pattern)
-    found = F.regexp_extract_all(text, pattern, 0)
-    gap_lengths = F.transform(F.split(text, rule.pattern, -1), F.length)
-    lengths = F.transform(found, F.length)
-
-    def upto(values: Column, count: Column) -> Column:
-        return F.aggregate(F.slice(values, 1, count), F.lit(0), lambda a, b: a + b)
-
-    indexes = F.when(F.size(found) > 0, F.sequence(F.lit(1), F.size(found))).otherwise(F.array().cast("array<int>"))
-    all_spans = F.transform(
-        indexes,
-        lambda i: F.struct(
-            (upto(gap_lengths, i) + upto(lengths, i - 1)).alias("start"), F.lit(turn).alias("turn"),
-            F.lit(rule.kind).alias("kind"), F.lit(rule.key).alias("rule"),
-            (upto(gap_lengths, i) + upto(lengths, i)).alias("end"),
-        ),
-    )
+    """Findings of one rule, in code points."""
+
+    def of_rule(found: Column) -> Column:
+        return F.transform(
+            found,
+            lambda p: F.struct(
+                p["start"].alias("start"), F.lit(turn).alias("turn"), F.lit(rule.kind).alias("kind"), F.lit(rule.key).alias("rule"),
+                p["stop"].alias("end"),
+            ),
+        )
+
+    found = places(text, F.lit(rule.pattern))
     if rule.least:
-        values = F.regexp_extract_all(text, pattern, rule.group)
-        all_spans = F.filter(all_spans, lambda s, i: F.length(F.element_at(values, i + 1)) >= rule.least)
-    return F.when(text.rlike(rule.guard), all_spans).otherwise(F.array().cast(_FINDING)).cast(_FINDING)
+        sizes = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)), F.length)
+        found = let(sizes, lambda n: F.filter(places(text, F.lit(rule.pattern)), lambda p, i: F.element_at(n, i + 1) >= rule.least))
+    return F.when(text.rlike(rule.guard), of_rule(found).cast(_FINDING)).otherwise(F.array().cast(_FINDING))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -131,10 +130,19 @@ class BlobLedger:
         that were not scanned have null findings.
         """
         current = F.array(*[F.lit(r.key) for r in rules])
-        one = (
-            self.read()
-            .select("blob", F.filter("findings", lambda f: F.array_contains(current, f["rule"])).alias("f"))
-            .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("f")))).alias("findings"))
+        own = F.filter("findings", lambda f: F.array_contains(current, f["rule"]))
+        runs = F.collect_list(F.struct(F.array_intersect("scanned", current).alias("scanned"), own.alias("f")))
+        begin = F.struct(F.array().alias("rules"), F.array().alias("out")).cast(f"struct<rules:array<string>,out:{_FINDING}>")
+
+        def add(so_far: Column, run: Column) -> Column:
+            """Findings of rules that no other run has brought: a blob has as many runs as scans, not as findings."""
+            news = F.filter(run["f"], lambda f: ~F.array_contains(so_far["rules"], f["rule"]))
+            return F.struct(
+                F.concat(so_far["rules"], run["scanned"]).alias("rules"), F.concat(so_far["out"], news).alias("out")
+            )
+
+        one = self.read().groupBy("blob").agg(runs.alias("runs")).select(
+            "blob", F.array_sort(F.aggregate("runs", begin, add)["out"]).alias("findings")
         )
         named = versions.withColumn("blob", F.sha2(content_of(text), 256)).drop(text, "findings")
         return named.join(one, "blob", "left")

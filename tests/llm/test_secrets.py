@@ -1,4 +1,5 @@
 import re
+import time
 
 from tests.llm.helpers import awkward, documents, empty
 
@@ -67,3 +68,41 @@ def test_no_python(spark):
     ledger.scan(frame)
     plan = ledger.findings(frame)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def scanned(spark, texts):
+    frame = spark.createDataFrame(enumerate(texts), "doc_id long, text string")
+    ledger = secrets.BlobLedger(spark)
+    ledger.scan(frame)
+    return {r["doc_id"]: r["findings"] for r in ledger.findings(frame).collect()}
+
+
+def test_prefixes_of_rules_without_end(spark):
+    """A million characters of what each rule begins with: no stack, no time without end."""
+    size = 1_000_000
+    texts = [
+        "-----BEGIN " + "RSA " * (size // 4) + "PRIVATE KEY-----", "-----BEGIN " + "A" * size + " PRIVATE KEY-----", "-----BEGIN " * (size // 11) + "PRIVATE KEY-----",
+        "eyJ" * (size // 3), "eyJ" + "a" * size + ".eyJ", "eyJaaaaaaaa." * (size // 12), "token" * (size // 5), "token" + " " * size, "AKIA" * (size // 4),
+        "AKIA " * (size // 5), "abcdef0123456789 " * (size // 17), "a" * size, "word soup " * (size // 10),
+    ]
+    found = scanned(spark, texts)
+    assert [f["kind"] for f in found[0]] == [f["kind"] for f in found[1]] == []
+    assert [(f["kind"], f["start"], f["end"]) for f in found[8]] == [("access", 0, size)]
+    assert [(f["kind"], f["start"], f["end"]) for f in found[11]] == [("hex", 0, size)]
+
+
+def test_many_matches(spark):
+    began = time.perf_counter()
+    found = scanned(spark, ["0123456789abcdef01234567 " * 100_000])[0]
+    assert [(f["start"], f["end"]) for f in found] == [(25 * k, 25 * k + 24) for k in range(100_000)]
+    assert time.perf_counter() - began < 30
+
+
+def test_a_blob_scanned_twice_counts_once(spark):
+    frame = spark.createDataFrame([("a", "token=abcdefg token=hijklmn")], "path string, text string")
+    ledger = secrets.BlobLedger(spark)
+    ledger.scan(frame)
+    secrets.BlobLedger(spark, ledger.root + "-twin").scan(frame)
+    spark.read.parquet(ledger.root + "-twin").write.mode("append").parquet(ledger.root)
+    assert ledger.read().count() == 2
+    assert [f["start"] for f in ledger.findings(frame).first()["findings"]] == [0, 14]
