@@ -29,9 +29,10 @@ LONGEST = 4
 _BLANKS = byte_set([0x20, 0x09])
 _BREAKS = byte_set([*b".,;:!?", *range(0x0A, 0x0E)])
 _WORD_BITS = 21
-_RUNS = "lang string, size int, prefix string, phrase string, f bigint"
-#: Words of a batch that are worked on at once.
-_CHUNK = 1 << 20
+_RUNS = "part int, lang string, size int, phrase string, f bigint"
+#: Words of a batch that are worked on at once, and words that a task numbers before it begins anew.
+_CHUNK = 1 << 18
+_VOCABULARY = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,7 @@ class Mining:
     least: int = 30
     inside: int = 80
     top: int = 2000
-    entries: int = 1_000_000
+    entries: int = 400_000
     burst: int = 4096
     filter_bits: int = 26
 
@@ -137,27 +138,26 @@ class _Vocabulary:
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
         self.words: list[bytes] = [b""]
+        self.hashes: list[int] = [0]
 
     def room_for(self, count: int) -> bool:
-        return len(self.words) + count <= _MASK
+        return len(self.words) + count <= _VOCABULARY
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        number, spelled = self.number, self.words
-        out = np.empty(len(words), np.int64)
-        for k, word in enumerate(words):
+    def numbers(self, words: list[bytes], hashes: list[int]) -> np.ndarray:
+        number, spelled, hashed = self.number, self.words, self.hashes
+        out = []
+        for word, h in zip(words, hashes, strict=True):
             n = number.get(word)
             if n is None:
                 n = number[word] = len(spelled)
                 spelled.append(word)
-            out[k] = n
-        return out
+                hashed.append(h)
+            out.append(n)
+        return np.array(out, np.int64)
 
-    def spelled(self) -> pa.Array:
-        return pa.array(self.words, pa.large_binary())
 
-
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+def _text_hashes(texts: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(t.encode()) for t in texts), np.uint64, len(texts))
 
 
 def _joined(hashes: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -190,7 +190,7 @@ class _Counter:
 
     def runs(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in (batch.slice(a, 2000) for a in range(0, batch.num_rows, 2000)):
+            for part in (batch.slice(a, 1000) for a in range(0, batch.num_rows, 1000)):
                 yield from self._texts(part.column("lang"), part.column("text"))
         yield from self._spilled(everything=True)
 
@@ -201,58 +201,64 @@ class _Counter:
         if 1 in self.sizes:  # the size 0 counts all words of a language
             used, inverse = np.unique(lang, return_inverse=True)
             totals = np.bincount(inverse, counts, len(used)).astype(np.int64) if len(used) else []
-            yield self._batch(used, 0, pa.array([""] * len(used)), pa.array([""] * len(used)), totals)
+            yield self._batch(np.zeros(len(used), np.int32), used, 0, pa.array([""] * len(used)), totals)
         if not len(words):
             return
         # Words of one piece: no separator and no end of a text between them.
-        breaks = np.concatenate(([0], np.cumsum(_BREAKS[words.data])))
-        piece = breaks[words.starts] + np.repeat(np.arange(len(counts)), counts)
-        lang_of = np.repeat(lang, counts)
+        piece = np.searchsorted(np.flatnonzero(_BREAKS[words.data]), words.starts) + np.repeat(np.arange(len(counts)), counts)
+        lang_of, hashes = np.repeat(lang, counts), words.hashes()
+        open_ = self._open(hashes, lang_of) if self.gate is not None else None
         for at in range(0, len(words), _CHUNK):
             last = min(at + _CHUNK + LONGEST - 1, len(words))
-            chunk = words.spelled(np.arange(at, last)).dictionary_encode()
-            distinct = chunk.dictionary.to_pylist()
-            if not self.vocabulary.room_for(len(distinct)):
+            within = None if open_ is None else open_[at:last]
+            begins = [(size, self._begins(size, piece[at:last], within, min(_CHUNK, len(words) - at))) for size in self.sizes]
+            needed = np.zeros(last - at, bool)
+            for size, place in begins:
+                for k in range(size):
+                    needed[place + k] = True
+            needed = np.flatnonzero(needed)
+            spelled = words.spelled(at + needed).dictionary_encode()
+            code = spelled.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            if not self.vocabulary.room_for(len(spelled.dictionary)):
                 yield from self._spilled(everything=True)
                 self.vocabulary.clear()
-            codes = chunk.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            self._chunk(codes, distinct, piece[at:last], lang_of[at:last], min(_CHUNK, len(words) - at))
+            hash_of = np.zeros(len(spelled.dictionary), np.uint64)
+            hash_of[code] = hashes[at + needed]
+            numbers = self.vocabulary.numbers(spelled.dictionary.to_pylist(), hash_of.tolist())
+            codes = np.zeros(last - at, np.int64)
+            codes[needed] = code
+            for size, place in begins:
+                self._count(size, place, codes, numbers, lang_of[at:last])
             if self.trie.full():
                 yield from self._spilled()
 
-    def _chunk(self, codes: np.ndarray, distinct: list[bytes], piece: np.ndarray, lang: np.ndarray, begins: int) -> None:
-        numbers = self.vocabulary.numbers(distinct)
-        whole = {1: np.ones(len(codes), bool)}  # where a phrase of a size lies in one piece
-        for size in range(2, max(*self.sizes, 2) + 1):
-            whole[size] = np.zeros(len(codes), bool)
-            whole[size][: len(codes) - size + 1] = piece[size - 1 :] == piece[: len(codes) - size + 1]
-        open_ = self._open(codes, distinct, lang) if self.gate is not None else None
-        for size in self.sizes:
-            allowed = whole[size].copy()
-            allowed[begins:] = False
-            if open_ is not None:
-                for k in range(size - self.gate_size + 1):
-                    allowed[: len(codes) - k] &= open_[k:]
-                    allowed[len(codes) - k :] = False
-            place = np.flatnonzero(allowed)
-            if not len(place):
-                continue
+    def _begins(self, size: int, piece: np.ndarray, within: np.ndarray | None, count: int) -> np.ndarray:
+        """Where, among the first ``count`` places, a phrase of a size lies in one piece, all its parts let through."""
+        reach = max(min(count, len(piece) - size + 1), 0)
+        allowed = piece[size - 1 : size - 1 + reach] == piece[:reach]
+        if within is not None:
+            for k in range(size - self.gate_size + 1):
+                allowed &= within[k : k + reach]
+        return np.flatnonzero(allowed)
+
+    def _count(self, size: int, place: np.ndarray, codes: np.ndarray, numbers: np.ndarray, lang: np.ndarray) -> None:
+        if len(place):
             columns = [codes[place + k] for k in range(size)]
-            key = _packed(columns, lang[place])
-            _, one, counts = np.unique(key, return_index=True, return_counts=True)
+            _, one, counts = np.unique(_packed(columns, lang[place]), return_index=True, return_counts=True)
             self._add(lang[place[one]], [numbers[c[one]] for c in columns], counts)
 
-    def _open(self, codes: np.ndarray, distinct: list[bytes], lang: np.ndarray) -> np.ndarray:
+    def _open(self, of_word: np.ndarray, lang: np.ndarray) -> np.ndarray:
         """Where a phrase of the gate's size begins that may be frequent."""
-        of_word = _word_hashes(distinct)[codes]
-        names = sorted(self.langs, key=self.langs.get)
-        hashes = _word_hashes([x.encode() for x in names])[lang]
-        reach = len(codes) - self.gate_size + 1
+        hashes = _text_hashes(self._lang_names())[lang]
+        reach = max(len(of_word) - self.gate_size + 1, 0)
         for k in range(self.gate_size):
             hashes = _joined(hashes[:reach], of_word[k : k + reach])
         bit = hashes >> np.uint64(64 - self.mining.filter_bits)
         held = self.gate[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)
-        return np.concatenate((held.astype(bool), np.zeros(len(codes) - len(held), bool)))
+        return np.concatenate((held.astype(bool), np.zeros(len(of_word) - reach, bool)))
+
+    def _lang_names(self) -> list[str]:
+        return sorted(self.langs, key=self.langs.get)
 
     def _add(self, lang: np.ndarray, words: list[np.ndarray], counts: np.ndarray) -> None:
         head = lang << _WORD_BITS | words[0]
@@ -270,26 +276,31 @@ class _Counter:
             self.trie.add(h, rests[a:b], counted[a:b])
 
     def _spilled(self, everything: bool = False) -> Iterator[pa.RecordBatch]:
-        """The subtrees that leave the trie, as runs sorted by language, prefix and phrase."""
-        spelled = self.vocabulary.spelled()
+        """The subtrees that leave the trie, as runs sorted by part, language and phrase."""
+        spelled = pa.array(self.vocabulary.words, pa.large_binary())
+        hashes, of_lang = np.array(self.vocabulary.hashes, np.uint64), _text_hashes(self._lang_names())
         for heads, rests, counts in self.trie.spill(everything):
             numbers = [heads & _MASK] + [rests >> (k * _WORD_BITS) & _MASK for k in range(LONGEST - 1)]
             size = sum((n > 0).astype(np.int64) for n in numbers)
             for s in np.unique(size):
                 of_size = np.flatnonzero(size == s)
-                for a in range(0, len(of_size), 250_000):
-                    at = of_size[a : a + 250_000]
-                    words = [spelled.take(pa.array(n[at])) for n in numbers[:s]]
-                    phrase, prefix = _text(words), _text(words[:2])
-                    yield self._batch(heads[at] >> _WORD_BITS, int(s), prefix, phrase, counts[at])
-
-    def _batch(self, lang: np.ndarray, size: int, prefix: pa.Array, phrase: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-        names = pa.array(sorted(self.langs, key=self.langs.get), pa.string()).take(pa.array(lang, pa.int64()))
+                for a in range(0, len(of_size), 100_000):
+                    at = of_size[a : a + 100_000]
+                    lang = heads[at] >> _WORD_BITS
+                    # The part is told by the prefix: the first word, or the first two.
+                    prefix = of_lang[lang]
+                    for n in numbers[: min(s, 2)]:
+                        prefix = _joined(prefix, hashes[n[at]])
+                    part = (prefix >> np.uint64(33)).astype(np.int32)
+                    yield self._batch(part, lang, int(s), _text([spelled.take(pa.array(n[at])) for n in numbers[:s]]), counts[at])
+
+    def _batch(self, part: np.ndarray, lang: np.ndarray, size: int, phrase: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+        names = pa.array(self._lang_names(), pa.string()).take(pa.array(lang, pa.int64()))
         rows = pa.RecordBatch.from_arrays(
-            [names, pa.array([size] * len(names), pa.int32()), prefix.cast(pa.string()), phrase.cast(pa.string()), pa.array(counts, pa.int64())],
-            names=["lang", "size", "prefix", "phrase", "f"],
+            [pa.array(part), names, pa.array([size] * len(names), pa.int32()), phrase.cast(pa.string()), pa.array(counts, pa.int64())],
+            names=["part", "lang", "size", "phrase", "f"],
         )
-        return rows.take(pc.sort_indices(rows, sort_keys=[("lang", "ascending"), ("prefix", "ascending"), ("phrase", "ascending")]))
+        return rows.take(pc.sort_indices(rows, sort_keys=[(c, "ascending") for c in ("part", "lang", "phrase")]))
 
 
 def _text(words: list[pa.Array]) -> pa.Array:
@@ -303,10 +314,10 @@ def _counted(texts: DataFrame, sizes: tuple[int, ...], mining: Mining, gate_size
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _Counter(sizes, mining, gate_size, None if gate is None else gate.value).runs(batches)
 
-    key = ["lang", "size", "prefix"]
-    runs = texts.mapInArrow(run, _RUNS).repartition(*key).sortWithinPartitions(*key, "phrase")
-    merged = runs.groupBy(*key, "phrase").agg(F.sum("f").alias("f"))
-    return store(merged.where((F.col("f") >= mining.least) | (F.col("size") == 0)).drop("prefix"), f"phrases-{sizes[0]}")
+    key = ["part", "lang", "size", "phrase"]
+    runs = texts.mapInArrow(run, _RUNS).repartition("part").sortWithinPartitions(*key)
+    merged = runs.groupBy(*key).agg(F.sum("f").alias("f"))
+    return store(merged.where((F.col("f") >= mining.least) | (F.col("size") == 0)).drop("part"), f"phrases-{sizes[0]}")
 
 
 def _filter(spark: SparkSession, phrases: DataFrame, bits: int):
@@ -316,10 +327,11 @@ def _filter(spark: SparkSession, phrases: DataFrame, bits: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            hashes = _word_hashes([x.encode() for x in batch.column("lang").to_pylist()])
-            split = [p.encode().split(b" ") for p in batch.column("phrase").to_pylist()]
-            for words in zip(*split, strict=True):
-                hashes = _joined(hashes, _word_hashes(list(words)))
+            hashes = _text_hashes(batch.column("lang").to_pylist())
+            words = Words(batch.column("phrase"), _BLANKS)
+            of_word = words.hashes().reshape(batch.num_rows, -1)  # all phrases of a level have the same number of words
+            for k in range(of_word.shape[1]):
+                hashes = _joined(hashes, of_word[:, k])
             bit = hashes >> np.uint64(64 - bits)
             place, mask = (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63))
             yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(mask.view(np.int64))], names=["place", "mask"])

@@ -89,6 +89,17 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
 
+_BASE = 0xA0761D6478BD642F
+_BASE_INVERSE = pow(_BASE, -1, 2**64)
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    """1, base, base**2 ... modulo 2**64."""
+    out = np.full(count, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, out=out)
+
+
 class Words:
     """The words of a column of texts, as positions in its UTF-8 bytes: no object per word.
 
@@ -120,14 +131,26 @@ class Words:
         return len(self.starts)
 
     def spelled(self, at: np.ndarray | None = None) -> pa.Array:
-        """The words, or those with the numbers ``at``, as binary values."""
+        """The words, or those with the ascending numbers ``at``, as binary values."""
         starts, stops = (self.starts, self.stops) if at is None else (self.starts[at], self.stops[at])
-        sizes = stops - starts
-        offsets = np.zeros(len(sizes) + 1, dtype=np.int64)
-        np.cumsum(sizes, out=offsets[1:])
-        places = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
-        bytes_ = np.ascontiguousarray(self.data[places])
-        return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(bytes_)])
+        offsets = np.zeros(len(starts) + 1, dtype=np.int64)
+        np.cumsum(stops - starts, out=offsets[1:])
+        low, high = (int(starts[0]), int(stops[-1])) if len(starts) else (0, 0)
+        turns = np.zeros(high - low + 1, dtype=np.int8)
+        turns[starts - low] += 1
+        turns[stops - low] -= 1
+        letters = self.data[low:high][np.cumsum(turns[:-1], dtype=np.int8).view(bool)]
+        return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of each word, from powers of an odd number; words that differ may share one."""
+        letters = (self.data.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        sums = np.zeros(len(letters) + 1, dtype=np.uint64)
+        np.cumsum(letters * _powers(_BASE, len(letters)), out=sums[1:])
+        h = (sums[self.stops] - sums[self.starts]) * _powers(_BASE_INVERSE, len(letters) + 1)[self.starts]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        return h ^ (h >> np.uint64(29))
 
     def ids(self) -> np.ndarray:
         """A number for each word, equal exactly for equal words."""
