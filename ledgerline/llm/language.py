@@ -56,9 +56,9 @@ class Model:
 
 
 def letter_table() -> tuple[np.ndarray, np.ndarray]:
-    """For each code point whether it is a letter, and its script."""
-    letters = np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
-    scripts = np.zeros(0x110000, dtype=np.uint8)
+    """For each code point below 0x40000 whether it is a letter, and its script; no plane behind has letters."""
+    letters = np.fromiter((chr(i).isalpha() for i in range(0x40000)), dtype=bool, count=0x40000)
+    scripts = np.zeros(0x40000, dtype=np.uint8)
     for first, last, script in SCRIPTS:
         scripts[first : last + 1] = script
     return letters, scripts

@@ -10,7 +10,8 @@ copies costs little, and a shard passes on a spanning forest, never all pairs.
 
 With ``similarity`` fingerprints only propose: pairs that share a band of minimum hashes are candidates, and a link counts
 once the exact Jaccard similarity of the two shingle sets has been computed. Candidates are first each node and the
-smallest node of its bands; then all that differ in at most ``radius`` sketch bits and are not connected by checked links.
+smallest node of its bands; then, inside shards that hold the sets, all that differ in at most ``radius`` sketch bits and
+are not connected yet. No pair leaves a shard, only edges that merge components.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from ledgerline.llm.graph import components
 SHARD_ROWS = 20_000
 TASK_ROWS = 100_000
 VISITS = 500_000
+#: Bytes of shingle sets in a slice of a shard, and in the shards that a task works on at once.
+SHARD_BYTES, TASK_BYTES = 16 << 20, 32 << 20
 
 
 @dataclass(frozen=True)
@@ -337,8 +340,12 @@ def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(F.arrow_udf(run, "boolean")("x", "y")).select("a", "b")
 
 
-def checked_links(texts: DataFrame, prints: DataFrame, settings: Settings, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Edges (``a``, ``b``) of exactly checked similarity that connect all candidates which have it.
+def checked_links(texts: DataFrame, prints: DataFrame, settings: Settings, shard_bytes: int) -> DataFrame:
+    """Edges (``a``, ``b``) that connect exactly the candidates which links of checked similarity connect.
+
+    First each node is checked against the pivot, the smallest node, of each of its bands, in a join. Bands whose nodes
+    are not all connected by that become shards to which the shingle sets are sent: there a BK-tree finds what lies within
+    the radius, the sets decide, and what leaves the task is one edge for each component that was merged.
 
     ``texts`` has ``_id``, ``_text`` and ``twin``; ``prints`` has ``fp``, ``keys`` and ``_least``, the row that stands for it.
     """
@@ -354,31 +361,35 @@ def checked_links(texts: DataFrame, prints: DataFrame, settings: Settings, shard
             if batch.num_rows:
                 yield batch.filter(pa.array(hamming(sketch(batch.column(0)), sketch(batch.column(1))) <= radius))
 
-    def search(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def search(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         group, root = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in (0, 1))
         raw = np.array([x for b in held for x in b.column(2).to_pylist()], dtype=object)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for b in held for x in b.column(3)]
+        # Roots are one only inside a group here: another group of this task may hold other rows of it.
+        label = first_places(group, root)
+        before = label.copy()
         tree = Trees(np.concatenate([sketch(b.column(2)) for b in held]), group)
-        label = np.unique(root, return_inverse=True)[1]
-        whole, chunk = tree.uniform(label), np.cumsum(tree.sizes) // VISITS
+        chunk = np.cumsum(tree.sizes) // VISITS
         for part in np.split(np.arange(len(label)), np.flatnonzero(np.diff(chunk)) + 1):
-            a, b = tree.search(part, radius, label, whole)
-            kept = (label[a] != label[b]) & (raw[a] > raw[b])
-            yield pa.RecordBatch.from_arrays([pa.array(raw[x[kept]], pa.binary()) for x in (a, b)], names=["a", "b"])
+            a, b = tree.search(part, radius, label, tree.uniform(label))
+            label = linked(label, a, b, group, sets, settings.similarity)
+        joined = np.flatnonzero((before == np.arange(len(label))) & (label != before))  # one edge for each root that was merged
+        return pa.RecordBatch.from_arrays([pa.array(raw[x], pa.binary()) for x in (joined, label[joined])], names=["a", "b"])
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
+    def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             while batch.num_rows:
                 group = batch.column(0).to_numpy()
-                if rows >= TASK_ROWS and group[0] != held[-1].column(0)[-1].as_py():
-                    yield from search(held)
-                    held, rows = [], 0
+                if size >= TASK_BYTES and group[0] != held[-1].column(0)[-1].as_py():
+                    yield search(held)
+                    held, size = [], 0
                 same = np.flatnonzero(group != group[0])
-                cut = same[0] if rows >= TASK_ROWS and len(same) else len(group)
+                cut = same[0] if size >= TASK_BYTES and len(same) else len(group)
                 held.append(batch.slice(0, cut))
-                rows, batch = rows + cut, batch.slice(cut)
+                size, batch = size + held[-1].nbytes, batch.slice(cut)
         if held:
-            yield from search(held)
+            yield search(held)
 
     key = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.substring("keys", j * 8 + 1, F.lit(8))))
     keyed = prints.select("fp", key.alias("key"))
@@ -397,15 +408,102 @@ def checked_links(texts: DataFrame, prints: DataFrame, settings: Settings, shard
     rooted = shared.select("key", "fp").join(components(first).withColumnRenamed("node", "fp"), "fp", "left").select(
         "key", "fp", F.xxhash64(F.coalesce("root", "fp")).alias("root")
     )
-    several = rooted.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    slices = F.ceil(F.col("n") / shard_rows).cast("int")
-    own = F.pmod(F.xxhash64("fp"), slices).cast("int")
-    dealt = rooted.join(several, "key").select(
-        "key", "root", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("other")
-    ).select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "root", "fp")
-    ordered = dealt.repartition("shard").sortWithinPartitions("shard", "fp")
-    rest = ordered.mapInArrow(pairs, "a binary, b binary").distinct().join(stars, ["a", "b"], "left_anti")
-    return first.unionByName(store(_checked(rest, sets, settings.similarity), "rest"))
+    sized = rooted.join(sets.select("fp", F.octet_length("shingles").alias("bytes")), "fp")
+    main = sized.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min_by("root", "fp").alias("main"))
+    apart = sized.join(main.where("low <> high").select("key", "main"), "key").withColumn("other", F.col("root") != F.col("main"))
+    large = apart.groupBy("key").agg(
+        *[F.greatest(F.ceil(F.sum(F.when(side, F.col("bytes") + 64)) / shard_bytes), F.lit(1)).cast("int").alias(n) for n, side in (("rest", F.col("other")), ("mains", ~F.col("other")))]
+    )
+    ordered = apart.join(large, "key").select(F.explode(_shards_of()).alias("shard"), "root", "fp").join(sets, "fp").select(
+        "shard", "root", "fp", "shingles"
+    ).repartition("shard").sortWithinPartitions("shard", "fp")
+    return first.unionByName(store(ordered.mapInArrow(forests, "a binary, b binary"), "rest"))
+
+
+def _shards_of() -> Column:
+    """The shards of a row of ``key``, so that any two rows meet unless both are linked to its pivot already (``other`` false).
+
+    The rows linked to the pivot are cut into ``mains`` slices and the others into ``rest``; a shard holds one slice of each,
+    or two slices of the others. A key whose rows fit in one shard has one.
+    """
+    slice_ = F.pmod(F.xxhash64("fp"), F.when(F.col("other"), F.col("rest")).otherwise(F.col("mains"))).cast("int")
+
+    def shard(kind: int, a: Column, b: Column) -> Column:
+        return F.xxhash64("key", F.lit(kind), a, b)
+
+    with_mains = F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda j: shard(0, slice_, j))
+    with_rest = F.transform(F.sequence(F.lit(0), F.col("rest") - 1), lambda j: shard(1, F.least(slice_, j), F.greatest(slice_, j)))
+    others = F.when(F.col("rest") > 1, F.concat(with_mains, with_rest)).otherwise(with_mains)
+    return F.when(F.col("other"), others).otherwise(F.transform(F.sequence(F.lit(0), F.col("rest") - 1), lambda j: shard(0, j, slice_)))
+
+
+def first_places(group: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """For each row the first row of the same group and root."""
+    order = np.lexsort((np.arange(len(group)), root, group))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (group[order][1:] != group[order][:-1]) | (root[order][1:] != root[order][:-1])
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    return out
+
+
+#: Pairs of one group above which sets are compared as rows of bits, and pairs at a time.
+_FEW, _PAIRS = 64, 20_000
+
+
+def linked(label: np.ndarray, a: np.ndarray, b: np.ndarray, group: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """The labels after linking those of the pairs (a, b) whose sets have the similarity. Pairs already linked are not compared."""
+    sizes = np.array([len(s) for s in sets])
+    short, long = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
+    wanted = (a < b) & (100 * short >= percent * long) & (label[a] != label[b])
+    back = (a > b) & (100 * short >= percent * long) & (label[a] != label[b])
+    pairs = np.unique(np.stack([np.concatenate([a[wanted], b[back]]), np.concatenate([b[wanted], a[back]])]), axis=1)
+    order = np.argsort(group[pairs[0]], kind="stable")
+    a, b = pairs[0][order], pairs[1][order]
+    cuts = np.flatnonzero(np.diff(group[a])) + 1
+    for x, y in zip(np.split(a, cuts), np.split(b, cuts), strict=True):
+        compare = _Bits(np.unique(np.concatenate([x, y])), sets) if len(x) > _FEW else None
+        for k in range(0, len(x), _PAIRS):
+            p, q = x[k : k + _PAIRS], y[k : k + _PAIRS]
+            apart = label[p] != label[q]
+            p, q = p[apart], q[apart]
+            if compare is None:
+                both = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(p, q, strict=True)], np.int64)
+            else:
+                both = compare.common(p, q)
+            near = 100 * both >= percent * (sizes[p] + sizes[q] - both)
+            label = merged(label, p[near], q[near])
+    return label
+
+
+class _Bits:
+    """Sets as rows of bits, over the members that more than one of the sets has, some columns at a time."""
+
+    _COLUMNS = 1 << 14
+
+    def __init__(self, rows: np.ndarray, sets: list[np.ndarray]):
+        self.rows = rows
+        of = np.repeat(np.arange(len(rows)), [len(sets[r]) for r in rows])
+        _, member, counts = np.unique(np.concatenate([sets[r] for r in rows]), return_inverse=True, return_counts=True)
+        column = np.cumsum(counts > 1) - 1
+        several = counts[member] > 1
+        self.of, self.column = of[several], column[member[several]]
+        order = np.argsort(self.column, kind="stable")
+        self.of, self.column = self.of[order], self.column[order]
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Members that the sets of each pair share."""
+        a, b = np.searchsorted(self.rows, a), np.searchsorted(self.rows, b)
+        total = np.zeros(len(a), np.int64)
+        for low in range(0, int(self.column[-1]) + 1 if len(self.column) else 0, self._COLUMNS):
+            own = slice(*np.searchsorted(self.column, [low, low + self._COLUMNS]))
+            width = int(self.column[own][-1]) - low + 1
+            flat = np.zeros(len(self.rows) * -(-width // 64) * 64, dtype=bool)
+            flat[self.of[own] * (-(-width // 64) * 64) + self.column[own] - low] = True
+            bits = np.packbits(flat).view(np.uint64).reshape(len(self.rows), -1)
+            for k in range(0, len(a), 2000):
+                total[k : k + 2000] += np.bitwise_count(bits[a[k : k + 2000]] & bits[b[k : k + 2000]]).sum(axis=1, dtype=np.int64)
+        return total
 
 
 def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
@@ -423,7 +521,7 @@ def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id"
     rows = store(made.drop("_text"), "prints")
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), "twin"))
     prints = store(rows.groupBy("fp").agg(first.alias("_least"), *([F.min("keys").alias("keys")] if exact else [])), "distinct")
-    edges = checked_links(texts, prints, settings) if exact else links(prints, settings, prints.count())
+    edges = checked_links(texts, prints, settings, SHARD_BYTES) if exact else links(prints, settings, prints.count())
     roots = components(edges)
     named = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "_least", F.coalesce("root", "fp").alias("root")

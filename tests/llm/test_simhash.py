@@ -138,3 +138,55 @@ def test_stage_decides_by_exact_similarity(spark):
     assert all(2 * d in kept for d in [*linked, *apart, 400, 401])
     assert all(2 * d + 1 in kept for d in apart)
     assert sum(2 * d + 1 not in kept for d in linked) >= 0.99 * len(linked)
+
+
+def family(seed, size, changed, words=300):
+    """Copies of one text, each with some words of its own."""
+    draw = np.random.default_rng(seed)
+    base = [f"w{x}" for x in draw.integers(0, 10**9, words)]
+    out = []
+    for d in range(size):
+        text = list(base)
+        for place in draw.permutation(words)[:changed]:
+            text[place] = f"own{seed}x{d}x{place}"
+        out.append(text)
+    return out
+
+
+def exact_components(texts):
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return label
+
+
+@pytest.mark.parametrize("shard_bytes", [16 << 20, 20_000])
+def test_near_misses_and_links_of_families(spark, monkeypatch, shard_bytes):
+    """Families just below 0.8, just above it, and around it: links as by brute force, and no pairs leave a shard."""
+    monkeypatch.setattr(simhash, "SHARD_BYTES", shard_bytes)
+    passed_on = []
+    stored = simhash.store
+    monkeypatch.setattr(simhash, "store", lambda df, label: (passed_on.append((label, (r := stored(df, label)).count())), r)[1])
+    texts = family(1, 120, 8) + family(2, 120, 3) + family(3, 60, 5) + family(4, 60, 6) + [w + ["tail"] * 9 for w in family(5, 30, 7)]
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(df, settings=simhash.SIMILAR).collect()}
+    expected = exact_components(texts)
+    assert len({expected[k] for k in range(120)}) == 120 and len({expected[k] for k in range(120, 240)}) == 1
+    wrong = [k for k in range(len(texts)) if found[k] != expected[k]]
+    assert len(wrong) <= 0.01 * len(texts), wrong
+    counts = dict(passed_on)
+    assert counts["stars"] <= 20 * len(texts) and counts["rest"] <= (1 if shard_bytes > 100_000 else 40) * len(texts)
+
+
+def test_sets_as_bits():
+    draw = np.random.default_rng(4)
+    sets = [np.unique(draw.integers(0, 40_000, n).astype(np.uint64)) for n in (0, 1, 30_000, 30_000, 500, 20_000)]
+    rows = np.array([0, 1, 2, 3, 5])
+    a, b = np.array([0, 1, 2, 3, 2]), np.array([1, 2, 3, 5, 5])
+    common = simhash._Bits(rows, sets).common(a, b)
+    assert common.tolist() == [len(np.intersect1d(sets[i], sets[j])) for i, j in zip(a, b, strict=True)]
