@@ -8,7 +8,6 @@ of another of the same or a better priority is suppressed; base rules stay whate
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 from itertools import groupby
 from string import ascii_lowercase, ascii_uppercase
@@ -36,6 +35,8 @@ class Rule:
     base: bool = False
 
     def __post_init__(self):
+        if "'" in self.label + self.words or "\\" in self.label + self.words:
+            raise ValueError("labels and words are written into SQL: no quotes or backslashes")
         if self.keyword not in self.words.split():
             raise ValueError(f"{self.keyword!r} is no literal word of {self.words!r}")
 
@@ -236,7 +237,6 @@ def default_rules() -> tuple[Rule, ...]:
 
 RULES = default_rules()
 
-_RULE = "struct<keyword:string,pattern:string,priority:int,rule:int,label:string,confidence:double,base:boolean>"
 _FOUND = "struct<start:int,stop:int,priority:int,rule:int,label:string,confidence:double,base:boolean>"
 FIELDS = f"struct<n_words:bigint,detections:array<{_FOUND}>,labels:array<string>,score:double>"
 
@@ -264,12 +264,13 @@ def keyword_pattern(rules: tuple[Rule, ...]) -> str:
 
 def _detections(normal: Column, rules: tuple[Rule, ...]) -> Column:
     """All matches of the rules whose keywords the text has, by start, longest first, then by priority and rule."""
+    # As one SQL expression, which becomes a literal: built column by column it would take longer than to run.
     rows = [
-        {"keyword": r.keyword, "pattern": r.pattern, "priority": r.priority, "rule": k, "label": r.label, "confidence": r.confidence, "base": r.base}
+        f"named_struct('keyword', '{r.keyword}', 'pattern', '{r.pattern}', 'priority', {r.priority}, 'rule', {k}, "
+        f"'label', '{r.label}', 'confidence', {r.confidence}D, 'base', {str(r.base).lower()})"
         for k, r in enumerate(rules)
     ]
-    # One literal: as a column for each field of each rule it would take longer to build than to run.
-    table = F.from_json(F.lit(json.dumps(rows)), f"array<{_RULE}>")
+    table = F.expr(f"array({', '.join(rows)})")
 
     def of_rule(r: Column) -> Column:
         return F.transform(
