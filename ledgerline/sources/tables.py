@@ -31,6 +31,13 @@ class _Files:
     def touch(self, text: str) -> None:
         self._fs.create(self.path(text), True).close()
 
+    def move(self, old: str, new: str) -> None:
+        """Rename a folder; one that is there already, from a move that was cut short, is left as it is."""
+        if not self._fs.exists(self.path(new)):
+            self._fs.mkdirs(self.path(new).getParent())
+            if not self._fs.rename(self.path(old), self.path(new)):
+                raise OSError(f"cannot move {old} to {new}")
+
     def glob(self, pattern: str) -> list[str]:
         return [str(s.getPath().toString()) for s in self._fs.globStatus(self.path(pattern)) or []]
 
@@ -173,12 +180,26 @@ class BucketedTable:
         target = f"{self.root}/v={version}"
         # The rebalance hint lets adaptive execution split a large bucket over tasks.
         placed = rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket")
+        buckets = list(buckets)
         placed.write.mode("overwrite").partitionBy("bucket").parquet(target)
         for name in _index_names(buckets):
             self._files.touch(f"{target}/{name}")
+        self._before_commit(version, buckets)
         self._files.touch(f"{target}/{_MARKER}.{token}")
+        self._after_commit(version)
         return version
 
+    def _before_commit(self, version: int, buckets: list[int]) -> None:
+        """What a kind of table writes along with a version, while readers don't see the version yet."""
+
+    def _after_commit(self, version: int) -> None:
+        """What a kind of table does once a version is visible."""
+
+    def _at(self, version: int) -> DataFrame | None:
+        """The rows that a version has written, committed or not; None if it has none."""
+        paths = self._files.glob(f"{self.root}/v={version}/bucket=*")
+        return self.spark.read.parquet(*paths) if paths else None
+
     def set_aside(self, rows: DataFrame, token: str) -> None:
         """Keep rows that cannot be applied (NULL key or sequence), once per token."""
         rows.write.mode("overwrite").parquet(f"{self.root}/_quarantine/batch={token}")

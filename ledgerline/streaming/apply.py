@@ -47,22 +47,35 @@ def apply_scd1(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         token = batch_token(batch.sparkSession, checkpoint, batch_id)
-        if target.has(token):
-            return
-        news = materialize(
-            ch.scd1_changes(
-                _usable(batch, target, sequence, token), target.keys, sequence,
-                except_columns=except_columns, delete_when=delete_when,
-            ),
-            "scd1-news",
-        )
-        buckets = target.touched(news)
-        if buckets:
-            target.replace(ch.scd1(target.read(buckets), news, target.keys), token, buckets)
+        merge_scd1(batch, target, token, sequence, except_columns=except_columns, delete_when=delete_when)
 
     run_batches(stream, merge, checkpoint)
 
 
+def merge_scd1(
+    changes: DataFrame,
+    target: BucketedTable,
+    token: str,
+    sequence: Sequence[str],
+    *,
+    except_columns: Sequence[str] = (),
+    delete_when: Column | None = None,
+) -> None:
+    """Upsert one batch of changes into a type 1 table, once per token."""
+    if target.has(token):
+        return
+    news = materialize(
+        ch.scd1_changes(
+            _usable(changes, target, sequence, token), target.keys, sequence,
+            except_columns=except_columns, delete_when=delete_when,
+        ),
+        "scd1-news",
+    )
+    buckets = target.touched(news)
+    if buckets:
+        target.replace(ch.scd1(target.read(buckets), news, target.keys), token, buckets)
+
+
 def apply_scd2(
     stream: DataFrame,
     target: BucketedTable,
