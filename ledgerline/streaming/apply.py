@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerline.operators import changes as ch
 from ledgerline.operators.joins import fits_broadcast, lookup_join
+from ledgerline.operators.views import IncrementalView
 from ledgerline.sources.tables import BucketedLog, BucketedTable
 from ledgerline.streaming.ingest import run_batches
 from ledgerline.workspace import materialize
@@ -76,6 +77,18 @@ def merge_scd1(
         target.replace(ch.scd1(target.read(buckets), news, target.keys), token, buckets)
 
 
+def apply_view(
+    stream: DataFrame, view: IncrementalView, checkpoint: str, source: Callable[[DataFrame], DataFrame],
+    shape: Callable[[DataFrame], DataFrame] = lambda images: images,
+) -> None:
+    """Keep a view up to date from the stream of a change feed; ``shape`` turns images into rows of the view's source."""
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        view.apply(shape(batch), batch_token(batch.sparkSession, checkpoint, batch_id), source)
+
+    run_batches(stream, merge, checkpoint)
+
+
 def apply_scd2(
     stream: DataFrame,
     target: BucketedTable,

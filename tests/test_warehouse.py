@@ -1,7 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import changes as ch
+from ledgerline.operators.views import IncrementalView, Measures, rows_of_groups
 from ledgerline.sources.feed import TIME, VERSION, ChangeTable
 from ledgerline.sources.identity import IdentityKeys
 from ledgerline.streaming import apply
@@ -136,3 +139,96 @@ def test_stream_of_changes_goes_on_and_starts_at_a_version(spark, tmp_path):
     seen.clear()
     run(2, "late")
     assert sorted(seen) == [("x", "update_preimage", 2), ("y", "delete", 3), ("y", "update_postimage", 2)]
+
+
+# ------------------------------------------------------------- views kept from a feed
+
+VIEW = Measures.of(sums={"total": "v"}, least={"low": "v"}, greatest={"high": "v"}, distinct={"kinds": "w"})
+IMAGES = "k int, g string, v int, w string, _change_type string"
+
+
+def plain_view(state):
+    out = {}
+    for g, v, w in state.values():
+        out.setdefault(g, []).append((v, w))
+    result = []
+    for g, held in out.items():
+        numbers = [v for v, _ in held if v is not None]
+        result.append((g, len(held), sum(numbers) if numbers else None, min(numbers, default=None), max(numbers, default=None),
+                       len({w for _, w in held if w is not None})))
+    return sorted(result, key=str)
+
+
+def test_view_under_random_changes(spark, tmp_path):
+    pick = random.Random(4)
+    view = IncrementalView(spark, str(tmp_path / "view"), ["g"], VIEW, buckets=4)
+    state, asked = {}, []
+
+    def source(groups):
+        asked.append(sorted(str(r["g"]) for r in groups.collect()))
+        rows_ = spark.createDataFrame([(g, v, w) for g, v, w in state.values()] or [("", 0, "")], "g string, v int, w string")
+        return rows_of_groups(rows_.where(F.lit(bool(state))), groups, ["g"])
+
+    for step in range(5):
+        images = []
+        for _ in range(40):
+            k = pick.randint(1, 30)
+            new = (pick.choice(["a", "b", "c", None]), pick.choice([None, *range(9)]), pick.choice(["x", "y", "z", None]))
+            if k in state:
+                images.append((k, *state[k], "update_preimage" if (changed := pick.random() < 0.5) else "delete"))
+                del state[k]
+                if not changed:
+                    continue
+                images.append((k, *new, "update_postimage"))
+            else:
+                images.append((k, *new, "insert"))
+            state[k] = new
+        if step == 4:
+            images += [(k, *row, "delete") for k, row in state.items()]
+            state.clear()
+        view.apply(spark.createDataFrame(images, IMAGES), f"step-{step}", source)
+        view.apply(spark.createDataFrame(images, IMAGES), f"step-{step}", source)  # repeated: nothing happens
+        found = [tuple(r) for r in view.read().select("g", "rows", "total", "low", "high", "kinds").collect()] if step < 4 else view.read()
+        assert (sorted(found, key=str) == plain_view(state)) if step < 4 else (found is None or found.count() == 0)
+    assert asked
+
+
+def test_view_reads_only_touched_groups(spark, tmp_path, monkeypatch):
+    view = IncrementalView(spark, str(tmp_path / "view"), ["g"], VIEW, buckets=16)
+    image = lambda g, v, op: (1, g, v, "x", op)
+    no_search = lambda groups: pytest.fail("no value has gone")
+    view.apply(spark.createDataFrame([image(f"g{n}", n, "insert") for n in range(60)], IMAGES), "1", no_search)
+    asked = []
+    for part in (view.state, view.values["kinds"]):
+        plain = part.read
+        monkeypatch.setattr(part, "read", lambda buckets=None, plain=plain: (asked.append(buckets), plain(buckets))[1])
+    view.apply(spark.createDataFrame([image("g7", 100, "insert")], IMAGES), "2", no_search)
+    assert [len(b) for b in asked] == [1, 1]
+    wanted = []
+
+    def search(groups):
+        wanted.extend(r["g"] for r in groups.collect())
+        return spark.createDataFrame([("g7", 7, "x")], "g string, v int, w string")
+
+    view.apply(spark.createDataFrame([image("g7", 100, "delete"), image("g8", 5, "insert")], IMAGES), "3", search)
+    assert wanted == ["g7"]
+    monkeypatch.undo()
+    assert rows(view.read().where("g in ('g7', 'g8')")) == [("g7", 1, 7, 7, 7, 1), ("g8", 2, 13, 5, 8, 1)]
+
+
+def test_a_view_batch_that_died_between_its_tables(spark, tmp_path, monkeypatch):
+    view = IncrementalView(spark, str(tmp_path / "view"), ["g"], VIEW, buckets=4)
+    batch = spark.createDataFrame([(1, "a", 1, "x", "insert"), (2, "a", 2, "y", "insert")], IMAGES)
+    view.apply(batch, "1", lambda groups: None)
+    more = spark.createDataFrame([(3, "a", 3, "z", "insert"), (1, "a", 1, "x", "delete")], IMAGES)
+    search = lambda groups: spark.createDataFrame([("a", 2, "y"), ("a", 3, "z")], "g string, v int, w string")
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(view.state, "replace", lost)
+    with pytest.raises(RuntimeError):
+        view.apply(more, "2", search)
+    monkeypatch.undo()
+    view.apply(more, "2", search)
+    assert rows(view.read()) == [("a", 2, 5, 2, 3, 2)]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.operators import changes as ch
+from ledgerline.operators.joins import lookup_join
+from ledgerline.operators.views import IncrementalView, Measures, rows_of_groups
 from ledgerline.sources.feed import VERSION, ChangeTable
 from ledgerline.sources.identity import IdentityKeys
 from ledgerline.sources.tables import BucketedLog, BucketedTable
@@ -89,3 +91,45 @@ def dim_customer_from_stream(spark, sf):
     )
     return target.read().select(
         "nu_doct", "nu_tlfn", "CLIENT", F.col(ch.START).alias("start_version"), F.col(ch.END).alias("end_version"))
+
+
+@query("category_performance_incremental", """
+    SELECT c_mktsegment AS segment, year(o_orderdate) AS ano, quarter(o_orderdate) AS trimestre, count(*) AS invoices,
+           count(DISTINCT o_custkey) AS customers, CAST(sum(CAST(o_totalprice AS DECIMAL(13,2))) AS DOUBLE) AS revenue,
+           round(CAST(sum(CAST(o_totalprice AS DECIMAL(13,2))) AS DOUBLE) / count(*), 4) AS mean_invoice,
+           CAST(min(CAST(o_totalprice AS DECIMAL(13,2))) AS DOUBLE) AS smallest, CAST(max(CAST(o_totalprice AS DECIMAL(13,2))) AS DOUBLE) AS largest
+    FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 13 <> 0 GROUP BY ALL
+""")
+def category_performance_incremental(spark, sf):
+    """Revenue by segment and quarter, kept from the change feed of the orders: loaded, corrected and extended, deleted from."""
+    home = new_dir(spark, "view")
+    key = F.col("o_orderkey")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", F.year("o_orderdate").alias("ano"), F.quarter("o_orderdate").alias("trimestre"),
+        F.col("o_totalprice").cast("decimal(13,2)").alias("price"),
+    )
+    wrong = F.when(key % 7 == 0, F.when(key % 2 == 0, F.lit(9999999)).otherwise(F.lit(0))).otherwise(F.col("price")).cast("decimal(13,2)")
+    commits = [
+        orders.where(key % 10 != 0).withColumn("price", wrong).withColumn("op", F.lit("put")),
+        orders.where((key % 7 == 0) | (key % 10 == 0)).withColumn("op", F.lit("put")),
+        orders.where(key % 13 == 0).withColumn("op", F.lit("drop")),
+    ]
+    segments = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
+    source = ChangeTable(spark, f"{home}/orders", ["o_orderkey"], buckets=8, visible=ch.scd1_rows)
+    groups = ["segment", "ano", "trimestre"]
+    measures = Measures.of(sums={"revenue": "price"}, least={"smallest": "price"}, greatest={"largest": "price"}, distinct={"customers": "o_custkey"})
+    view = IncrementalView(spark, f"{home}/view", groups, measures, buckets=8)
+
+    def shape(rows):
+        return lookup_join(rows, segments, ["o_custkey"])
+
+    for k, changes in enumerate(commits, 1):
+        apply.merge_scd1(
+            changes.withColumn("at", F.lit(k)), source, f"commit-{k}", ["at"], except_columns=["at", "op"], delete_when=F.col("op") == "drop")
+        apply.apply_view(
+            source.change_stream(orders.schema), view, f"{home}/checkpoint",
+            lambda wanted: rows_of_groups(shape(ch.scd1_rows(source.read())), wanted, groups), shape,
+        )
+    mean = F.round(F.col("revenue").cast("double") / F.col("rows"), 4)
+    shown = [F.col(c).cast("double").alias(c) for c in ("revenue", "smallest", "largest")]
+    return view.read().select(*groups, F.col("rows").alias("invoices"), "customers", mean.alias("mean_invoice"), *shown)
