@@ -31,6 +31,12 @@ class _Files:
     def touch(self, text: str) -> None:
         self._fs.create(self.path(text), True).close()
 
+    def write(self, text: str, content: str) -> None:
+        """Create a small file with this content."""
+        out = self._fs.create(self.path(text), True)
+        out.write(bytearray(content.encode()))
+        out.close()
+
     def move(self, old: str, new: str) -> None:
         """Rename a folder; one that is there already, from a move that was cut short, is left as it is."""
         if not self._fs.exists(self.path(new)):
@@ -38,6 +44,9 @@ class _Files:
             if not self._fs.rename(self.path(old), self.path(new)):
                 raise OSError(f"cannot move {old} to {new}")
 
+    def time(self, text: str) -> int:
+        return self._fs.getFileStatus(self.path(text)).getModificationTime()
+
     def glob(self, pattern: str) -> list[str]:
         return [str(s.getPath().toString()) for s in self._fs.globStatus(self.path(pattern)) or []]
 
@@ -200,6 +209,21 @@ class BucketedTable:
         paths = self._files.glob(f"{self.root}/v={version}/bucket=*")
         return self.spark.read.parquet(*paths) if paths else None
 
+    def compact(self, token: str) -> int | None:
+        """Write all current rows as one version, so that readers open one folder for each bucket.
+
+        Older versions stay for readers that began with them. Nothing is done if one version holds everything already.
+        """
+        newest: dict[int, int] = {}
+        for version, held in sorted(self._committed().items()):
+            newest |= {b: version for b in held}
+        if self.has(token) or len(set(newest.values())) <= 1:
+            return None
+        rows = self.read()
+        if rows is None:
+            return None
+        return BucketedTable.replace(self, rows, token, list(newest))
+
     def set_aside(self, rows: DataFrame, token: str) -> None:
         """Keep rows that cannot be applied (NULL key or sequence), once per token."""
         rows.write.mode("overwrite").parquet(f"{self.root}/_quarantine/batch={token}")
@@ -229,21 +253,80 @@ def _numbers(index_name: str) -> list[int]:
 
 
 class BucketedLog:
-    """Append-only changes in ``batch=TOKEN/bucket=B``; a repeated batch replaces itself."""
+    """Append-only changes in ``batch=TOKEN/bucket=B``; a repeated batch replaces itself.
+
+    ``compact`` folds batches into a base, ``base=N/bucket=B``, whose marker names them: from then on a reader opens the
+    newest base and only the batches after it, however many there have been. Folded batches and older bases stay for
+    readers that began before; a retention rule may delete them.
+    """
 
     def __init__(self, spark: SparkSession, root: str, table: BucketedTable):
         self.spark, self.root, self.table = spark, root.rstrip("/"), table
+        self._files = _Files(spark, self.root)
 
     def append(self, changes: DataFrame, batch: str) -> None:
+        if batch in self._folded():
+            return  # it is in the base already
         placed = changes.withColumn("bucket", self.table.bucket()).hint("rebalance", "bucket")
         placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/batch={batch}")
 
+    def _base(self) -> int | None:
+        done = [int(p.split("/")[-2].removeprefix("base=")) for p in self._files.glob(f"{self.root}/base=*/{_MARKER}")]
+        return max(done, default=None)
+
+    def _folded(self) -> set[str]:
+        """Tokens of the batches that the newest base holds."""
+        base = self._base()
+        if base is None:
+            return set()
+        return {r[0] for r in self.spark.read.parquet(f"{self.root}/base={base}/_folded").collect()}
+
+    def _batches(self) -> list[str]:
+        return [p.rsplit("batch=", 1)[1] for p in self._files.glob(f"{self.root}/batch=*")]
+
+    def _parts(self) -> list[str]:
+        """The folders whose rows are the log: the newest base and the batches that it does not hold."""
+        base, folded = self._base(), self._folded()
+        parts = [f"{self.root}/batch={b}" for b in self._batches() if b not in folded]
+        return parts if base is None else [f"{self.root}/base={base}", *parts]
+
+    def _grouped(self) -> list[tuple[str, list[str]]]:
+        """(base path, folders): the base is one scan, all batches together are another."""
+        base, others = [p for p in self._parts() if "/base=" in p], [p for p in self._parts() if "/base=" not in p]
+        return [(p, [p]) for p in base] + ([(self.root, others)] if others else [])
+
     def read(self, buckets: Iterable[int], since: Column | None = None) -> DataFrame:
         """Changes of some buckets, from those that ``since`` selects; both reach the scan."""
-        log = self.spark.read.option("basePath", self.root).parquet(self.root)
-        log = log.filter(F.col("bucket").isin(*buckets)).drop("batch", "bucket")
+        log = None
+        for base_path, folders in self._grouped():
+            part = self.spark.read.option("basePath", base_path).parquet(*folders).filter(F.col("bucket").isin(*buckets)).drop("batch", "bucket")
+            log = part if log is None else log.unionByName(part)
+        if log is None:
+            raise FileNotFoundError(f"no log under {self.root}")
         return log if since is None else log.filter(since)
 
+    def compact(self, keep: int = 0) -> int | None:
+        """Fold all batches but the ``keep`` newest into a new base; returns its number, None if there is nothing to fold.
+
+        The base becomes visible by its marker, written last; a run that dies leaves the log as it was. One writer at a time.
+        """
+        folded, base = self._folded(), self._base()
+        waiting = sorted((self._files.time(f"{self.root}/batch={b}"), b) for b in self._batches() if b not in folded)
+        chosen = [b for _, b in waiting[: len(waiting) - keep]]
+        if not chosen:
+            return None
+        number = max([int(p.rsplit("=", 1)[1]) for p in self._files.glob(f"{self.root}/base=*")], default=0) + 1
+        target = f"{self.root}/base={number}"
+        rows = self.spark.read.option("basePath", self.root).parquet(*[f"{self.root}/batch={b}" for b in chosen]).drop("batch")
+        if base is not None:
+            old = f"{self.root}/base={base}"
+            rows = rows.unionByName(self.spark.read.option("basePath", old).parquet(old))
+        rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+        names = self.spark.createDataFrame([(b,) for b in sorted(folded | set(chosen))], "batch string")
+        names.coalesce(1).write.mode("overwrite").parquet(f"{target}/_folded")
+        self._files.touch(f"{target}/{_MARKER}")
+        return number
+
 
 def refresh(table: VersionedTable, build: Callable[[], DataFrame]) -> DataFrame:
     """Recompute a stored view completely."""

@@ -99,12 +99,14 @@ def apply_scd2(
     except_columns: Sequence[str] = (),
     delete_when: Column | None = None,
     track_except: Sequence[str] = (),
+    compact_every: int | None = None,
 ) -> None:
     """Keep versions per key. All changes stay in ``log``, so late changes fall into
     their place. Only the tail of a key that its earliest news can affect is rebuilt;
     versions before it are kept, however long the history of the key is. Of the log only
     changes from the earliest of these tails on are read. Rows with a NULL key or sequence
-    go to ``target.quarantined()``."""
+    go to ``target.quarantined()``. With ``compact_every`` the log and the table are folded after so many
+    batches, so that a reader opens a bounded number of folders however long the stream has run."""
     keys = target.keys
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -135,6 +137,9 @@ def apply_scd2(
             kept = marked.filter(F.col("_cut").isNull() | (F.col(ch.START) < F.col("_cut"))).drop("_cut")
             rows = rows.unionByName(kept)
         target.replace(rows, token, buckets)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            log.compact()
+            target.compact(f"{token}-compact")
 
     run_batches(stream, merge, checkpoint)
 

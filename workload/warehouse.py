@@ -6,11 +6,17 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import changes as ch
 from ledgerline.operators.joins import lookup_join
+from ledgerline.operators.vector_index import VectorIndex
 from ledgerline.operators.views import IncrementalView, Measures, rows_of_groups
+from ledgerline.sources.clustering import ClusteredTable
 from ledgerline.sources.feed import VERSION, ChangeTable
 from ledgerline.sources.identity import IdentityKeys
-from ledgerline.sources.tables import BucketedLog, BucketedTable
+from ledgerline.sources.tables import BucketedLog, BucketedTable, VersionedTable
 from ledgerline.streaming import apply
+from ledgerline.streaming.drift import ingest_drifting
+from ledgerline.streaming.facts import Dimension, StarSink
+from ledgerline.streaming.ingest import file_stream, run_stream
+from ledgerline.streaming.progress import ProgressLog
 from ledgerline.workspace import new_dir
 from workload import stage
 from workload.registry import query
@@ -133,3 +139,118 @@ def category_performance_incremental(spark, sf):
     mean = F.round(F.col("revenue").cast("double") / F.col("rows"), 4)
     shown = [F.col(c).cast("double").alias(c) for c in ("revenue", "smallest", "largest")]
     return view.read().select(*groups, F.col("rows").alias("invoices"), "customers", mean.alias("mean_invoice"), *shown)
+
+
+@query("vector_index_search", """
+    WITH q AS (SELECT vec_id AS q, embedding AS a FROM embeddings WHERE vec_id % 100 = 0),
+    d AS (SELECT q, vec_id AS p, list_sum([(CAST(a[i] AS DOUBLE) - embedding[i]) * (CAST(a[i] AS DOUBLE) - embedding[i]) for i in range(1, len(a) + 1)]) AS distance
+          FROM q, embeddings),
+    r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY distance, p) AS rank FROM d)
+    SELECT q, rank, p, round(distance, 4) AS distance FROM r WHERE rank <= 5
+""")
+def vector_index_search(spark, sf):
+    """An index built from two thirds of the vectors, to which the others are added and whose large lists are split;
+    every list is probed here, so the answers are the exact ones."""
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    count = vectors.count()
+    lists = max(2, int(count ** 0.5) // 2)
+    index = VectorIndex(spark, new_dir(spark, "vector-index"))
+    index.build(vectors.where("vec_id % 3 <> 0"), lists, id="vec_id", vector="embedding")
+    index.add(vectors.where("vec_id % 3 = 0"), id="vec_id", vector="embedding", token="rest")
+    index.rebalance(3 * count // lists)
+    found = index.search(vectors.where("vec_id % 100 = 0"), 5, id="vec_id", vector="embedding", probes=count)
+    return found.select("q", F.col("rank").cast("long").alias("rank"), "p", F.round("distance", 4).alias("distance"))
+
+
+@query("curve_clustered_read", """
+    SELECT l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS day, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem
+    WHERE l_suppkey BETWEEN 20 AND 24 OR l_partkey < 30 GROUP BY ALL
+""")
+def curve_clustered_read(spark, sf):
+    """Lines clustered by day, part and supplier along one curve, in two lots; filters on the second and the third key."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_shipdate").cast("date").alias("day"), "l_partkey", "l_suppkey", "l_quantity")
+    clustered = ClusteredTable(spark, new_dir(spark, "curve"), ["day", "l_partkey", "l_suppkey"])
+    clustered.append(lines.where("l_orderkey % 4 <> 0"), "first")
+    clustered.cluster(files=32)
+    clustered.append(lines.where("l_orderkey % 4 = 0"), "second")
+    clustered.cluster(files=8)
+    chosen = clustered.read().where(F.col("l_suppkey").between(20, 24) | (F.col("l_partkey") < 30))
+    return chosen.groupBy("l_partkey", "l_suppkey", "day").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
+
+
+@query("drifting_stream", """
+    SELECT o_orderkey, o_custkey, CAST(CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE o_totalprice END AS DOUBLE) AS o_totalprice,
+           CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+           CASE o_orderkey % 3 WHEN 1 THEN '{"channel":"web' || o_orderkey || '"}' WHEN 2 THEN '{"o_totalprice":"R$ ' || o_orderkey || '"}' END AS _rescued_data
+    FROM orders
+""")
+def drifting_stream(spark, sf):
+    """Files of three kinds in one stream: one lacks a column, one has a column more, one has texts where numbers are declared."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    home, key = new_dir(spark, "drift"), F.col("o_orderkey")
+    kinds = [
+        orders.where(key % 3 == 0).drop("o_orderstatus"),
+        orders.where(key % 3 == 1).withColumn("channel", F.concat(F.lit("web"), key)),
+        orders.where(key % 3 == 2).withColumn("o_totalprice", F.concat(F.lit("R$ "), key)).withColumn("o_custkey", F.col("o_custkey").cast("int")),
+    ]
+    for n, rows in enumerate(kinds):
+        rows.write.option("maxRecordsPerFile", stage.FILE_ROWS).parquet(f"{home}/landing/kind{n}")
+        ingest_drifting(spark, f"{home}/landing", orders.schema, f"{home}/table", f"{home}/checkpoint")
+    return spark.read.parquet(f"{home}/table").drop("batch", "_file")
+
+
+@query("fact_stream_changing_dims", """
+    SELECT o_orderkey, o_custkey, c_mktsegment AS segment,
+           CASE WHEN o_custkey % 5 = 0 OR o_orderkey % 2 = 1 THEN 'new' ELSE 'old' END AS version
+    FROM orders JOIN customer ON c_custkey = o_custkey
+""")
+def fact_stream_changing_dims(spark, sf):
+    """Facts come in two batches. The customers' dimension is replaced between them, and every fifth customer is missing at
+    first: facts of these wait, and are joined once when their customer has come."""
+    home, key = new_dir(spark, "changing"), F.col("o_orderkey")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
+    dimension = VersionedTable(spark, f"{home}/dim")
+    sink = StarSink(spark, f"{home}/star", {"customer": Dimension(dimension.read, ["o_custkey"], ["segment", "version"])})
+    states = [customers.where("o_custkey % 5 <> 0").withColumn("version", F.lit("old")), customers.withColumn("version", F.lit("new"))]
+    for n, state in enumerate(states):
+        dimension.publish(state)
+        orders.where(key % 2 == n).coalesce(1).write.mode("append").parquet(f"{home}/landing")
+        sink.run(file_stream(spark, f"{home}/landing", orders.schema), f"{home}/checkpoint")
+    return sink.facts()
+
+
+@query("scd2_compacted", """
+    WITH c AS (SELECT user_id, ts, event_type, event_type = 'error' AS gone FROM events),
+    m AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM c),
+    r AS (SELECT user_id, ts, event_type, gone, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS until
+          FROM m WHERE event_type IS DISTINCT FROM before)
+    SELECT user_id, event_type, ts AS start_at, until AS end_at FROM r WHERE NOT gone
+""")
+def scd2_compacted(spark, sf):
+    """A type 2 table from a stream of many batches whose log and table are folded on the way."""
+    events = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
+    home = new_dir(spark, "scd2-compact")
+    parts = 6
+    events.repartition(parts, F.pmod(F.xxhash64("event_id"), F.lit(parts))).write.parquet(f"{home}/landing")
+    target = BucketedTable(spark, f"{home}/table", ["user_id"], buckets=4)
+    log = BucketedLog(spark, f"{home}/log", target)
+    apply.apply_scd2(
+        file_stream(spark, f"{home}/landing", events.schema, max_files=2), target, log, f"{home}/checkpoint", ["ts", "event_id"],
+        except_columns=["ts", "event_id"], delete_when=F.col("event_type") == "error", compact_every=2,
+    )
+    return target.read().select("user_id", "event_type", F.col(ch.START).alias("start_at"), F.col(ch.END).alias("end_at"))
+
+
+@query("stream_progress", """
+    SELECT event_id % 4 AS batch, count(*) AS "rows", true AS has_rates FROM events GROUP BY 1
+""")
+def stream_progress(spark, sf):
+    """What a listener has stored of a running stream: the rows of each of its four micro-batches."""
+    events, home = table(spark, sf, "events"), new_dir(spark, "progress")
+    with ProgressLog(spark, f"{home}/progress") as log:
+        for n in range(4):
+            events.where(F.col("event_id") % 4 == n).write.mode("append").parquet(f"{home}/landing")
+            run_stream(file_stream(spark, f"{home}/landing", events.schema), f"{home}/table", f"{home}/checkpoint")
+    shown = log.read().select("batch", "rows", ((F.col("seconds") > 0) & (F.col("rows_done") > 0)).alias("has_rates"))
+    return shown
