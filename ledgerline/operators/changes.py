@@ -33,7 +33,7 @@ def changes_between(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Data
     """Change feed between two states of a table with unique keys.
 
     Unchanged rows give nothing; a changed row gives its old and its new image. Rows with a NULL key cannot be told
-    apart and are left out; ``split_valid`` gives them. Both states must have the same columns.
+    apart and are not in the feed; ``unkeyed`` gives and counts them. Both states must have the same columns.
     """
     if _lower(old.columns) != _lower(new.columns):
         raise ValueError(f"columns differ: {sorted(_lower(old.columns) ^ _lower(new.columns))}")
@@ -62,6 +62,15 @@ def changes_between(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Data
     )
 
 
+def unkeyed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of two states that a change feed cannot name, each content once, with how often either state has it."""
+    sides = [split_valid(df, keys)[1].withColumns({"_old": F.lit(k == 0).cast("bigint"), "_new": F.lit(k == 1).cast("bigint")})
+             for k, df in enumerate((old, new))]
+    both = sides[0].unionByName(sides[1])
+    content = [c for c in both.columns if c not in ("_old", "_new")]
+    return both.groupBy(*content).agg(F.sum("_old").alias("old_rows"), F.sum("_new").alias("new_rows"))
+
+
 def split_valid(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Changes that can be applied, and those with a NULL key or NULL sequence."""
     usable = F.lit(True)

@@ -18,7 +18,10 @@ _FORMAT = "%Y%m%dT%H%M%S%f"
 
 
 class SnapshotHistory:
-    """Versions of a table of unique ``keys`` under ``root``. One writer at a time."""
+    """Versions of a table of unique ``keys`` under ``root``. One writer at a time.
+
+    Snapshot rows with a NULL key name nothing; they are stored beside the history (``quarantined``), not dropped.
+    """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str]):
         self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
@@ -50,6 +53,14 @@ class SnapshotHistory:
         closed = [p for version, _ in steps for p in self._part(version, "closed")]
         return self._read(self._part(steps[-1][0], "open") + closed, steps[-1][0])
 
+    def quarantined(self) -> DataFrame | None:
+        """All snapshot rows with a NULL key, with the time ``at`` of their snapshot; count them to know how many."""
+        out = None
+        for version, at in self._steps():
+            part = self.spark.read.parquet(f"{self.root}/v={version}/_quarantine").withColumn("at", F.lit(str(at)).cast("timestamp"))
+            out = part if out is None else out.unionByName(part)
+        return out
+
     def _read(self, paths: list[str], version: int) -> DataFrame:
         schema = self.spark.read.parquet(f"{self.root}/v={version}").drop("state").schema
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
@@ -67,6 +78,7 @@ class SnapshotHistory:
         )
         known = [int(p.split("=")[-1]) for p in self._files.glob(f"{self.root}/v=*")]
         target = f"{self.root}/v={max(known, default=0) + 1}"
+        ch.split_valid(snapshot, self.keys)[1].write.mode("overwrite").parquet(f"{target}/_quarantine")
         state = F.when(F.col(ch.END).isNull(), "open").otherwise("closed")
-        rows.withColumn("state", state).write.mode("overwrite").partitionBy("state").parquet(target)
+        rows.withColumn("state", state).write.mode("append").partitionBy("state").parquet(target)
         self._files.touch(f"{target}/_COMMITTED.{at.strftime(_FORMAT)}")

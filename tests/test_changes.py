@@ -209,3 +209,24 @@ def test_a_snapshot_leaves_closed_files_alone(spark, tmp_path):
 def _stored(spark, path, df):
     df.write.parquet(str(path))
     return spark.read.parquet(str(path))
+
+
+def test_snapshot_rows_without_a_key_are_kept_aside(spark, tmp_path):
+    import datetime as dt
+
+    from ledgerline.operators.history import SnapshotHistory
+
+    history = SnapshotHistory(spark, str(tmp_path / "h"), ["k"])
+    assert history.quarantined() is None
+    history.apply(spark.createDataFrame([("a", 1), (None, 2), (None, 2)], "k string, v int"), dt.datetime(2020, 1, 1))
+    history.apply(spark.createDataFrame([("a", 3)], "k string, v int"), dt.datetime(2021, 1, 1))
+    history.apply(spark.createDataFrame([("a", 3), (None, 4)], "k string, v int"), dt.datetime(2022, 1, 1))
+    assert [(r["v"], r["at"].year) for r in history.quarantined().orderBy("v").collect()] == [(2, 2020), (2, 2020), (4, 2022)]
+    assert history.read().count() == 2
+
+
+def test_unkeyed_rows_are_counted(spark):
+    old = spark.createDataFrame([(None, "x"), (None, "x"), ("a", "y")], "k string, v string")
+    new = spark.createDataFrame([(None, "x"), (None, "z")], "k string, v string")
+    found = sorted((r["v"], r["old_rows"], r["new_rows"]) for r in ch.unkeyed(old, new, ["k"]).collect())
+    assert found == [("x", 2, 1), ("z", 0, 1)]

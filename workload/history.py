@@ -239,3 +239,31 @@ def surrogate_keys(spark, sf):
     return keyed.agg(
         F.count(F.lit(1)).alias("versions"), (F.countDistinct("sk") == F.count(F.lit(1))).alias("all_keys_differ")
     )
+
+
+@query("scd2_snapshot_quarantine", f"""
+    WITH s AS ({YEARLY_STATES_SQL})
+    SELECT snapshot_year, o_orderstatus, o_orderpriority, o_totalprice FROM s WHERE o_custkey % 11 = 5
+""")
+def scd2_snapshot_quarantine(spark, sf):
+    """Every eleventh customer of the yearly snapshots has lost its key: these rows are stored beside the history."""
+    states = materialize(stage.yearly_states(spark, sf), "yearly")
+    faulty = states.withColumn("o_custkey", F.when(F.col("o_custkey") % 11 != 5, F.col("o_custkey")))
+    first, last = states.agg(F.min("snapshot_year"), F.max("snapshot_year")).first()
+    history = SnapshotHistory(spark, new_dir(spark, "snapshot-quarantine"), ["o_custkey"])
+    for year in range(first, last + 1):
+        history.apply(faulty.filter(F.col("snapshot_year") == year).drop("snapshot_year"), dt.datetime(year, 1, 1))
+    return history.quarantined().select(F.year("at").alias("snapshot_year"), "o_orderstatus", "o_orderpriority", "o_totalprice")
+
+
+@query("change_feed_unkeyed", """
+    SELECT o_orderstatus, o_orderpriority, count(*) FILTER (o_orderkey % 2 = 0) AS old_rows, count(*) FILTER (o_orderkey % 3 = 0) AS new_rows
+    FROM orders WHERE o_orderkey % 7 = 0 AND (o_orderkey % 2 = 0 OR o_orderkey % 3 = 0) GROUP BY 1, 2
+""")
+def change_feed_unkeyed(spark, sf):
+    """Rows without a key of two states: what the change feed between them cannot name, counted."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf, "orders").select(
+        key.alias("id"), F.when(key % 7 != 0, key).alias("o_orderkey"), "o_orderstatus", "o_orderpriority")
+    old, new = (orders.where(F.col("id") % n == 0).drop("id") for n in (2, 3))
+    return ch.unkeyed(old, new, ["o_orderkey"]).drop("o_orderkey")
