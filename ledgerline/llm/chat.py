@@ -137,10 +137,11 @@ def format_conversations(
     """One row per input row: ``conv_id``, ``turn``, ``role``, ``ids``, ``loss_mask``, ``position``, ``token_start``.
 
     ``position`` counts the turns of a conversation from 0, ``token_start`` the tokens before. Turns come in order of
-    ``turn``, null first; ties by role, then by ids, so repeated rows stand side by side. Null roles and texts are empty,
+    ``turn``, null first; ties by role, then by text, so repeated rows stand side by side. Null roles and texts are empty,
     rows of a null conversation form one. Encoding happens before the shuffle, row by row; after it a task holds one
     batch of turns, however long the conversation. The vocabulary (a few hundred kB) is broadcast. Other columns of the
-    input are not read.
+    input are not read. An empty table gives an empty one. A very long turn is one row: its text, ids and mask are held by
+    its task, some 40 bytes a character.
     """
     spark = df.sparkSession
     ranks = spark.sparkContext.broadcast(load_ranks(vocabulary))
@@ -157,7 +158,8 @@ def format_conversations(
                     ends = np.cumsum([0, *[len(p[k]) for p in pairs]], dtype=np.int32)
                     flat = pa.array(np.concatenate([p[k] for p in pairs]) if pairs else [], type=kind)
                     columns.append(pa.ListArray.from_arrays(pa.array(ends), flat))
-                yield pa.RecordBatch.from_arrays(columns, schema=_TURN)
+                columns.append(part.column(3))
+                yield pa.RecordBatch.from_arrays(columns, schema=_TURN.append(pa.field("text", pa.string())))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, position, tokens, begun = None, 0, 0, False
@@ -175,10 +177,11 @@ def format_conversations(
 
     rows = df.select(
         F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"),
-        F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"), F.col(text).cast("string").alias("text"),
+        F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
+        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    encoded = rows.mapInArrow(encode, _TURN_SQL)
-    ordered = encoded.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "ids")
+    encoded = rows.mapInArrow(encode, _TURN_SQL + ", text string")
+    ordered = encoded.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").drop("text")
     return ordered.mapInArrow(place, _TURN_SQL + ", position long, token_start long")
 
 

@@ -5,9 +5,9 @@ of the rest of its phrases and bursts, when it grows too large, into containers
 go. When the trie holds too many phrases, whole subtrees, the largest first, leave it as sorted runs. Spark deals the
 runs by their prefix, the first two words, and merges them in order.
 
-Counting goes level by level, words first, then pairs, then phrases of three and four words, as a phrase can only be
-frequent if all its parts are. What was frequent on one level opens the next through a filter of hashes of a fixed size:
-it may let an infrequent part through, which costs work, and never stops a frequent one.
+As a phrase can only be frequent if all its words and pairs of words are, these are counted first, by hashes alone: a
+hash found too seldom belongs to no frequent pair. The others make a filter of a fixed size, and only phrases that it
+lets through are counted by their words. It may let an infrequent one through, which costs work, never stops a frequent one.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerline.llm.common import Words, byte_set, ranks, small_batches, store
 from ledgerline.operators.joins import spread_join
@@ -39,7 +39,7 @@ _VOCABULARY = 1 << 19
 class Mining:
     """``least``: occurrences of a candidate. ``inside`` percent: a phrase whose words lie in a longer one that is so
     often found goes. ``top``: phrases returned for each language. ``entries``: phrases a task's trie holds before it spills;
-    ``burst``: phrases of a container before it bursts; ``filter_bits``: size of the filter between levels, 8 MB."""
+    ``burst``: phrases of a container before it bursts; ``filter_bits``: size of the filter, 8 MB at 26, 40 at most."""
 
     least: int = 30
     inside: int = 80
@@ -180,11 +180,63 @@ def _packed(columns: list[np.ndarray], head: np.ndarray) -> np.ndarray:
     return key
 
 
+#: Bits of a hash that are counted; the others of a 64-bit integer hold the count.
+_HASH_BITS = 40
+_COUNT_BITS = 64 - _HASH_BITS
+_HELD = 2_000_000
+
+
+class _HashCounter:
+    """Counts hashes of words and of pairs of words, each with its language; a row is a hash and its count in one integer."""
+
+    def __init__(self):
+        self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def rows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(a, 1000) for a in range(0, batch.num_rows, 1000)):
+                words = Words(part.column("text"), _BLANKS | _BREAKS, lower=True)
+                piece, lang = _pieces(words), _text_hashes(part.column("lang").to_pylist())
+                one, two = _hashes(words.hashes(), np.repeat(lang, np.diff(words.first)))
+                for a in range(0, len(one), _CHUNK):
+                    same = piece[a + 1 : a + _CHUNK + 1] == piece[a : a + _CHUNK][: len(piece) - a - 1]
+                    self._add(np.concatenate((one[a : a + _CHUNK], two[a : a + _CHUNK][same])))
+                    if len(self.hashes) > _HELD:
+                        yield from self._spilled()
+        yield from self._spilled()
+
+    def _add(self, hashes: np.ndarray) -> None:
+        found, counts = np.unique(hashes >> np.uint64(_COUNT_BITS), return_counts=True)
+        self.hashes, inverse = np.unique(np.concatenate((self.hashes, found)), return_inverse=True)
+        self.counts = np.bincount(inverse, np.concatenate((self.counts, counts)), len(self.hashes)).astype(np.int64)
+
+    def _spilled(self) -> Iterator[pa.RecordBatch]:
+        most = (1 << _COUNT_BITS) - 1
+        while len(self.hashes):
+            packed = self.hashes << np.uint64(_COUNT_BITS) | np.minimum(self.counts, most).astype(np.uint64)
+            for a in range(0, len(packed), 250_000):
+                yield pa.RecordBatch.from_arrays([pa.array(packed[a : a + 250_000].view(np.int64))], names=["packed"])
+            left = self.counts > most
+            self.hashes, self.counts = self.hashes[left], self.counts[left] - most
+
+
+def _pieces(words: Words) -> np.ndarray:
+    """A number for the piece of each word: no separator and no end of a text lies within one."""
+    text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
+    return np.searchsorted(np.flatnonzero(_BREAKS[words.data]), words.starts) + text
+
+
+def _hashes(of_word: np.ndarray, of_lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each word and of each pair of neighbours, with their language."""
+    one = _joined(of_lang, of_word)
+    return one, _joined(one[:-1], of_word[1:])
+
+
 class _Counter:
-    """Counts the phrases of given sizes in Arrow batches of ``lang`` and ``text``."""
+    """Counts the phrases of 1 to 4 words that a filter lets through, in Arrow batches of ``lang`` and ``text``."""
 
-    def __init__(self, sizes: tuple[int, ...], mining: Mining, gate_size: int = 0, gate: np.ndarray | None = None):
-        self.sizes, self.gate_size, self.gate, self.mining = sizes, gate_size, gate, mining
+    def __init__(self, mining: Mining, gate: np.ndarray):
+        self.gate, self.mining = gate, mining
         self.trie, self.vocabulary = HatTrie(mining.entries, mining.burst), _Vocabulary()
         self.langs: dict[str, int] = {}
 
@@ -198,20 +250,19 @@ class _Counter:
         words = Words(texts, _BLANKS | _BREAKS, lower=True)
         counts = np.diff(words.first)
         lang = np.array([self.langs.setdefault(x, len(self.langs)) for x in langs.to_pylist()], np.int64)
-        if 1 in self.sizes:  # the size 0 counts all words of a language
-            used, inverse = np.unique(lang, return_inverse=True)
-            totals = np.bincount(inverse, counts, len(used)).astype(np.int64) if len(used) else []
-            yield self._batch(np.zeros(len(used), np.int32), used, 0, pa.array([""] * len(used)), totals)
+        used, inverse = np.unique(lang, return_inverse=True)  # the size 0 counts all words of a language
+        totals = np.bincount(inverse, counts, len(used)).astype(np.int64) if len(used) else []
+        yield self._batch(np.zeros(len(used), np.int32), used, 0, pa.array([""] * len(used)), totals)
         if not len(words):
             return
-        # Words of one piece: no separator and no end of a text between them.
-        piece = np.searchsorted(np.flatnonzero(_BREAKS[words.data]), words.starts) + np.repeat(np.arange(len(counts)), counts)
-        lang_of, hashes = np.repeat(lang, counts), words.hashes()
-        open_ = self._open(hashes, lang_of) if self.gate is not None else None
+        piece, lang_of, hashes = _pieces(words), np.repeat(lang, counts), words.hashes()
+        one, two = (self._open(h) for h in _hashes(hashes, _text_hashes(self._lang_names())[lang_of]))
+        two = np.append(two, False)
         for at in range(0, len(words), _CHUNK):
             last = min(at + _CHUNK + LONGEST - 1, len(words))
-            within = None if open_ is None else open_[at:last]
-            begins = [(size, self._begins(size, piece[at:last], within, min(_CHUNK, len(words) - at))) for size in self.sizes]
+            count = min(_CHUNK, len(words) - at)
+            begins = [(1, np.flatnonzero(one[at : at + count]))]
+            begins += [(size, self._begins(size, piece[at:last], two[at:last], count)) for size in range(2, LONGEST + 1)]
             needed = np.zeros(last - at, bool)
             for size, place in begins:
                 for k in range(size):
@@ -232,13 +283,12 @@ class _Counter:
             if self.trie.full():
                 yield from self._spilled()
 
-    def _begins(self, size: int, piece: np.ndarray, within: np.ndarray | None, count: int) -> np.ndarray:
-        """Where, among the first ``count`` places, a phrase of a size lies in one piece, all its parts let through."""
+    def _begins(self, size: int, piece: np.ndarray, pairs: np.ndarray, count: int) -> np.ndarray:
+        """Where, among the first ``count`` places, a phrase of a size lies in one piece, all its pairs let through."""
         reach = max(min(count, len(piece) - size + 1), 0)
         allowed = piece[size - 1 : size - 1 + reach] == piece[:reach]
-        if within is not None:
-            for k in range(size - self.gate_size + 1):
-                allowed &= within[k : k + reach]
+        for k in range(size - 1):
+            allowed &= pairs[k : k + reach]
         return np.flatnonzero(allowed)
 
     def _count(self, size: int, place: np.ndarray, codes: np.ndarray, numbers: np.ndarray, lang: np.ndarray) -> None:
@@ -247,15 +297,10 @@ class _Counter:
             _, one, counts = np.unique(_packed(columns, lang[place]), return_index=True, return_counts=True)
             self._add(lang[place[one]], [numbers[c[one]] for c in columns], counts)
 
-    def _open(self, of_word: np.ndarray, lang: np.ndarray) -> np.ndarray:
-        """Where a phrase of the gate's size begins that may be frequent."""
-        hashes = _text_hashes(self._lang_names())[lang]
-        reach = max(len(of_word) - self.gate_size + 1, 0)
-        for k in range(self.gate_size):
-            hashes = _joined(hashes[:reach], of_word[k : k + reach])
+    def _open(self, hashes: np.ndarray) -> np.ndarray:
+        """Which hashes the filter lets through."""
         bit = hashes >> np.uint64(64 - self.mining.filter_bits)
-        held = self.gate[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)
-        return np.concatenate((held.astype(bool), np.zeros(len(of_word) - reach, bool)))
+        return (self.gate[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
 
     def _lang_names(self) -> list[str]:
         return sorted(self.langs, key=self.langs.get)
@@ -308,39 +353,22 @@ def _text(words: list[pa.Array]) -> pa.Array:
     return pc.binary_join_element_wise(*texts, pa.scalar(" ", pa.large_string()))
 
 
-def _counted(texts: DataFrame, sizes: tuple[int, ...], mining: Mining, gate_size: int = 0, gate=None) -> DataFrame:
-    """Occurrences of the phrases of the given sizes that occur often enough; size 0 counts the words of a language."""
+def _filter(texts: DataFrame, mining: Mining):
+    """The hashes of words and pairs found often enough as a bitmap, broadcast: 2**filter_bits bits, however many they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _Counter(sizes, mining, gate_size, None if gate is None else gate.value).runs(batches)
-
-    key = ["part", "lang", "size", "phrase"]
-    runs = texts.mapInArrow(run, _RUNS).repartition("part").sortWithinPartitions(*key)
-    merged = runs.groupBy(*key).agg(F.sum("f").alias("f"))
-    return store(merged.where((F.col("f") >= mining.least) | (F.col("size") == 0)).drop("part"), f"phrases-{sizes[0]}")
-
-
-def _filter(spark: SparkSession, phrases: DataFrame, bits: int):
-    """The phrases as a bitmap of hashes, broadcast: 2**bits bits, however many phrases there are."""
-
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            hashes = _text_hashes(batch.column("lang").to_pylist())
-            words = Words(batch.column("phrase"), _BLANKS)
-            of_word = words.hashes().reshape(batch.num_rows, -1)  # all phrases of a level have the same number of words
-            for k in range(of_word.shape[1]):
-                hashes = _joined(hashes, of_word[:, k])
-            bit = hashes >> np.uint64(64 - bits)
-            place, mask = (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63))
-            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(mask.view(np.int64))], names=["place", "mask"])
-
-    set_ = phrases.select("lang", "phrase").mapInArrow(slots, "place bigint, mask bigint").groupBy("place").agg(F.bit_or("mask").alias("mask"))
-    held = set_.toArrow()
-    bitmap = np.zeros(1 << max(bits - 6, 0), np.uint64)
+        yield from _HashCounter().rows(batches)
+
+    packed, rest = F.col("packed"), _HASH_BITS - mining.filter_bits
+    counted = texts.mapInArrow(run, "packed bigint").groupBy(F.shiftrightunsigned(packed, _COUNT_BITS).alias("h")).agg(
+        F.sum(packed.bitwiseAND((1 << _COUNT_BITS) - 1)).alias("n"))
+    bit = F.shiftrightunsigned("h", rest)
+    mask = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h, {rest}) & 63 AS INT))")
+    often = counted.where(F.col("n") >= mining.least).select(F.shiftrightunsigned(bit, 6).alias("place"), mask.alias("mask"))
+    held = often.groupBy("place").agg(F.bit_or("mask").alias("mask")).toArrow()
+    bitmap = np.zeros(1 << max(mining.filter_bits - 6, 0), np.uint64)
     bitmap[held.column("place").to_numpy()] = held.column("mask").to_numpy().view(np.uint64)
-    return spark.sparkContext.broadcast(bitmap)
+    return texts.sparkSession.sparkContext.broadcast(bitmap)
 
 
 def _exact(column: Column) -> Column:
@@ -351,17 +379,19 @@ def count_phrases(df: DataFrame, text: str = "text", lang: str = "lang", mining:
     """``lang``, ``size``, ``phrase``, ``f``: occurrences within pieces of every phrase of 1 to 4 words found ``least`` times,
     and under size 0, with an empty phrase, the number of all words of each language.
 
-    The text is read three times. Each level is a stored table.
+    The text is read twice: for the filter and for the phrases. What is found is a stored table.
     """
     small_batches(df)
     texts = df.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
-    spark, bits = df.sparkSession, mining.filter_bits
-    words = _counted(texts, (1,), mining)
-    word_gate = _filter(spark, words.where("size = 1"), bits)
-    pairs = _counted(texts, (2,), mining, 1, word_gate)
-    pair_gate = _filter(spark, pairs, bits)
-    longer = _counted(texts, (3, 4), mining, 2, pair_gate)
-    return words.unionByName(pairs).unionByName(longer)
+    gate = _filter(texts, mining)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _Counter(mining, gate.value).runs(batches)
+
+    key = ["part", "lang", "size", "phrase"]
+    runs = texts.mapInArrow(run, _RUNS).repartition("part").sortWithinPartitions(*key)
+    merged = runs.groupBy(*key).agg(F.sum("f").alias("f"))
+    return store(merged.where((F.col("f") >= mining.least) | (F.col("size") == 0)).drop("part"), "phrases")
 
 
 def collocations(df: DataFrame, text: str = "text", lang: str = "lang", mining: Mining = Mining()) -> DataFrame:

@@ -44,9 +44,9 @@ _OP1_SQL = f"""
     e AS (SELECT *, {len("<turn>") + len("</turn>")} + {_escaped_sql("text")} +
                  CASE role {_MARKERS} ELSE {len("### Role:") + len(":###")} + {_escaped_sql("role")} END AS chars FROM c)
     SELECT conv_id, count(*) AS n_turns,
-           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
            CAST(sum(chars) AS BIGINT) AS formatted_chars
     FROM e GROUP BY conv_id
 """
@@ -63,7 +63,39 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return quality.with_quality(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "quality.*")
 
 
-@query("op3_sharding")
+#: CRC-32 of short ASCII texts, as SQL: a table of the 256 remainders, then a step for each character.
+_CRC_TABLE = """(SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_concat([i], range(8)),
+    lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS c FROM range(256) r(i)))"""
+
+
+def _crc_sql(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_concat([4294967295], [CAST(ascii(x) AS BIGINT) for x in string_split({text}, '')]),
+                   lambda x, y: xor(x // 256, tab[xor(x % 256, y) + 1])))"""
+
+
+def _crc_bytes_sql(text: str) -> str:
+    """The same over the UTF-8 bytes of any text, two hex digits each."""
+    digits = f"hex(encode({text}))"
+    return f"""xor(4294967295, list_reduce(list_concat([4294967295], [CAST('0x' || substr({digits}, 2 * i + 1, 2) AS BIGINT) for i in range(0, strlen({text}))]),
+                   lambda x, y: xor(x // 256, tab[xor(x % 256, y) + 1])))"""
+
+
+# The same law in one sentence: in the order of (MD5 of the text, id) a row's shard is where its middle lies among all bytes.
+_OP3_SQL = f"""
+    WITH k AS {_CRC_TABLE},
+    d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    u AS (SELECT t, {_crc_bytes_sql("t")} AS crc FROM (SELECT DISTINCT t FROM d), k),
+    s AS (SELECT doc_id, CAST(strlen(t) + 8 AS BIGINT) AS size, crc, md5(t) AS h FROM d JOIN u USING (t)),
+    o AS (SELECT *, sum(size) OVER (ORDER BY h, doc_id NULLS FIRST, crc, size ROWS UNBOUNDED PRECEDING) AS stop,
+                 sum(size) OVER () AS total FROM s),
+    p AS (SELECT *, least(CAST(floor((stop - size / 2.0) * 24 / CAST(total AS DOUBLE)) AS INTEGER), 23) AS shard FROM o)
+    SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard,
+           row_number() OVER (PARTITION BY shard ORDER BY h, doc_id NULLS FIRST, crc, size) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+    FROM p
+"""
+
+
+@query("op3_sharding", _OP3_SQL)
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard(table(spark, sf, "documents"), 24).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -299,16 +331,6 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.collocations(table(spark, sf, "documents"))
 
 
-#: CRC-32 of short ASCII texts, as SQL: a table of the 256 remainders, then a step for each character.
-_CRC_TABLE = """(SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_concat([i], range(8)),
-    lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS c FROM range(256) r(i)))"""
-
-
-def _crc_sql(text: str) -> str:
-    return f"""xor(4294967295, list_reduce(list_concat([4294967295], [CAST(ascii(x) AS BIGINT) for x in string_split({text}, '')]),
-                   lambda x, y: xor(x // 256, tab[xor(x % 256, y) + 1])))"""
-
-
 # A run's words repeat over 16 words or more a period later, so pairs of equal stretches of 16 words hold all runs.
 _OP13_SQL = rf"""
     WITH k AS {_CRC_TABLE},

@@ -1,6 +1,6 @@
 """Shards of near-equal bytes through sampled splitters.
 
-Rows are ordered by (hash of the text, id), so copies of one text lie side by side and the order is random otherwise. A
+Rows are ordered by (MD5 of the text, id), so copies of one text lie side by side and the order is random otherwise. A
 sample weighted by size gives quantile boundaries; every row goes to the range between two boundaries; ranges that turn
 out too large are cut again by boundaries sampled inside them. Each range is then small enough for one task, which sums
 its rows in order; with the exact sums of the ranges before it, every row knows its place among all bytes, and the
@@ -111,7 +111,7 @@ def shard(
         df.select(
             F.col(id_column).cast("long").alias("_key"),
             F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))).alias("_id"),
-            F.xxhash64(content).alias("_h"),
+            F.conv(F.substring(F.md5(content.cast("binary")), 1, 15), 16, 10).cast("long").alias("_h"),
             (F.octet_length(content).cast("long") + 8).alias("_size"),
             F.crc32(content.cast("binary")).alias("_crc"),
         ),

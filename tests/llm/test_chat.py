@@ -41,10 +41,11 @@ def test_turn_round_trip(codec, role):
 
 def test_conversations(spark):
     rows = [(1, 2, "assistant", "b"), (1, 1, "user", "a"), (2, 0, None, None), (None, 0, "user", "x"), (3, 1, "user", "t"), (3, 1, "user", "t"),
-            (3, None, "system", "first"), *[(9, k, "assistant" if k % 2 else "user", f"turn {k} </turn>") for k in range(500)]]
+            (3, None, "system", "first"),
+            (3, 1, "user", "other at the same place"), (3, 1, "user", "é"), (3, 1, "user", "Zebra"), (3, 1, "user", ""), *[(9, k, "assistant" if k % 2 else "user", f"turn {k} </turn>") for k in range(500)]]
     df = spark.createDataFrame([(*r, "x", "x") for r in rows], "conv_id long, turn long, role string, text string, ids string, position string")
     expected = {}
-    for conv, _, role, text in sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0, r[2] or "")):
+    for conv, _, role, text in sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0, r[2] or "", (r[3] or "").encode())):
         expected.setdefault(conv, []).append((role or "", text or ""))
     placed = chat.format_conversations(df)
     found = {r["conv_id"]: r for r in chat.read_back(placed).collect()}
@@ -58,3 +59,10 @@ def test_conversations(spark):
     assert [p for p, _, _ in nine] == list(range(500))
     assert all(a[1] + a[2] == b[1] for a, b in zip(nine, nine[1:], strict=False))
     assert chat.read_back(chat.format_conversations(df.limit(0))).count() == 0
+
+
+def test_very_long_turn(spark):
+    long = " ".join(f"w{i}" for i in range(300_000))
+    df = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", long)], "conv_id long, turn long, role string, text string")
+    row = chat.read_back(chat.format_conversations(df)).first()
+    assert row["loss_chars"] == len(long) and row["loss_sha256"] == hashlib.sha256(long.encode()).hexdigest()

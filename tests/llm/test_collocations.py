@@ -75,7 +75,7 @@ def test_same_as_brute_force(spark):
         rows.append((" ".join(words), pick.choice(["en", "fr", None])))
     rows += [("One two three four five. one TWO three", "en")] * 40 + [(None, "en"), ("", None), ("\t \n", "de")]
     frame = spark.createDataFrame(rows, "text string, lang string").repartition(3)
-    # A trie of 50 phrases spills all the time; a filter of 64 bits lets everything through, one of 2**10 much.
+    # A trie of 50 phrases spills all the time; a filter of 64 bits lets nearly everything through, one of 2**10 much.
     for mining in (Mining(), Mining(entries=50, burst=3), Mining(filter_bits=6), Mining(filter_bits=10, top=7), Mining(least=5, inside=50)):
         assert ours(frame, mining) == brute(rows, mining.least, mining.inside, mining.top)
 
