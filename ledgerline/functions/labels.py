@@ -27,6 +27,7 @@ WEEKDAYS_SHORT = {
     "Monday": "Seg", "Tuesday": "Ter", "Wednesday": "Qua", "Thursday": "Qui",
     "Friday": "Sex", "Saturday": "Sab", "Sunday": "Dom",
 }
+#: Brands by the first digit of a device code (fixed values).
 DEVICE_BRANDS = {
     "1": "Apple", "2": "Samsung", "3": "Xiaomi", "4": "OnePlus", "5": "Google",
     "6": "Motorola", "7": "Lenovo", "8": "Sony", "9": "Huawei",

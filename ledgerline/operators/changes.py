@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerline.operators.joins import spread_join
 from ledgerline.operators.ordered import GROUP_LIMIT, has_large_group, ordered_columns
 
+# Column names of history tables and change feeds (fixed values).
 START, END = "__START_AT", "__END_AT"
 OP = "_change_type"
 SEQUENCE, DELETED = "__SEQUENCE", "__DELETED"

@@ -23,6 +23,19 @@ def zip_explode(df: DataFrame, arrays: Sequence[str], position: str | None = Non
     return exploded.select(*rest, (F.col("_p") + 1).alias(position), "z.*")
 
 
+#: How a month's traffic is dealt out (fixed values): days of a month, share of a day, sessions an hour, the divisor of a
+#: session's mean, and the uplink's share of the downlink.
+DAYS, DAY_SHARE, SESSIONS_AN_HOUR, MEAN_DIVISOR, UPLINK_SHARE = 30, 0.1, 100, 50, 0.10
+
+
+def traffic_budget(gib_a_month: Column, begin_hour: Column, end_hour: Column) -> Column:
+    """Mean bytes ``down`` and ``up`` of a session in a period of the day, as a struct; NULL for an empty period."""
+    sessions = (end_hour - begin_hour) * SESSIONS_AN_HOUR
+    bytes_ = gib_a_month / DAYS * DAY_SHARE * 1024**3
+    down = F.when(sessions > 0, bytes_ / (sessions * MEAN_DIVISOR))
+    return F.struct(down.alias("down"), (down * UPLINK_SHARE).alias("up"))
+
+
 def session_times(
     sessions: DataFrame,
     client: Sequence[str],

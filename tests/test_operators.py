@@ -148,3 +148,11 @@ def test_centres_with_a_hot_vector(spark):
     assert 12 <= len(centres) <= 16 and len(np.unique(centres.round(6), axis=0)) == len(centres)
     assert len(vectors.train_centres(points.limit(1), "v", 1)) == 1
     assert len(vectors.train_centres(points.limit(0), "v", 4)) == 0
+
+
+def test_traffic_budget(spark):
+    from ledgerline.operators.timeline import traffic_budget
+
+    row = spark.range(1).select(traffic_budget(F.lit(30.0), F.lit(6), F.lit(8)).alias("b"), traffic_budget(F.lit(30.0), F.lit(8), F.lit(8)).alias("none")).first()
+    assert row["b"]["down"] == 0.1 * 1024**3 / (200 * 50) and abs(row["b"]["up"] - row["b"]["down"] / 10) < 1e-9
+    assert row["none"]["down"] is None

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import changes as ch
 from ledgerline.operators.joins import lookup_join
+from ledgerline.operators.timeline import traffic_budget
 from ledgerline.operators.vector_index import VectorIndex
 from ledgerline.operators.views import IncrementalView, Measures, rows_of_groups
 from ledgerline.sources.clustering import ClusteredTable
@@ -254,3 +255,17 @@ def stream_progress(spark, sf):
             run_stream(file_stream(spark, f"{home}/landing", events.schema), f"{home}/table", f"{home}/checkpoint")
     shown = log.read().select("batch", "rows", ((F.col("seconds") > 0) & (F.col("rows_done") > 0)).alias("has_rates"))
     return shown
+
+
+@query("traffic_budget", """
+    SELECT c_custkey, begin_hour, end_hour, round(down, 4) AS down, round(0.1 * down, 4) AS up FROM (
+        SELECT *, (gib / 30.0) * 0.1 * 1073741824 / ((end_hour - begin_hour) * 100 * 50) AS down FROM (
+            SELECT c_custkey, CAST(5 + c_custkey % 40 AS DOUBLE) AS gib, c_custkey % 6 AS begin_hour, 7 + c_custkey % 5 AS end_hour FROM customer))
+""")
+def traffic_budget_query(spark, sf):
+    """What each customer's sessions carry in the morning, from the monthly volume."""
+    key = F.col("c_custkey")
+    hours = table(spark, sf, "customer").select(
+        "c_custkey", (key % 40 + 5).cast("double").alias("gib"), (key % 6).alias("begin_hour"), (key % 5 + 7).alias("end_hour"))
+    budget = hours.withColumn("b", traffic_budget(F.col("gib"), F.col("begin_hour"), F.col("end_hour")))
+    return budget.select("c_custkey", "begin_hour", "end_hour", F.round("b.down", 4).alias("down"), F.round("b.up", 4).alias("up"))
