@@ -1,3 +1,4 @@
+import re
 from collections import defaultdict
 
 import pytest
@@ -60,3 +61,8 @@ def test_awkward_rows(spark):
     assert mixing.with_repeats(empty(spark)).count() == 0
     runs = [sorted(str(r) for r in mixing.with_repeats(df).select("doc_id", "mix").collect()) for _ in range(2)]
     assert runs[0] == runs[1]
+
+
+def test_no_python(spark):
+    plan = mixing.with_repeats(documents(spark))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
