@@ -5,9 +5,10 @@ of the rest of its phrases and bursts, when it grows too large, into containers
 go. When the trie holds too many phrases, whole subtrees, the largest first, leave it as sorted runs. Spark deals the
 runs by their prefix, the first two words, and merges them in order.
 
-As a phrase can only be frequent if all its words and pairs of words are, these are counted first, by hashes alone: a
-hash found too seldom belongs to no frequent pair. The others make a filter of a fixed size, and only phrases that it
-lets through are counted by their words. It may let an infrequent one through, which costs work, never stops a frequent one.
+As a phrase can only be frequent if all its words, pairs and triples of words are, all of these are counted first, by
+hashes alone: a hash found too seldom belongs to no frequent triple. The others make a filter of a fixed size, and only
+phrases that it lets through are counted by their words. It may let an infrequent one through, which costs work, and never
+stops a frequent one.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ _WORD_BITS = 21
 _RUNS = "part int, lang string, size int, phrase string, f bigint"
 #: Words of a batch that are worked on at once, and words that a task numbers before it begins anew.
 _CHUNK = 1 << 18
-_VOCABULARY = 1 << 19
+_VOCABULARY = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -44,7 +45,7 @@ class Mining:
     least: int = 30
     inside: int = 80
     top: int = 2000
-    entries: int = 400_000
+    entries: int = 250_000
     burst: int = 4096
     filter_bits: int = 26
 
@@ -183,24 +184,24 @@ def _packed(columns: list[np.ndarray], head: np.ndarray) -> np.ndarray:
 #: Bits of a hash that are counted; the others of a 64-bit integer hold the count.
 _HASH_BITS = 40
 _COUNT_BITS = 64 - _HASH_BITS
-_HELD = 2_000_000
+_HELD = 1_000_000
 
 
 class _HashCounter:
-    """Counts hashes of words and of pairs of words, each with its language; a row is a hash and its count in one integer."""
+    """Counts hashes of words, pairs and triples of words, each with its language; a row is a hash and its count in one integer."""
 
     def __init__(self):
         self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def rows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in (batch.slice(a, 1000) for a in range(0, batch.num_rows, 1000)):
+            for part in (batch.slice(a, 250) for a in range(0, batch.num_rows, 250)):
                 words = Words(part.column("text"), _BLANKS | _BREAKS, lower=True)
                 piece, lang = _pieces(words), _text_hashes(part.column("lang").to_pylist())
-                one, two = _hashes(words.hashes(), np.repeat(lang, np.diff(words.first)))
-                for a in range(0, len(one), _CHUNK):
-                    same = piece[a + 1 : a + _CHUNK + 1] == piece[a : a + _CHUNK][: len(piece) - a - 1]
-                    self._add(np.concatenate((one[a : a + _CHUNK], two[a : a + _CHUNK][same])))
+                found = _hashes(words.hashes(), np.repeat(lang, np.diff(words.first)))
+                found = [h[piece[size:] == piece[: len(h)]] if size else h for size, h in enumerate(found)]
+                for a in range(0, len(found[0]), _CHUNK):
+                    self._add(np.concatenate([h[a : a + _CHUNK] for h in found]))
                     if len(self.hashes) > _HELD:
                         yield from self._spilled()
         yield from self._spilled()
@@ -226,10 +227,16 @@ def _pieces(words: Words) -> np.ndarray:
     return np.searchsorted(np.flatnonzero(_BREAKS[words.data]), words.starts) + text
 
 
-def _hashes(of_word: np.ndarray, of_lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each word and of each pair of neighbours, with their language."""
-    one = _joined(of_lang, of_word)
-    return one, _joined(one[:-1], of_word[1:])
+#: Words of the longest parts that the filter knows.
+_PARTS = 3
+
+
+def _hashes(of_word: np.ndarray, of_lang: np.ndarray) -> list[np.ndarray]:
+    """Hashes of each word, pair and triple of neighbours, with their language."""
+    out = [_joined(of_lang, of_word)]
+    for size in range(1, _PARTS):
+        out.append(_joined(out[-1][:-1], of_word[size:]))
+    return out
 
 
 class _Counter:
@@ -242,7 +249,7 @@ class _Counter:
 
     def runs(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in (batch.slice(a, 1000) for a in range(0, batch.num_rows, 1000)):
+            for part in (batch.slice(a, 250) for a in range(0, batch.num_rows, 250)):
                 yield from self._texts(part.column("lang"), part.column("text"))
         yield from self._spilled(everything=True)
 
@@ -256,13 +263,11 @@ class _Counter:
         if not len(words):
             return
         piece, lang_of, hashes = _pieces(words), np.repeat(lang, counts), words.hashes()
-        one, two = (self._open(h) for h in _hashes(hashes, _text_hashes(self._lang_names())[lang_of]))
-        two = np.append(two, False)
+        parts = [self._open(h) for h in _hashes(hashes, _text_hashes(self._lang_names())[lang_of])]
         for at in range(0, len(words), _CHUNK):
             last = min(at + _CHUNK + LONGEST - 1, len(words))
             count = min(_CHUNK, len(words) - at)
-            begins = [(1, np.flatnonzero(one[at : at + count]))]
-            begins += [(size, self._begins(size, piece[at:last], two[at:last], count)) for size in range(2, LONGEST + 1)]
+            begins = [(size, self._begins(size, piece[at:last], [p[at:last] for p in parts], count)) for size in range(1, LONGEST + 1)]
             needed = np.zeros(last - at, bool)
             for size, place in begins:
                 for k in range(size):
@@ -283,12 +288,13 @@ class _Counter:
             if self.trie.full():
                 yield from self._spilled()
 
-    def _begins(self, size: int, piece: np.ndarray, pairs: np.ndarray, count: int) -> np.ndarray:
-        """Where, among the first ``count`` places, a phrase of a size lies in one piece, all its pairs let through."""
+    def _begins(self, size: int, piece: np.ndarray, parts: list[np.ndarray], count: int) -> np.ndarray:
+        """Where, among the first ``count`` places, a phrase of a size lies in one piece, all its longest parts let through."""
         reach = max(min(count, len(piece) - size + 1), 0)
         allowed = piece[size - 1 : size - 1 + reach] == piece[:reach]
-        for k in range(size - 1):
-            allowed &= pairs[k : k + reach]
+        longest = min(size, _PARTS)
+        for k in range(size - longest + 1):
+            allowed &= parts[longest - 1][k : k + reach]
         return np.flatnonzero(allowed)
 
     def _count(self, size: int, place: np.ndarray, codes: np.ndarray, numbers: np.ndarray, lang: np.ndarray) -> None:
@@ -354,17 +360,38 @@ def _text(words: list[pa.Array]) -> pa.Array:
 
 
 def _filter(texts: DataFrame, mining: Mining):
-    """The hashes of words and pairs found often enough as a bitmap, broadcast: 2**filter_bits bits, however many they are."""
+    """The hashes of words, pairs and triples found often enough as a bitmap, broadcast: 2**filter_bits bits, however many they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _HashCounter().rows(batches)
 
-    packed, rest = F.col("packed"), _HASH_BITS - mining.filter_bits
-    counted = texts.mapInArrow(run, "packed bigint").groupBy(F.shiftrightunsigned(packed, _COUNT_BITS).alias("h")).agg(
-        F.sum(packed.bitwiseAND((1 << _COUNT_BITS) - 1)).alias("n"))
+    def often_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The hashes whose counts, which lie one after the other, add up to enough."""
+        last, held = None, 0
+        for batch in batches:
+            packed = batch.column(0).to_numpy().view(np.uint64)
+            if not len(packed):
+                continue
+            hashes, counts = packed >> np.uint64(_COUNT_BITS), (packed & np.uint64((1 << _COUNT_BITS) - 1)).astype(np.int64)
+            starts = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+            hashes, counts = hashes[starts], np.add.reduceat(counts, starts)
+            if last is not None and last == hashes[0]:
+                counts[0] += held
+            elif last is not None and held >= mining.least:
+                yield pa.RecordBatch.from_arrays([pa.array([int(last)], pa.int64())], names=["h"])
+            last, held = hashes[-1], int(counts[-1])  # it may go on in the next batch
+            enough = hashes[:-1][counts[:-1] >= mining.least]
+            yield pa.RecordBatch.from_arrays([pa.array(enough.view(np.int64))], names=["h"])
+        if last is not None and held >= mining.least:
+            yield pa.RecordBatch.from_arrays([pa.array([int(last)], pa.int64())], names=["h"])
+
+    rest = _HASH_BITS - mining.filter_bits
+    # Sorted and added up in passing: a hash table would hold every hash of a partition.
+    dealt = texts.mapInArrow(run, "packed bigint").repartition(F.shiftrightunsigned("packed", _COUNT_BITS)).sortWithinPartitions("packed")
+    often = dealt.mapInArrow(often_found, "h bigint")
     bit = F.shiftrightunsigned("h", rest)
     mask = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h, {rest}) & 63 AS INT))")
-    often = counted.where(F.col("n") >= mining.least).select(F.shiftrightunsigned(bit, 6).alias("place"), mask.alias("mask"))
+    often = often.select(F.shiftrightunsigned(bit, 6).alias("place"), mask.alias("mask"))
     held = often.groupBy("place").agg(F.bit_or("mask").alias("mask")).toArrow()
     bitmap = np.zeros(1 << max(mining.filter_bits - 6, 0), np.uint64)
     bitmap[held.column("place").to_numpy()] = held.column("mask").to_numpy().view(np.uint64)
