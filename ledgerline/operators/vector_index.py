@@ -133,7 +133,7 @@ class VectorIndex:
         probed = [r["list"] for r in asked.select("list").distinct().collect()]  # at most as many as there are lists
         copies = Window.partitionBy("list", F.xxhash64("v"), "v").orderBy("id")
         found = self.members(probed).withColumn("_rn", F.row_number().over(copies)).where(F.col("_rn") <= k).drop("_rn")
-        blocks = materialize(_blocks(found, BLOCK, "points"), "index-blocks")
+        blocks = _blocks(materialize(found, "index-members"), BLOCK, "points")
         return _best(_compare(asked, blocks, k), k)
 
 

@@ -156,3 +156,41 @@ def test_traffic_budget(spark):
     row = spark.range(1).select(traffic_budget(F.lit(30.0), F.lit(6), F.lit(8)).alias("b"), traffic_budget(F.lit(30.0), F.lit(8), F.lit(8)).alias("none")).first()
     assert row["b"]["down"] == 0.1 * 1024**3 / (200 * 50) and abs(row["b"]["up"] - row["b"]["down"] / 10) < 1e-9
     assert row["none"]["down"] is None
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_vector_search_hands_on_small_batches(spark, monkeypatch, exact):
+    """What a task passes to and from Python at once does not grow with the number of lists."""
+    from pyspark import AccumulatorParam
+
+    frame = type(spark.range(1))
+
+    class Largest(AccumulatorParam):
+        def zero(self, value):
+            return 0
+
+        def addInPlace(self, one, other):
+            return max(one, other)
+
+    rows_out = spark.sparkContext.accumulator(0, Largest())
+
+    def watched(kind, rows_of):
+        plain = getattr(frame, kind)
+
+        def run_watched(self, run, schema, *more, **named):
+            def run_and_see(batches):
+                for out in run(batches):
+                    rows_out.add(rows_of(out))
+                    yield out
+
+            return plain(self, run_and_see, schema, *more, **named)
+
+        monkeypatch.setattr(frame, kind, run_watched)
+
+    watched("mapInPandas", len)
+    watched("mapInArrow", lambda batch: batch.num_rows)
+    # Far more lists than 3,000 vectors need stand for the lists of many vectors.
+    data = spark.range(0, 3000, 1, 1).selectExpr("id as vec_id", "transform(sequence(1, 8), j -> float(hash(id, j) / 1e9)) as embedding")
+    found = vectors.knn_vectors(data, data, 3, id="vec_id", vector="embedding", lists=200, probes=100, exact=exact)
+    assert found.count() == 9000
+    assert 0 < rows_out.value <= 16_384
