@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages are TF-IDF vectors over the words of the benchmark; document frequencies come from the whole corpus. A randomised
-SVD, whose passes over passages are Spark jobs, gives a latent space. Every window of every document is compared with
+SVD of all passages of the corpus, whose moments and products are Spark jobs, gives a latent space. Every window of every document is compared with
 every benchmark passage by cosine there (the benchmark is the stated, small query set). What comes near is checked on the
 words: the longest common subsequence, and for weaker matches whether the answer, the end of the item, is there too.
 """
@@ -21,8 +21,8 @@ from ledgerline.llm.common import small_batches, store
 
 @dataclass(frozen=True)
 class Settings:
-    """``block`` words are the step between windows of two blocks. ``rank`` dimensions; at most ``fit_passages`` corpus
-    passages (of distinct texts, drawn by a hash of the text) and all benchmark passages fit the space. Items are searched in
+    """``block`` words are the step between windows of two blocks. ``rank`` dimensions; all passages of the corpus and all
+    benchmark passages, with as much weight together, fit the space. Items are searched in
     blocks of about ``item_bytes`` of text, each with a space of its own, so the broadcasts stay bounded. Words in more than ``common`` of all
     documents weigh nothing, unless an item has fewer than ``least_terms`` others. ``cosine``: least similarity of a
     candidate. A match has a common subsequence of ``verbatim`` of the item's words, or of ``paraphrase`` together with
@@ -31,7 +31,6 @@ class Settings:
 
     block: int = 16
     rank: int = 128
-    fit_passages: int = 20_000
     power: int = 2
     common: float = 0.1
     least_terms: int = 4
@@ -157,8 +156,77 @@ def _product(rows: list[np.ndarray], idf: np.ndarray, right: np.ndarray, scale:
     return out, gram
 
 
+#: Words of a benchmark up to which a task adds up the moments in one dense matrix, and passages taken at a time.
+_DENSE_TERMS = 2896
+_PASSAGES = 8192
+#: Moments are added as whole numbers, so that sums do not depend on the order of tasks.
+_UNIT = float(1 << 32)
+
+
+def _pair_moments(rows: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cells (term * terms + term, the smaller term first) and values of A.T @ A for passages A, rows of unit length."""
+    of, ids, weight = _tf(rows, idf)
+    used = weight > 0
+    cells, inverse = np.unique(of[used] * np.int64(len(idf)) + ids[used], return_inverse=True)
+    value = np.bincount(inverse, weights=weight[used], minlength=len(cells))
+    row, term = cells // len(idf), cells % len(idf)
+    value = value / np.maximum(np.sqrt(np.bincount(row, weights=value**2, minlength=len(rows)))[row], 1e-12)
+    at = np.arange(len(cells))
+    after = np.searchsorted(row, row, "right") - at  # terms of the row from this one on
+    left = np.repeat(at, after)
+    right = left + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
+    return term[left] * len(idf) + term[right], value[left] * value[right]
+
+
+def moments(docs: DataFrame, terms: dict[bytes, int], idf: np.ndarray, settings: Settings) -> tuple[DataFrame, int]:
+    """The upper half of A.T @ A over all passages of ``docs`` (``text``), stored as ``cell``, ``weight``; and their number."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((terms, idf))
+    block = settings.block
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, weights = shared.value
+        size = len(weights)
+        dense = np.zeros(size * size) if size <= _DENSE_TERMS else None
+        count, held = 0, []
+
+        def out(cells: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for a in range(0, len(cells), 250_000):
+                part = np.rint(values[a : a + 250_000] * _UNIT).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(cells[a : a + 250_000]), pa.array(part)], names=["cell", "weight"])
+
+        def added() -> Iterator[pa.RecordBatch]:
+            cells, values = _pair_moments(held, weights)
+            if dense is not None:
+                np.add.at(dense, cells, values)
+            else:
+                cells, inverse = np.unique(cells, return_inverse=True)
+                yield from out(cells, np.bincount(inverse, weights=values, minlength=len(cells)))
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held += _blocks(_ids(words_of(text), known), block)
+                if len(held) >= _PASSAGES:
+                    count += len(held)
+                    yield from added()
+                    held = []
+        if held:
+            count += len(held)
+            yield from added()
+        if dense is not None:
+            at = np.flatnonzero(dense)
+            yield from out(at, dense[at])
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([count], pa.int64())], names=["cell", "weight"])
+
+    # A task gives up to all cells, so there are as many tasks as cores, each with many files.
+    rows = docs.select("text").coalesce(spark.sparkContext.defaultParallelism).mapInArrow(run, "cell long, weight long")
+    stored = store(rows.groupBy("cell").agg(F.sum("weight").alias("weight")), "passage-moments")
+    count = stored.where("cell = -1").first()
+    return stored.where("cell >= 0"), count.weight if count else 0
+
+
 def latent_space(docs: DataFrame, items: list[tuple[int, str]], settings: Settings) -> Space:
-    """Fit the space. The driver holds matrices of (benchmark words x rank) only."""
+    """Fit the space on all passages. The driver holds matrices of (benchmark words x rank) only."""
     split = [(i, words_of(t)) for i, t in items]
     split = [(i, w) for i, w in split if w]
     terms = {w: k for k, w in enumerate(sorted({w for _, ws in split for w in ws}))}
@@ -180,45 +248,35 @@ def latent_space(docs: DataFrame, items: list[tuple[int, str]], settings: Settin
         owner += [k] * len(own)
 
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((terms, idf))
-
-    def passages_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value[0]
-        for batch in batches:
-            for text, unit in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = _blocks(_ids(words_of(text), known), settings.block)
-                columns = [pa.array(rows, pa.list_(pa.int32())), pa.array([unit] * len(rows)), pa.array(np.arange(len(rows)))]
-                yield pa.RecordBatch.from_arrays(columns, names=["ids", "unit", "place"])
-
-    # Every task draws; copies of a text are one; then the first ``fit_passages`` by draw and place stay.
-    rate = min(1.0, settings.fit_passages * settings.block / max(n_words, 1))
-    unit = F.pmod(F.xxhash64("text", F.lit("fit")), F.lit(1 << 24)) / float(1 << 24)
-    chosen = docs.withColumn("unit", unit).where(F.col("unit") < rate).select("text", "unit").distinct()
-    passages_drawn = chosen.mapInArrow(passages_of, "ids array<int>, unit double, place long")
-    drawn = store(passages_drawn.orderBy("unit", "place", "ids").limit(settings.fit_passages).select("ids"), "fit-passages").repartition(8)
     width = min(settings.rank + 12, len(terms))
-    sent_idf = spark.sparkContext.broadcast(idf)
+    cells, passage_count = moments(docs, terms, idf, settings) if terms else (None, 0)
+    scale = np.sqrt(max(1.0, passage_count / max(len(own_rows), 1)))
 
     def multiply(right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For all passages A: A.T @ (A @ right) and the Gram matrix of A @ right."""
         sent = spark.sparkContext.broadcast(right)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            weights = sent_idf.value
-            out, gram = np.zeros_like(sent.value), np.zeros((width, width))
+            by, out = sent.value, np.zeros_like(sent.value)
             for batch in batches:
-                rows = [np.array(r, np.int32) for r in batch.column(0).to_pylist()]
-                for a in range(0, len(rows), 4096):
-                    more, square = _product(rows[a : a + 4096], weights, sent.value)
-                    out += more
-                    gram += square
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()]), pa.array([gram.tobytes()])], names=["product", "gram"])
-
-        out, gram = _product(own_rows, idf, right, scale=np.sqrt(max(1.0, settings.fit_passages / max(len(own_rows), 1))))
-        for more, square in drawn.mapInArrow(run, "product binary, gram binary").toLocalIterator():  # 8 rows
-            out = out + np.frombuffer(more).reshape(out.shape)
-            gram = gram + np.frombuffer(square).reshape(gram.shape)
+                cell, weight = (batch.column(k).to_numpy() for k in range(2))
+                one, two = cell // len(by), cell % len(by)
+                off = one != two
+                into, of = np.concatenate((one, two[off])), np.concatenate((two, one[off]))
+                value = np.concatenate((weight, weight[off])) / _UNIT
+                order = np.argsort(into, kind="stable")
+                for a in range(0, len(order), 8192):
+                    own = order[a : a + 8192]
+                    starts = np.flatnonzero(np.diff(into[own], prepend=-1))
+                    out[into[own][starts]] += np.add.reduceat(by[of[own]] * value[own, None], starts, axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()])], names=["product"])
+
+        out, gram = _product(own_rows, idf, right, scale=scale)
+        corpus = np.zeros_like(out)
+        for (more,) in cells.coalesce(8).mapInArrow(run, "product binary").toLocalIterator():  # 8 rows
+            corpus = corpus + np.frombuffer(more).reshape(out.shape)
         sent.destroy()
-        return out, gram
+        return out + corpus, gram + right.T @ corpus
 
     basis = np.linalg.qr(np.random.default_rng(settings.seed).standard_normal((len(terms), width)))[0] if terms else np.zeros((0, 0))
     for _ in range(settings.power if terms else 0):

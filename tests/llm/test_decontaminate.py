@@ -135,3 +135,17 @@ def test_very_long_texts(spark):
     long = " ".join(f"v{i}" for i in range(400_000))
     df = spark.createDataFrame([(1, f"{long} {item['text']} {long}"), (2, "soup " * 1_000_000)], "doc_id long, text string")
     assert matches(df, benchmark) == {(1, item["item_id"])}
+
+
+def test_space_is_fitted_on_every_passage(spark):
+    """Each passage of 25,000 texts has length one, so the squares add up to their number; a rare text at the end counts too."""
+    import numpy as np
+
+    terms = {b"alpha": 0, b"beta": 1, b"gamma": 2}
+    rare = spark.createDataFrame([("gamma beta gamma",)], "text string")
+    texts = spark.range(25_000).selectExpr("concat('alpha other', id % 7, ' beta beta') AS text").unionByName(rare)
+    cells, count = decontaminate.moments(texts, terms, np.ones(3), decontaminate.Settings())
+    found = {r["cell"]: r["weight"] / 2**32 for r in cells.collect()}
+    assert count == 25_001 and abs(found[0] + found[4] + found[8] - 25_001) < 1e-3
+    assert abs(found[0] - 5000) < 1e-3 and abs(found[1] - 10_000) < 1e-3
+    assert abs(found[5] - 0.4) < 1e-6 and abs(found[8] - 0.8) < 1e-6
