@@ -19,6 +19,8 @@ from ledgerline.workspace import materialize
 FIRST = 3
 STEP = 2
 DEEPEST = 23
+#: Rows of pairs of query and cell that one task sorts; partitions by bytes would not see how much they unfold.
+TASK_ROWS = 500_000
 #: Quantiles per axis. Coordinates run evenly between neighbouring quantiles, so cells are small where points are dense,
 #: and a far outlier takes one of many strips instead of stretching the grid for all.
 STRIPS = 1024
@@ -50,6 +52,11 @@ def _pyramid_level(places: DataFrame, level: int) -> DataFrame:
     )
 
 
+def _dealt(queries: DataFrame, rows: int) -> DataFrame:
+    """Rows by query, in so many partitions that ``rows`` pairs of them with cells are a bounded number in each."""
+    return queries.repartition(max(1, -(-rows // TASK_ROWS)), "_q")
+
+
 def _keep_useful(frontier: DataFrame, k: int) -> DataFrame:
     """Drop the cells that start further away than k points are known to be."""
     nx, fx = _gap(F.col("_qx"), F.col("_x0"), F.col("_x1"))
@@ -72,12 +79,12 @@ def _keep_useful(frontier: DataFrame, k: int) -> DataFrame:
 _COARSE = 32
 
 
-def _descend(frontier: DataFrame, below: DataFrame, rows: int) -> DataFrame:
+def _descend(frontier: DataFrame, below: DataFrame, rows: int, expected: int) -> DataFrame:
     """Attach what lies below a cell. All columns are numbers, so the counted rows
     bound the size: broadcast a small table, else join with salted large cells."""
     if rows * 8 * (len(below.columns) + 2) <= BROADCAST_BYTES:
         return frontier.join(F.broadcast(below), "_parent")
-    return spread_join(materialize(frontier, "frontier"), below, ["_parent"])
+    return _dealt(spread_join(materialize(frontier, "frontier"), below, ["_parent"]), expected)
 
 
 def knn_join(
@@ -132,17 +139,19 @@ def knn_join(
     # The first level has at most 4**FIRST cells: every query carries them as one array.
     cells = _pyramid_level(places, FIRST).drop("_parent")
     first = cells.agg(F.collect_list(F.struct(*cells.columns)).alias("_cells"))
-    asked = asked.withColumns({"_bound": F.lit(None).cast("double"), "_cells": first.scalar()})
+    # Dealt while a query is one narrow row; all levels below keep to these partitions.
+    expected = asked.count() * 4**FIRST
+    asked = _dealt(asked, expected).withColumns({"_bound": F.lit(None).cast("double"), "_cells": first.scalar()})
     frontier = _keep_useful(asked.select("*", F.inline("_cells")), k)
     level, largest = FIRST, cells.agg(F.max("_n")).first()[0]
     while largest > leaf_points and level < DEEPEST:
         level += STEP
         cells = _pyramid_level(places, level)
         rows, largest = cells.agg(F.count(F.lit(1)), F.max("_n")).first()
-        frontier = _keep_useful(_descend(frontier, cells, rows), k)
+        frontier = _keep_useful(_descend(frontier, cells, rows, expected), k)
 
     leaves = places.select(_cell(level).alias("_parent"), "_p", "_x", "_y")
-    pairs = _descend(frontier, leaves, places.count())
+    pairs = _descend(frontier, leaves, places.count(), expected)
     dx, dy = F.col("_x") - F.col("_qx"), F.col("_y") - F.col("_qy")
     nearest = Window.partitionBy("_q").orderBy("distance", "_p")
     return (

@@ -194,3 +194,16 @@ def test_vector_search_hands_on_small_batches(spark, monkeypatch, exact):
     found = vectors.knn_vectors(data, data, 3, id="vec_id", vector="embedding", lists=200, probes=100, exact=exact)
     assert found.count() == 9000
     assert 0 < rows_out.value <= 16_384
+
+
+def test_knn_partitions_follow_the_number_of_queries(spark, monkeypatch):
+    """Pairs of queries and cells are dealt to as many tasks as they need, however few bytes the queries have."""
+    from ledgerline.operators import nearest
+
+    monkeypatch.setattr(nearest, "TASK_ROWS", 64 * 50, raising=False)
+    key = F.col("id")
+    places = spark.range(400).select(key, hash_unit(key, "a").alias("lat"), hash_unit(key, "b").alias("lon"))
+    found = knn_join(places, places.withColumnRenamed("id", "p"), 1, query_id="id", point_id="p")
+    held = found.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert len(held) >= 6 and sum(r["count"] for r in held) == 400
+    assert found.where("id = p and distance = 0").count() == 400
