@@ -2,8 +2,9 @@
 
 A task counts in a trie over word numbers: the root has a child for each first word, a child begins as a hash container
 of the rest of its phrases and bursts, when it grows too large, into containers by the second word; deeper it does not
-go. When the trie holds too many phrases, whole subtrees, the largest first, leave it as sorted runs. Spark deals the
-runs by their prefix, the first two words, and merges them in order.
+go. When the trie holds too many phrases, whole subtrees, the largest first, leave it as sorted runs. The task keeps
+these as arrays and merges them, so that a phrase leaves it once for each ``kept`` phrases and not for each chunk of text.
+Spark deals what leaves by its prefix, the first two words, and merges it in order.
 
 As a phrase can only be frequent if all its words, pairs and triples of words are, all of these are counted first, by
 hashes alone: a hash found too seldom belongs to no frequent triple. The others make a filter of a fixed size, and only
@@ -33,20 +34,22 @@ _WORD_BITS = 21
 _RUNS = "part int, lang string, size int, phrase string, f bigint"
 #: Words of a batch that are worked on at once, and words that a task numbers before it begins anew.
 _CHUNK = 1 << 18
-_VOCABULARY = 1 << 18
+_VOCABULARY = 1 << 19
 
 
 @dataclass(frozen=True)
 class Mining:
     """``least``: occurrences of a candidate. ``inside`` percent: a phrase whose words lie in a longer one that is so
     often found goes. ``top``: phrases returned for each language. ``entries``: phrases a task's trie holds before it spills;
-    ``burst``: phrases of a container before it bursts; ``filter_bits``: size of the filter, 8 MB at 26, 40 at most."""
+    ``burst``: phrases of a container before it bursts; ``kept``: phrases of spilled runs that a task keeps to merge, 24
+    bytes each; ``filter_bits``: size of the filter, 8 MB at 26, 40 at most."""
 
     least: int = 30
     inside: int = 80
     top: int = 2000
     entries: int = 250_000
     burst: int = 4096
+    kept: int = 2_000_000
     filter_bits: int = 26
 
 
@@ -141,8 +144,9 @@ class _Vocabulary:
         self.words: list[bytes] = [b""]
         self.hashes: list[int] = [0]
 
-    def room_for(self, count: int) -> bool:
-        return len(self.words) + count <= _VOCABULARY
+    def room_for(self, words: list[bytes]) -> bool:
+        room = _VOCABULARY - len(self.words)
+        return len(words) <= room or sum(w not in self.number for w in words) <= room
 
     def numbers(self, words: list[bytes], hashes: list[int]) -> np.ndarray:
         number, spelled, hashed = self.number, self.words, self.hashes
@@ -239,6 +243,17 @@ def _hashes(of_word: np.ndarray, of_lang: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _merged(runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Heads, rests and counts of all runs, sorted, each phrase once."""
+    heads, rests, counts = (np.concatenate([r[k] for r in runs] or [np.zeros(0, np.int64)]) for k in range(3))
+    order = np.lexsort((rests, heads))
+    heads, rests, counts = heads[order], rests[order], counts[order]
+    first = np.ones(len(heads), bool)
+    first[1:] = (heads[1:] != heads[:-1]) | (rests[1:] != rests[:-1])
+    starts = np.flatnonzero(first)
+    return heads[starts], rests[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+
+
 class _Counter:
     """Counts the phrases of 1 to 4 words that a filter lets through, in Arrow batches of ``lang`` and ``text``."""
 
@@ -246,6 +261,8 @@ class _Counter:
         self.gate, self.mining = gate, mining
         self.trie, self.vocabulary = HatTrie(mining.entries, mining.burst), _Vocabulary()
         self.langs: dict[str, int] = {}
+        self.kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.kept_rows = 0
 
     def runs(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,6 +281,8 @@ class _Counter:
             return
         piece, lang_of, hashes = _pieces(words), np.repeat(lang, counts), words.hashes()
         parts = [self._open(h) for h in _hashes(hashes, _text_hashes(self._lang_names())[lang_of])]
+        for shorter, longer in zip(parts, parts[1:]):  # the words of a part, and its pairs, must pass as well
+            longer &= shorter[:-1] & shorter[1:]
         for at in range(0, len(words), _CHUNK):
             last = min(at + _CHUNK + LONGEST - 1, len(words))
             count = min(_CHUNK, len(words) - at)
@@ -275,12 +294,13 @@ class _Counter:
             needed = np.flatnonzero(needed)
             spelled = words.spelled(at + needed).dictionary_encode()
             code = spelled.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            if not self.vocabulary.room_for(len(spelled.dictionary)):
+            distinct = spelled.dictionary.to_pylist()
+            if not self.vocabulary.room_for(distinct):
                 yield from self._spilled(everything=True)
                 self.vocabulary.clear()
-            hash_of = np.zeros(len(spelled.dictionary), np.uint64)
+            hash_of = np.zeros(len(distinct), np.uint64)
             hash_of[code] = hashes[at + needed]
-            numbers = self.vocabulary.numbers(spelled.dictionary.to_pylist(), hash_of.tolist())
+            numbers = self.vocabulary.numbers(distinct, hash_of.tolist())
             codes = np.zeros(last - at, np.int64)
             codes[needed] = code
             for size, place in begins:
@@ -327,23 +347,35 @@ class _Counter:
             self.trie.add(h, rests[a:b], counted[a:b])
 
     def _spilled(self, everything: bool = False) -> Iterator[pa.RecordBatch]:
-        """The subtrees that leave the trie, as runs sorted by part, language and phrase."""
+        """Subtrees leave the trie for the kept runs; these leave the task when there are too many of them, merged."""
+        for run in self.trie.spill(everything):
+            self.kept.append(run)
+            self.kept_rows += len(run[0])
+        if not everything and self.kept_rows <= self.mining.kept:
+            return
+        merged = _merged(self.kept)
+        self.kept, self.kept_rows = [merged], len(merged[0])
+        if everything or self.kept_rows > self.mining.kept // 2:
+            self.kept, self.kept_rows = [], 0
+            yield from self._rows(*merged)
+
+    def _rows(self, heads: np.ndarray, rests: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Runs sorted by part, language and phrase."""
         spelled = pa.array(self.vocabulary.words, pa.large_binary())
         hashes, of_lang = np.array(self.vocabulary.hashes, np.uint64), _text_hashes(self._lang_names())
-        for heads, rests, counts in self.trie.spill(everything):
-            numbers = [heads & _MASK] + [rests >> (k * _WORD_BITS) & _MASK for k in range(LONGEST - 1)]
-            size = sum((n > 0).astype(np.int64) for n in numbers)
-            for s in np.unique(size):
-                of_size = np.flatnonzero(size == s)
-                for a in range(0, len(of_size), 100_000):
-                    at = of_size[a : a + 100_000]
-                    lang = heads[at] >> _WORD_BITS
-                    # The part is told by the prefix: the first word, or the first two.
-                    prefix = of_lang[lang]
-                    for n in numbers[: min(s, 2)]:
-                        prefix = _joined(prefix, hashes[n[at]])
-                    part = (prefix >> np.uint64(33)).astype(np.int32)
-                    yield self._batch(part, lang, int(s), _text([spelled.take(pa.array(n[at])) for n in numbers[:s]]), counts[at])
+        numbers = [heads & _MASK] + [rests >> (k * _WORD_BITS) & _MASK for k in range(LONGEST - 1)]
+        size = sum((n > 0).astype(np.int64) for n in numbers)
+        for s in np.unique(size):
+            of_size = np.flatnonzero(size == s)
+            for a in range(0, len(of_size), 100_000):
+                at = of_size[a : a + 100_000]
+                lang = heads[at] >> _WORD_BITS
+                # The part is told by the prefix: the first word, or the first two.
+                prefix = of_lang[lang]
+                for n in numbers[: min(s, 2)]:
+                    prefix = _joined(prefix, hashes[n[at]])
+                part = (prefix >> np.uint64(33)).astype(np.int32)
+                yield self._batch(part, lang, int(s), _text([spelled.take(pa.array(n[at])) for n in numbers[:s]]), counts[at])
 
     def _batch(self, part: np.ndarray, lang: np.ndarray, size: int, phrase: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
         names = pa.array(self._lang_names(), pa.string()).take(pa.array(lang, pa.int64()))
@@ -416,7 +448,9 @@ def count_phrases(df: DataFrame, text: str = "text", lang: str = "lang", mining:
         yield from _Counter(mining, gate.value).runs(batches)
 
     key = ["part", "lang", "size", "phrase"]
-    runs = texts.mapInArrow(run, _RUNS).repartition("part").sortWithinPartitions(*key)
+    # Each task gives up to all frequent phrases, so there are as many tasks as cores, each with many files.
+    few = texts.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+    runs = few.mapInArrow(run, _RUNS).repartition("part").sortWithinPartitions(*key)
     merged = runs.groupBy(*key).agg(F.sum("f").alias("f"))
     return store(merged.where((F.col("f") >= mining.least) | (F.col("size") == 0)).drop("part"), "phrases")
 
@@ -430,7 +464,7 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", mining:
     one, candidate itself, that is found at least ``inside`` percent as often go. ``n`` counts all words of the language.
     All arithmetic is on decimals. A null text has no words, a null lang is ``und``, repeated rows count each time; an
     empty table, or one without candidates, gives no rows. Other columns are not looked at. A very long text is
-    worked on in chunks of a million words; a task holds its batch, ``entries`` phrases and 2 million words.
+    worked on in chunks of 2**18 words; a task holds its batch, ``entries`` and ``kept`` phrases and 2**19 words.
     """
     counted = count_phrases(df, text, lang, mining)
     found = counted.where("size > 0").select("lang", "phrase", "f")

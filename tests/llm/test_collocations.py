@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tests.llm.helpers import awkward, documents, empty
 
@@ -80,6 +82,39 @@ def test_same_as_brute_force(spark):
         assert ours(frame, mining) == brute(rows, mining.least, mining.inside, mining.top)
 
 
+def test_phrases_leave_a_task_once():
+    """Runs of a task are merged before they leave it: a trie that is full at every chunk does not repeat its phrases."""
+    pick = random.Random(3)
+    texts = [" ".join(pick.choice("abcdefgh") for _ in range(40)) for _ in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 1000, "text": texts})
+    expected = Counter()
+    for text in texts:
+        words = text.split()
+        expected.update(" ".join(words[i : i + k]) for k in range(1, 5) for i in range(len(words) - k + 1))
+    everything = np.full(1, 2**64 - 1, np.uint64)
+    for kept in (2_000_000, 6000):  # 6000: more than are distinct after a merge, then fewer than half are free
+        rows = Counter()
+        found = Counter()
+        for run in collocations._Counter(Mining(entries=50, burst=3, kept=kept, filter_bits=6), everything).runs([batch]):
+            for row in run.to_pylist():
+                if row["size"]:
+                    rows[row["phrase"]] += 1
+                    found[row["phrase"]] += row["f"]
+        assert found == expected
+        assert kept == 6000 or set(rows.values()) == {1}
+
+
+def test_longer_parts_need_their_shorter_ones():
+    """What the filter lets through by chance alone is not counted if a word in it was not let through."""
+    counter = collocations._Counter(Mining(), np.zeros(1, np.uint64))
+    langs, texts = pa.array(["en"]), pa.array(["a b c d"])
+    words = collocations.Words(texts, collocations._BLANKS | collocations._BREAKS, lower=True)
+    hashes = collocations._hashes(words.hashes(), np.repeat(collocations._text_hashes(["en"]), 4))
+    single = set(hashes[0].tolist())
+    counter._open = lambda h: np.array([x not in single for x in h.tolist()], bool)
+    assert [r["size"] for b in [*counter._texts(langs, texts), *counter._spilled(everything=True)] for r in b.to_pylist()] == [0]
+
+
 def test_documents(spark):
     frame = documents(spark)
     rows = [(r["text"], r["lang"]) for r in frame.collect()]
