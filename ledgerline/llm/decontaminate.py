@@ -8,12 +8,13 @@ words: the longest common subsequence, and for weaker matches whether the answer
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerline.llm.common import small_batches, store
@@ -93,6 +94,43 @@ def _ids(words: list[bytes], terms: dict[bytes, int]) -> np.ndarray:
     return np.fromiter(map(terms.get, words, repeat(-1)), dtype=np.int32, count=len(words))
 
 
+def term_finder(terms: dict[bytes, int]) -> Callable[[list[str | None]], list[np.ndarray]]:
+    """A function from texts to the numbers of their words, as ``_ids(words_of(text), terms)`` but with no object per word."""
+    known = pa.array(list(terms), pa.large_binary())
+    numbers = np.fromiter([*terms.values(), -1], np.int32, len(terms) + 1)
+
+    def find(texts: list[str | None]) -> list[np.ndarray]:
+        spaced = [(t or "").lower().encode("utf-8", "surrogatepass").translate(_SPACES) for t in texts]
+        data = b" ".join(spaced)
+        inside = np.zeros(len(data) + 2, dtype=bool)
+        inside[1:-1] = np.frombuffer(data, dtype=np.uint8) != 32
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, stops = edges[::2], edges[1::2]
+        offsets = np.zeros(len(starts) + 1, dtype=np.int64)
+        np.cumsum(stops - starts, out=offsets[1:])
+        letters = pa.py_buffer(data.translate(None, b" "))
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), letters])
+        place = pc.index_in(words, value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)
+        ends = np.cumsum([len(x) + 1 for x in spaced])
+        return np.split(numbers[place], np.searchsorted(starts, ends[:-1])) if texts else []
+
+    return find
+
+
+def _groups(batches: Iterator[pa.Array]) -> Iterator[list[str | None]]:
+    """The texts of all batches, in groups of a size to be worked on at once; no group is of two batches."""
+    for batch in batches:
+        group, held = [], 0
+        for text in (x.as_py() for x in batch):
+            group.append(text)
+            held += len(text or "")
+            if held > 600_000 or len(group) >= 2000:
+                yield group
+                group, held = [], 0
+        if group:
+            yield group
+
+
 def _blocks(ids: np.ndarray, size: int) -> list[np.ndarray]:
     """Windows of two blocks (one, if there are no more words)."""
     return [ids[a : a + 2 * size] for a in range(0, max(len(ids) - size, 1), size)]
@@ -105,14 +143,13 @@ def frequencies(docs: DataFrame, terms: dict[bytes, int]) -> tuple[np.ndarray, i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         sums = np.zeros(len(known) + 2, dtype=np.int64)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                words = words_of(text)
-                ids = _ids(words, known)
+        find = term_finder(known)
+        for group in _groups(b.column(0) for b in batches):
+            for ids in find(group):
                 seen = np.zeros(len(known) + 1, dtype=bool)
                 seen[ids] = True  # -1 falls on the last place
                 sums[:-2] += seen[:-1]
-                sums[-2:] += (1, len(words))
+                sums[-2:] += (1, len(ids))
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["place", "n"])
 
@@ -203,9 +240,10 @@ def moments(docs: DataFrame, terms: dict[bytes, int], idf: np.ndarray, settings:
                 cells, inverse = np.unique(cells, return_inverse=True)
                 yield from out(cells, np.bincount(inverse, weights=values, minlength=len(cells)))
 
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held += _blocks(_ids(words_of(text), known), block)
+        find = term_finder(known)
+        for group in _groups(b.column(0) for b in batches):
+            for ids in find(group):
+                held += _blocks(ids, block)
                 if len(held) >= _PASSAGES:
                     count += len(held)
                     yield from added()
@@ -393,12 +431,12 @@ def _with_block(df: DataFrame, items: DataFrame, settings: Settings, text: str,
     texts_only = df.select(F.col(text).cast("string").alias("text"))
     shared = spark.sparkContext.broadcast(latent_space(texts_only, items, settings))
 
-    def matches(texts: list[str | None], space: Space) -> list[list[dict]]:
-        words = [words_of(t) for t in texts]
+    def matches(texts: list[str | None], space: Space, ids: list[np.ndarray]) -> list[list[dict]]:
         near: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for k, item, window, cosine in near_windows([_ids(w, space.terms) for w in words], space, settings):
+        for k, item, window, cosine in near_windows(ids, space, settings):
             near.setdefault((k, item), []).append((window, cosine))
         rows: list[list[dict]] = [[] for _ in texts]
+        words = {k: words_of(texts[k]) for k in {k for k, _ in near}}
         for k, number in sorted(near):
             item = space.items[number]
             if found := verified(words[k], near[k, number], item, settings):
@@ -411,16 +449,11 @@ def _with_block(df: DataFrame, items: DataFrame, settings: Settings, text: str,
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         space = shared.value
+        find = term_finder(space.terms)
         for batch in batches:
-            rows, group, held = [], [], 0
-            for text_ in (x.as_py() for x in batch):
-                group.append(text_)
-                held += len(text_ or "")
-                if held > 600_000 or len(group) >= 2000:
-                    rows += matches(group, space) if space.items else [[] for _ in group]
-                    group, held = [], 0
-            if group:
-                rows += matches(group, space) if space.items else [[] for _ in group]
+            rows = []
+            for group in _groups(iter([batch])):
+                rows += matches(group, space, find(group)) if space.items else [[] for _ in group]
             yield pa.array(rows, type=pa.list_(_TYPE))
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}  # as objects: Spark reads them

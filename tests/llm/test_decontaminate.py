@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 from tests.llm.helpers import awkward, documents, empty
 
 from ledgerline.llm import decontaminate
@@ -149,3 +150,26 @@ def test_space_is_fitted_on_every_passage(spark):
     assert count == 25_001 and abs(found[0] + found[4] + found[8] - 25_001) < 1e-3
     assert abs(found[0] - 5000) < 1e-3 and abs(found[1] - 10_000) < 1e-3
     assert abs(found[5] - 0.4) < 1e-6 and abs(found[8] - 0.8) < 1e-6
+
+
+def test_terms_are_found_without_an_object_per_word():
+    """The numbers are those of the words one by one, whatever the texts; and no word becomes an object."""
+    texts = ["The cat, the CAT!", None, "", " \t", "ΑΣ Σίσυφος ΣΑΣ.", "İstanbul É é ß \x00 a\x00b x1", "no terms", "cat", "ΟΔΟΣ", "\U0001f600 cat"]
+    picked = sorted({w for t in texts for w in decontaminate.words_of(t)} - {b"no", b"x1"})
+    terms = {w: -1 if w == b"the" else k for k, w in enumerate(picked)}
+    for group in (texts, texts[::-1], [None], [""], ["cat"], []):
+        found = decontaminate.term_finder(terms)(group)
+        assert [f.tolist() for f in found] == [decontaminate._ids(decontaminate.words_of(t), terms).tolist() for t in group]
+    assert [f.tolist() for f in decontaminate.term_finder({})(["a b", None])] == [[-1, -1], []]
+
+
+def test_words_are_made_only_where_an_item_may_be(monkeypatch):
+    """Scans for frequencies and moments, and the search of texts without a near window, don't split texts into words."""
+    split = []
+    monkeypatch.setattr(decontaminate, "words_of", lambda text, of=decontaminate.words_of: split.append(text) or of(text))
+    item = "which river flows through the old town and reaches the northern sea by the great harbour"
+    batch = pa.RecordBatch.from_pydict({"text": ["unrelated lines of other things"] * 50})
+    terms = {w: k for k, w in enumerate(sorted(set(decontaminate.words_of(item))))}
+    split.clear()
+    found = [f for group in decontaminate._groups([batch.column(0)]) for f in decontaminate.term_finder(terms)(group)]
+    assert len(found) == 50 and not split
