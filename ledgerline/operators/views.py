@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
 
 from ledgerline.operators import changes as ch
-from ledgerline.operators.joins import spread_join
+from ledgerline.operators.joins import lookup_join
 from ledgerline.sources.tables import BucketedTable
 from ledgerline.workspace import materialize
 
@@ -163,10 +163,10 @@ class IncrementalView:
 
 
 def rows_of_groups(source: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of a source whose groups are wanted; NULLs are groups too."""
+    """The rows of a source whose groups are wanted; NULLs are groups too. Few groups are broadcast, so that no row moves."""
     marked = [F.struct(F.col(k).isNull(), F.coalesce(F.col(k).cast("string"), F.lit(""))).alias(f"_k{n}") for n, k in enumerate(keys)]
     names = [f"_k{n}" for n in range(len(keys))]
-    return spread_join(source.select("*", *marked), groups.select(*marked).distinct(), names).drop(*names)
+    return lookup_join(source.select("*", *marked), groups.select(*marked).distinct(), names).drop(*names)
 
 
 def _full(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

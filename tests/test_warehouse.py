@@ -495,3 +495,11 @@ def test_stored_progress_adds_up(spark, tmp_path):
     assert (total["batches"], total["rows"]) == (3, 50) and abs(total["rows_a_second"] - 50 / max(total["seconds"], 0.001)) < 1e-6
     ingest.run_stream(ingest.file_stream(spark, str(tmp_path / "in"), "id long"), str(tmp_path / "out2"), str(tmp_path / "cp2"))
     assert log.read().count() == 3  # no longer attached
+
+
+def test_rows_of_few_groups_are_found_without_a_shuffle_of_the_source(spark):
+    source = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("", 4), ("a", 5)], "g string, v int")
+    groups = spark.createDataFrame([("a",), (None,), ("a",)], "g string")
+    found = rows_of_groups(source, groups, ["g"])
+    assert sorted(r["v"] for r in found.collect()) == [1, 3, 5]
+    assert "strategy=broadcast" in found._jdf.queryExecution().optimizedPlan().toString()
