@@ -7,15 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
-from ledgerline.operators.ordered import GROUP_LIMIT, large_groups, with_stable_id
+from ledgerline.operators.ordered import GROUP_LIMIT, sized_groups, with_stable_id
 from ledgerline.workspace import materialize
 
 #: Bytes up to which a lookup side may be copied to every executor.
 BROADCAST_BYTES = 128 * 2**20
 #: Large keys that are collected and broadcast; more are stored and joined.
 HOT_KEYS = 10_000
-#: What rows may take in memory, against their size in a compressed columnar file.
-_UNPACKED = 8
+#: Left rows, and bytes of a stored right side by ``known_bytes``, that one task of a shuffle join is given to sort.
+JOIN_ROWS, JOIN_BYTES = 1_000_000, 2**31
+#: What rows may take in memory, against their size in a compressed columnar file: texts from a dictionary take much more.
+_UNPACKED = 64
+#: An estimate of as many bytes says that the optimizer knows no size.
+_NO_SIZE = 2**50
 _FIXED_WIDTH = (NumericType, BooleanType, DateType, TimestampNTZType, TimestampType)
 #: Plan nodes behind which the optimizer's size estimate may be too small.
 _GROWING = ("Generate", "MapIn", "FlatMap", "Expand", "Join", "Union", "Scalar", "Window")
@@ -27,7 +31,8 @@ def known_bytes(df: DataFrame) -> int | None:
     text = plan.toString()
     if any(node in text for node in _GROWING):
         return None
-    return int(str(plan.stats().sizeInBytes())) * _UNPACKED
+    size = int(str(plan.stats().sizeInBytes()))
+    return size * _UNPACKED if size < _NO_SIZE else None
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -44,6 +49,12 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return (df.agg(F.sum(width.cast("bigint"))).first()[0] or 0) <= max_bytes
 
 
+def _join_tasks(rows: int, right: DataFrame) -> int | None:
+    """How many tasks a shuffle join of about so many left rows needs; None where the session has as many."""
+    needed = -(-rows // JOIN_ROWS) + (known_bytes(right) or 0) // JOIN_BYTES
+    return needed if needed > int(right.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -58,19 +69,32 @@ def spread_join(
     A key with n > ``limit`` left rows is dealt to 2 n / limit salts by the number of the row, so equal rows spread too;
     the matching right rows are repeated once per salt. Rows with a NULL key match nothing and are dealt out likewise.
     All other keys keep salt 0, so the join stays one plain shuffle join for them. ``sized_by`` is a cheaper frame with
-    the same keys in about the same numbers, where ``left`` is itself the result of much work.
+    the same keys in about the same numbers, where ``left`` is itself the result of much work. Where the rows are too many
+    for the shuffle partitions of the session, there are more of them, so what a task sorts does not grow with the data.
     """
     if how not in ("inner", "left"):
         raise ValueError("spread_join supports inner and left joins")
     on = list(on)
-    large = large_groups(left if sized_by is None else sized_by, on, limit, "_n")
-    few = large.head(HOT_KEYS + 1)
+    sizes = sized_groups(left if sized_by is None else sized_by, on, limit)
+    found = sizes.head(HOT_KEYS + 2)
+    if len(found) > HOT_KEYS + 1:  # about (rows / limit) keys: more than the driver should hold
+        sizes = materialize(sizes, "hot-keys")
+        rows = sizes.agg(F.sum("_rows")).first()[0]
+    else:
+        rows = sum(r["_rows"] for r in found)
+    tasks = _join_tasks(rows, right)
+
+    def dealt(side: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return side.repartition(tasks, *keys) if tasks else side
+
+    few = [r for r in found if r["_key"] is not None]
     if not few:
-        return left.join(right, on, how)
+        return dealt(left, on).join(dealt(right, on), on, how)
     if len(few) <= HOT_KEYS:
-        hot = F.broadcast(left.sparkSession.createDataFrame(few, large.schema))
-    else:  # about (rows / limit) keys: more than the driver should hold
-        hot = materialize(large, "hot-keys")
+        hot = F.broadcast(left.sparkSession.createDataFrame(few, sizes.schema))
+    else:
+        hot = sizes.filter(F.col("_key").isNotNull())
+    hot = hot.select("_key.*", F.col("_rows").alias("_n"))
     hot = hot.select(*[F.col(c).alias(f"_hot_{c}") for c in on], F.ceil(F.col("_n") * 2 / limit).cast("int").alias("_salts"))
 
     def marked(side: DataFrame) -> DataFrame:
@@ -87,7 +111,9 @@ def spread_join(
     for c in on:
         usable &= F.col(c).isNotNull()
     salted_right = marked(right.filter(usable)).withColumn("_salt", F.explode(salts))
-    return salted_left.drop("_salts", "_row").join(salted_right.drop("_salts"), [*on, "_salt"], how).drop("_salt")
+    salted = [*on, "_salt"]
+    left, right = dealt(salted_left.drop("_salts", "_row"), salted), dealt(salted_right.drop("_salts"), salted)
+    return left.join(right, salted, how).drop("_salt")
 
 
 def lookup_join(

@@ -40,6 +40,19 @@ def large_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT, r
     return large.select(*keys, *([(F.col("_n") / fraction).cast("bigint").alias(rows)] if rows else []))
 
 
+def sized_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame:
+    """Large keys as ``_key`` with about how many rows they have, ``_rows``; all others together are the row of no key.
+
+    The sample of ``large_groups`` in one pass that also tells about how many rows there are.
+    """
+    fraction = min(1.0, _SEEN / limit)
+    seen = df.select(*keys)
+    seen = seen.sample(fraction=fraction, seed=11) if fraction < 1.0 else seen
+    sizes = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    key = F.when(F.col("_n") > limit * fraction, F.struct(*keys)).alias("_key")
+    return sizes.groupBy(key).agg((F.sum("_n") / fraction).cast("bigint").alias("_rows"))
+
+
 def has_large_group(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> bool:
     return not large_groups(df, keys, limit).isEmpty()
 

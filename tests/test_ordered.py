@@ -1,6 +1,9 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.operators import joins
 from ledgerline.operators.joins import fits_broadcast, lookup_join, spread_join
 from ledgerline.operators.ordered import has_large_group, large_groups, ordered_columns
 from tests.conftest import rows
@@ -86,3 +89,29 @@ def test_equal_rows_and_null_keys_spread(spark, how):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert rows(joined) == rows(left.join(right, ["k"], how))
     assert max(sizes) < 0.6 * sum(sizes) and len(sizes) > 2
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_tasks_of_a_shuffle_join_grow_with_its_rows(spark, monkeypatch, how):
+    """However few shuffle partitions the session has, a task sorts about ``JOIN_ROWS`` rows."""
+    monkeypatch.setattr(joins, "JOIN_ROWS", 100)
+    spread = spark.range(6000).select((F.col("id") % 1500).alias("k"), F.col("id").alias("v"))
+    hot = spark.range(6000, 9000).select(F.lit(7).cast("long").alias("k"), F.col("id").alias("v"))
+    right = spark.range(0, 1500, 2).select(F.col("id").alias("k"), (F.col("id") * 3).alias("w"))
+    for left, limit in ((spread, 10_000), (spread.unionByName(hot), 1000)):
+        plain = sorted(left.join(right, "k", how).collect(), key=str)
+        joined = spread_join(left, right, ["k"], how, limit=limit)
+        assert sorted(joined.collect(), key=str) == plain
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        counts = [int(n) for n in re.findall(r"hashpartitioning\(k#\d+L[^)]*, (\d+)\), REPARTITION_BY_NUM", plan)]
+        assert counts and min(counts) >= left.count() // 100 * 0.8, plan
+
+
+def test_copies_of_few_texts_are_measured_before_a_broadcast(spark, tmp_path):
+    """A dictionary makes the file more than 8 times smaller than its rows; the size of the file must not pass for theirs."""
+    parts = spark.range(400_000).select(F.col("id").alias("k"), F.concat(F.lit("x" * 60), F.col("id") % 3).alias("kind"))
+    parts.coalesce(1).write.parquet(str(tmp_path / "parts"))
+    stored = spark.read.parquet(str(tmp_path / "parts"))
+    size = sum(f.stat().st_size for f in (tmp_path / "parts").glob("*.parquet"))
+    assert 400_000 * 60 > 8 * size
+    assert not fits_broadcast(stored, max_bytes=400_000 * 60)
