@@ -23,6 +23,8 @@ class ChangeTable(BucketedTable):
     reader. Rows with a NULL key never reach the table (they are set aside).
     """
 
+    amends = False
+
     def __init__(
         self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 64,
         visible: Callable[[DataFrame], DataFrame] = lambda rows: rows,

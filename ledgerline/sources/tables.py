@@ -7,11 +7,15 @@ see half a table and a failed write leaves the old state in place.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 _MARKER = "_COMMITTED"
+#: Amended versions of a bucket that a reader puts together at most.
+_MOST_AMENDED = 64
 
 
 class _Files:
@@ -144,8 +148,14 @@ class BucketedTable:
     caller wants to do only once (a micro-batch of a stream) it names by a token, which the marker of the version keeps.
     So a repeated batch is known, whichever stream, restart or checkpoint it comes from, and a new one never looks like
     an old one. One writer at a time. Choose ``buckets`` so that one holds a few hundred MB: a changed row rewrites it.
+
+    ``amend`` writes only the rows of some keys, beside those stored, and from where on their stored rows have gone. Readers
+    put both together; the next ``replace`` or ``compact`` of a bucket folds what was amended.
     """
 
+    #: Whether ``amend`` may be used; not where commits are compared with the rows that they replace.
+    amends = True
+
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 64):
         self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
         self._files = _Files(spark, self.root)
@@ -153,6 +163,15 @@ class BucketedTable:
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
+    def span(self, changes: DataFrame) -> tuple[list[int], Column]:
+        """Buckets that occur in ``changes``, and between what its keys lie: other row groups of a scan are skipped."""
+        ends = [F.struct(F.min(k).alias("low"), F.max(k).alias("high")).alias(f"_{i}") for i, k in enumerate(self.keys)]
+        found = changes.agg(F.collect_set(self.bucket()).alias("_buckets"), *ends).first()
+        within = F.lit(True)
+        for i, k in enumerate(self.keys):
+            within &= F.col(k).between(F.lit(found[f"_{i}"]["low"]), F.lit(found[f"_{i}"]["high"]))
+        return sorted(found["_buckets"]), within
+
     def touched(self, changes: DataFrame) -> list[int]:
         """Buckets that occur in ``changes``; at most ``buckets`` numbers."""
         return [r[0] for r in changes.select(self.bucket().alias("b")).distinct().collect()]
@@ -161,31 +180,103 @@ class BucketedTable:
         """Whether a complete version was written under this token."""
         return bool(self._files.glob(f"{self.root}/v=*/{_MARKER}.{token}"))
 
-    def _committed(self) -> dict[int, list[int]]:
+    def _committed(self, kind: str = "_BUCKETS") -> dict[int, list[int]]:
         """Buckets of each complete version, from the names of its index files: one listing, however many buckets."""
         found: dict[int, list[int]] = {}
-        for path in self._files.glob(f"{self.root}/v=*/_BUCKETS.*"):
+        for path in self._files.glob(f"{self.root}/v=*/{kind}.*"):
             version, index = path.split("/")[-2:]
             found.setdefault(int(version.removeprefix("v=")), []).extend(_numbers(index))
         done = {int(p.split("/")[-2].removeprefix("v=")) for p in self._files.glob(f"{self.root}/v=*/{_MARKER}.*")}
         return {v: held for v, held in found.items() if v in done}
 
-    def read(self, buckets: Iterable[int] | None = None) -> DataFrame | None:
-        """Current rows of all or some buckets; None while there are none."""
-        wanted = None if buckets is None else set(buckets)
+    def _current(self, wanted: set[int] | None = None) -> tuple[dict[int, int], list[tuple[int, int]]]:
+        """The newest version that holds each bucket whole, and (version, bucket) of what was amended after it."""
         newest: dict[int, int] = {}
         for version, held in sorted(self._committed().items()):
             newest |= {b: version for b in held if wanted is None or b in wanted}
-        paths = [f"{self.root}/v={v}/bucket={b}" for b, v in newest.items()]
-        paths = [p for p in paths if self._files.exists(p)]
+        amended = [
+            (version, b) for version, held in sorted(self._committed("_AMENDED").items()) for b in held
+            if (wanted is None or b in wanted) and version > newest.get(b, 0)
+        ]
+        return newest, amended
+
+    def read(
+        self, buckets: Iterable[int] | None = None, only: DataFrame | None = None, within: Column | None = None
+    ) -> DataFrame | None:
+        """Current rows of all or some buckets; None while there are none.
+
+        ``only`` are the keys whose rows are wanted, ``within`` what is known of them; that reaches the scan.
+        """
+        newest, amended = self._current(None if buckets is None else set(buckets))
+        held = [(v, b) for b, v in newest.items()]
+        paths = self._stored([*held, *amended], "bucket")
         if not paths:
             return None
-        return self.spark.read.parquet(*paths)
+
+        def chosen(part: DataFrame) -> DataFrame:
+            part = part if within is None else part.filter(within)
+            return part if only is None else part.join(only.select(*self.keys), self.keys, "left_semi")
+
+        if not amended:
+            return chosen(self.spark.read.parquet(*paths))
+        return self._without_gone(chosen(self._numbered(paths)), amended, chosen)
+
+    def _stored(self, places: Sequence[tuple[int, int]], folder: str) -> list[str]:
+        """Folders that exist among those of (version, bucket)."""
+        found = {tuple(p.split("/v=")[-1].split(f"/{folder}=")) for p in self._files.glob(f"{self.root}/v=*/{folder}=*")}
+        return [f"{self.root}/v={v}/{folder}={b}" for v, b in places if (str(v), str(b)) in found]
+
+    def _numbered(self, paths: Sequence[str]) -> DataFrame:
+        """Stored rows with the version that amended them; those of a whole bucket have none."""
+        schema = self.spark.read.parquet(paths[-1]).schema
+        schema = schema if "__VERSION" in schema.names else StructType([*schema.fields]).add("__VERSION", "integer")
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def _without_gone(
+        self, rows: DataFrame, amended: Sequence[tuple[int, int]], chosen: Callable[[DataFrame], DataFrame]
+    ) -> DataFrame:
+        """Leave out the rows that a later version has replaced: the key and the place from which on they have gone say which."""
+        gone = chosen(self.spark.read.parquet(*self._stored(amended, "_gone/bucket")))
+        start = next(c for c in gone.columns if c not in (*self.keys, "__VERSION"))
+        gone = gone.select([F.col(c).alias(f"_gone_{c}") for c in gone.columns])
+        match = (F.col("_gone___VERSION") > F.coalesce("__VERSION", F.lit(0))) & (F.col(start) >= F.col(f"_gone_{start}"))
+        for k in self.keys:
+            match &= F.col(k) == F.col(f"_gone_{k}")
+        return rows.join(gone, match, "left_anti").drop("__VERSION")
+
+    def amend(self, rows: DataFrame, gone: DataFrame, token: str, buckets: Iterable[int]) -> int:
+        """Write new rows of some keys as the next version and leave the stored rows of their buckets where they are.
+
+        ``gone`` has the keys and one more column of ``rows``: stored rows of the key from this value on have gone.
+        """
+        version = self._next_version()
+        target = f"{self.root}/v={version}"
+        for part, path in ((rows, target), (gone, f"{target}/_gone")):
+            placed = part.withColumns({"__VERSION": F.lit(version), "bucket": self.bucket()}).hint("rebalance", "bucket")
+            placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        for name in _index_names(buckets):
+            self._files.touch(f"{target}/{name.replace('_BUCKETS', '_AMENDED')}")
+        self._files.touch(f"{target}/{_MARKER}.{token}")
+        return version
+
+    def fold_due(self, buckets: Iterable[int]) -> bool:
+        """Whether an update should rewrite these buckets rather than amend them.
+
+        Twice as many versions pass from one fold to the next, so all folds together write a few times the table; readers
+        put at most ``_MOST_AMENDED`` versions together.
+        """
+        wanted = set(buckets)
+        newest, amended = self._current(wanted)
+        counts = Counter(b for _, b in amended)
+        return not self.amends or any(n >= min(max(4, newest.get(b, 0)), _MOST_AMENDED) for b, n in counts.items())
+
+    def _next_version(self) -> int:
+        known = [int(p.split("=")[-1]) for p in self._files.glob(f"{self.root}/v=*")]
+        return max(known, default=0) + 1  # also beyond unfinished ones
 
     def replace(self, rows: DataFrame, token: str, buckets: Iterable[int]) -> int:
         """Write the complete new rows of ``buckets`` as the next version. A bucket without rows becomes empty."""
-        known = [int(p.split("=")[-1]) for p in self._files.glob(f"{self.root}/v=*")]
-        version = max(known, default=0) + 1  # also beyond unfinished ones
+        version = self._next_version()
         target = f"{self.root}/v={version}"
         # The rebalance hint lets adaptive execution split a large bucket over tasks.
         placed = rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket")
@@ -214,15 +305,13 @@ class BucketedTable:
 
         Older versions stay for readers that began with them. Nothing is done if one version holds everything already.
         """
-        newest: dict[int, int] = {}
-        for version, held in sorted(self._committed().items()):
-            newest |= {b: version for b in held}
-        if self.has(token) or len(set(newest.values())) <= 1:
+        newest, amended = self._current()
+        if self.has(token) or (len(set(newest.values())) <= 1 and not amended):
             return None
         rows = self.read()
         if rows is None:
             return None
-        return BucketedTable.replace(self, rows, token, list(newest))
+        return BucketedTable.replace(self, rows, token, sorted({*newest, *(b for _, b in amended)}))
 
     def set_aside(self, rows: DataFrame, token: str) -> None:
         """Keep rows that cannot be applied (NULL key or sequence), once per token."""
@@ -295,11 +384,15 @@ class BucketedLog:
         base, others = [p for p in self._parts() if "/base=" in p], [p for p in self._parts() if "/base=" not in p]
         return [(p, [p]) for p in base] + ([(self.root, others)] if others else [])
 
-    def read(self, buckets: Iterable[int], since: Column | None = None) -> DataFrame:
-        """Changes of some buckets, from those that ``since`` selects; both reach the scan."""
+    def read(self, buckets: Iterable[int], since: Column | None = None, schema: StructType | None = None) -> DataFrame:
+        """Changes of some buckets, from those that ``since`` selects; both reach the scan. With ``schema``, that of the
+        changes, no file is opened to find it."""
         log = None
         for base_path, folders in self._grouped():
-            part = self.spark.read.option("basePath", base_path).parquet(*folders).filter(F.col("bucket").isin(*buckets)).drop("batch", "bucket")
+            reader = self.spark.read.option("basePath", base_path)
+            if schema is not None:
+                reader = reader.schema(StructType([*schema.fields]).add("batch", "string").add("bucket", "integer"))
+            part = reader.parquet(*folders).filter(F.col("bucket").isin(*buckets)).drop("batch", "bucket")
             log = part if log is None else log.unionByName(part)
         if log is None:
             raise FileNotFoundError(f"no log under {self.root}")

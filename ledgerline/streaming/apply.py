@@ -103,7 +103,8 @@ def apply_scd2(
 ) -> None:
     """Keep versions per key. All changes stay in ``log``, so late changes fall into
     their place. Only the tail of a key that its earliest news can affect is rebuilt;
-    versions before it are kept, however long the history of the key is. Of the log only
+    versions before it are kept, however long the history of the key is. Tails are written beside
+    the table (``BucketedTable.amend``), which is rewritten ever more seldom as it grows. Of the log only
     changes from the earliest of these tails on are read. Rows with a NULL key or sequence
     go to ``target.quarantined()``. With ``compact_every`` the log and the table are folded after so many
     batches, so that a reader opens a bounded number of folders however long the stream has run."""
@@ -120,23 +121,29 @@ def apply_scd2(
             ),
             "scd2-news",
         )
-        if news.isEmpty():
+        first = materialize(news.groupBy(*keys).agg(F.min(ch.START).alias("_cut")), "scd2-keys")
+        buckets, within = target.span(first)
+        if not buckets:
             return
         log.append(news, token)
-        first = materialize(news.groupBy(*keys).agg(F.min(ch.START).alias("_cut")), "scd2-keys")
-        buckets = target.touched(first)
         small = fits_broadcast(first)
-        before = target.read(buckets)
+        fold = target.fold_due(buckets)
+        wanted = F.broadcast(first) if small else first
+        before = target.read(buckets) if fold else target.read(buckets, wanted, within)
         cuts = first if before is None else materialize(_tails(before, first, keys, small), "scd2-cuts")
         earliest = cuts.agg(F.min("_cut")).first()[0]
-        changes = log.read(buckets, F.col(ch.START) >= F.lit(earliest))
+        changes = log.read(buckets, within & (F.col(ch.START) >= F.lit(earliest)), news.schema)
         tail = lookup_join(changes, cuts, keys, small=small).filter(F.col(ch.START) >= F.col("_cut"))
-        rows = ch.scd2_history(tail.drop("_cut"), keys, track_except=track_except)
-        if before is not None:
+        # Stored, as its groups are measured first: the log is read once.
+        rows = ch.scd2_history(materialize(tail.drop("_cut"), "scd2-tail"), keys, track_except=track_except)
+        if before is None:
+            target.replace(rows, token, buckets)
+        elif fold:
             marked = lookup_join(before, cuts, keys, "left", small=small)
             kept = marked.filter(F.col("_cut").isNull() | (F.col(ch.START) < F.col("_cut"))).drop("_cut")
-            rows = rows.unionByName(kept)
-        target.replace(rows, token, buckets)
+            target.replace(rows.unionByName(kept), token, buckets)
+        else:
+            target.amend(rows, cuts.withColumnRenamed("_cut", ch.START), token, buckets)
         if compact_every and batch_id % compact_every == compact_every - 1:
             log.compact()
             target.compact(f"{token}-compact")

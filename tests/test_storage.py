@@ -222,6 +222,34 @@ def test_random_late_batches_give_the_batch_history(spark, tmp_path, seed):
     assert rows(table.read().select(columns)) == rows(batch.select(columns))
 
 
+def test_batches_write_only_what_their_keys_change(spark, tmp_path):
+    """Untouched rows stay where they are; folds and readers put the parts together, deletes and late rows included."""
+    source = random.Random(5)
+    data = [(f"k{i % 40:02}", i, source.choice("xyz"), "D" if source.random() < 0.15 else "U") for i in range(400)]
+    late = data[:200]
+    source.shuffle(late)
+    lots = [late] + [[r for r in data[200:] if r[0] in (f"k{n:02}", f"k{n + 20:02}")] for n in range(6)]
+    land(spark, tmp_path / "in", lots)
+    table = tables.BucketedTable(spark, str(tmp_path / "t"), ["k"], buckets=2)
+    log = tables.BucketedLog(spark, str(tmp_path / "log"), table)
+    form = dict(except_columns=["seq", "op"])
+    stream = ingest.file_stream(spark, str(tmp_path / "in"), EVENTS, max_files=1)
+    apply.apply_scd2(stream, table, log, str(tmp_path / "cp"), ["seq"], delete_when=F.col("op") == "D", **form)
+    whole = spark.createDataFrame([r for lot in lots for r in lot], EVENTS)
+    columns = ["k", "v", ch.START, ch.END]
+    wanted = rows(ch.scd2_history(
+        ch.scd2_log(whole, ["k"], ["seq"], delete_when=F.col("op") == "D", **form), ["k"]).select(columns))
+    assert rows(table.read().select(columns)) == wanted
+    assert table.read().columns == columns
+    some = spark.createDataFrame([("k03",), ("k23",), ("none",)], "k string")
+    assert rows(table.read(only=some, within=F.col("k") < "k2").select(columns)) == [r for r in wanted if r[0] == "k03"]
+    sizes = [table._at(v).select("k").distinct().count() for v in range(1, 8)]
+    assert sizes[0] == sizes[5] == 40 and max(sizes[1:5] + sizes[6:]) <= 2  # one fold on the way
+    table.compact("fold")
+    assert rows(table.read().select(columns)) == wanted and not table._current()[1]
+    assert table.compact("again") is None
+
+
 def test_bucket_that_becomes_empty(spark, tmp_path):
     table = tables.BucketedTable(spark, str(tmp_path / "t"), ["k"], buckets=1)
     table.replace(spark.createDataFrame([("a", 1)], "k string, v int"), "one", [0])
