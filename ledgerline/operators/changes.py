@@ -175,14 +175,12 @@ def scd2_history(
     payload = _others(log, [*keys, START, SEQUENCE, DELETED])
     tracked = _others(log, [*keys, START, SEQUENCE, DELETED, *track_except])
     content = [*payload, DELETED]
-    if split is None:
-        split = has_large_group(log, keys, limit)  # counts copies too, so it errs on the safe side
-    if not split:
-        log = log.repartition(*keys)  # every step works within a key: its rows move and are sorted once
     # Copies and same-instant changes disappear here, before any ordered step.
     single = log.groupBy(*keys, START).agg(
         F.max_by(F.struct(*content), _newest_first(content, F.col(SEQUENCE))).alias("_c")
     ).select(*keys, START, "_c.*")
+    if split is None:
+        split = has_large_group(log, keys, limit)  # counts copies too, so it errs on the safe side
 
     mark = F.struct(F.col(DELETED), *[F.when(~F.col(DELETED), F.col(c)).alias(c) for c in tracked])
     marked = ordered_columns(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerline.operators import changes as ch
 from ledgerline.operators.joins import fits_broadcast, lookup_join
+from ledgerline.operators.ordered import has_large_group
 from ledgerline.operators.views import IncrementalView
 from ledgerline.sources.tables import BucketedLog, BucketedTable
 from ledgerline.streaming.ingest import run_batches
@@ -135,7 +136,10 @@ def apply_scd2(
         changes = log.read(buckets, within & (F.col(ch.START) >= F.lit(earliest)), news.schema)
         tail = lookup_join(changes, cuts, keys, small=small).filter(F.col(ch.START) >= F.col("_cut"))
         # Stored, as its groups are measured first: the log is read once.
-        rows = ch.scd2_history(materialize(tail.drop("_cut"), "scd2-tail"), keys, track_except=track_except)
+        tail = materialize(tail.drop("_cut"), "scd2-tail")
+        split = has_large_group(tail, keys)
+        # Where no key is large every step works within a key: rows move and are sorted once.
+        rows = ch.scd2_history(tail if split else tail.repartition(*keys), keys, track_except=track_except, split=split)
         if before is None:
             target.replace(rows, token, buckets)
         elif fold:
