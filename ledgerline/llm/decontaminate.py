@@ -196,6 +196,8 @@ def _product(rows: list[np.ndarray], idf: np.ndarray, right: np.ndarray, scale:
 #: Words of a benchmark up to which a task adds up the moments in one dense matrix, and passages taken at a time.
 _DENSE_TERMS = 2896
 _PASSAGES = 8192
+#: With more words, cells that a task holds at most before it adds up equal ones: 48 MB, some three times that while it does.
+_CELLS = 3_000_000
 #: Moments are added as whole numbers, so that sums do not depend on the order of tasks.
 _UNIT = float(1 << 32)
 
@@ -215,10 +217,21 @@ def _pair_moments(rows: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray,
     return term[left] * len(idf) + term[right], value[left] * value[right]
 
 
-def moments(docs: DataFrame, terms: dict[bytes, int], idf: np.ndarray, settings: Settings) -> tuple[DataFrame, int]:
-    """The upper half of A.T @ A over all passages of ``docs`` (``text``), stored as ``cell``, ``weight``; and their number."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((terms, idf))
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Each cell once, ascending, with the sum of its weights; each part is ascending."""
+    cells, weights = (np.concatenate([part[k] for part in parts]) for k in range(2))
+    order = np.argsort(cells, kind="stable")  # merges the parts
+    cells = cells[order]
+    starts = np.flatnonzero(np.diff(cells, prepend=-1))
+    return cells[starts], np.add.reduceat(weights[order], starts)
+
+
+def moment_rows(docs: DataFrame, terms: dict[bytes, int], idf: np.ndarray, settings: Settings) -> DataFrame:
+    """``cell``, ``weight``: summands of the upper half of A.T @ A over all passages of ``docs`` (``text``), -1 their number.
+
+    A task gives each cell once as long as it meets at most half of ``_CELLS`` different ones, else once for each such lot.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((terms, idf))
     block = settings.block
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,19 +239,27 @@ def moments(docs: DataFrame, terms: dict[bytes, int], idf: np.ndarray, settings:
         size = len(weights)
         dense = np.zeros(size * size) if size <= _DENSE_TERMS else None
         count, held = 0, []
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def whole(values: np.ndarray) -> np.ndarray:
+            return np.rint(values * _UNIT).astype(np.int64)
 
-        def out(cells: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def out(cells: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
             for a in range(0, len(cells), 250_000):
-                part = np.rint(values[a : a + 250_000] * _UNIT).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(cells[a : a + 250_000]), pa.array(part)], names=["cell", "weight"])
+                part = [pa.array(x[a : a + 250_000]) for x in (cells, sums)]
+                yield pa.RecordBatch.from_arrays(part, names=["cell", "weight"])
 
         def added() -> Iterator[pa.RecordBatch]:
             cells, values = _pair_moments(held, weights)
             if dense is not None:
                 np.add.at(dense, cells, values)
-            else:
-                cells, inverse = np.unique(cells, return_inverse=True)
-                yield from out(cells, np.bincount(inverse, weights=values, minlength=len(cells)))
+                return
+            cells, inverse = np.unique(cells, return_inverse=True)
+            parts.append((cells, whole(np.bincount(inverse, weights=values, minlength=len(cells)))))
+            if sum(len(part) for part, _ in parts) > _CELLS:
+                parts[:] = [_summed(parts)]
+                if len(parts[0][0]) > _CELLS // 2:
+                    yield from out(*parts.pop())
 
         find = term_finder(known)
         for group in _groups(b.column(0) for b in batches):
@@ -253,11 +274,19 @@ def moments(docs: DataFrame, terms: dict[bytes, int], idf: np.ndarray, settings:
             yield from added()
         if dense is not None:
             at = np.flatnonzero(dense)
-            yield from out(at, dense[at])
+            yield from out(at, whole(dense[at]))
+        if parts:
+            yield from out(*_summed(parts))
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([count], pa.int64())], names=["cell", "weight"])
 
+    return docs.select("text").mapInArrow(run, "cell long, weight long")
+
+
+def moments(docs: DataFrame, terms: dict[bytes, int], idf: np.ndarray, settings: Settings) -> tuple[DataFrame, int]:
+    """The upper half of A.T @ A over all passages of ``docs`` (``text``), stored as ``cell``, ``weight``; and their number."""
     # A task gives up to all cells, so there are as many tasks as cores, each with many files.
-    rows = docs.select("text").coalesce(spark.sparkContext.defaultParallelism).mapInArrow(run, "cell long, weight long")
+    tasks = docs.sparkSession.sparkContext.defaultParallelism
+    rows = moment_rows(docs.select("text").coalesce(tasks), terms, idf, settings)
     stored = store(rows.groupBy("cell").agg(F.sum("weight").alias("weight")), "passage-moments")
     count = stored.where("cell = -1").first()
     return stored.where("cell >= 0"), count.weight if count else 0

@@ -152,6 +152,33 @@ def test_space_is_fitted_on_every_passage(spark):
     assert abs(found[5] - 0.4) < 1e-6 and abs(found[8] - 0.8) < 1e-6
 
 
+def test_a_task_gives_each_moment_once(spark, monkeypatch):
+    """Beyond the words of a dense matrix, passages that come in several lots are added up in the task; sums are as in one."""
+    import numpy as np
+
+    terms = {f"w{k}".encode(): k for k in range(decontaminate._DENSE_TERMS + 1)}
+    idf = 1 + np.arange(len(terms)) % 7 / 7
+    texts = spark.range(0, 3 * decontaminate._PASSAGES, 1, 1).selectExpr("concat('w', id % 90, ' other w', id % 35, ' w2000') AS text")
+    rows = [(r["cell"], r["weight"]) for r in decontaminate.moment_rows(texts, terms, idf, decontaminate.Settings()).collect()]
+    assert len(rows) == len({cell for cell, _ in rows})
+    cells, count = decontaminate.moments(texts, terms, idf, decontaminate.Settings())
+    assert dict(rows) == {-1: count} | {r["cell"]: r["weight"] for r in cells.collect()} and count == 3 * decontaminate._PASSAGES
+    norm = [decontaminate._tf([decontaminate._ids(f"w{k % 90} w{k % 35} w2000".encode().split(), terms)], idf) for k in range(630)]
+    weights = [np.bincount(ids, weights=weight, minlength=len(terms)) for _, ids, weight in norm]
+    one = np.array([w[[0, 5, 2000]] / np.linalg.norm(w) for w in weights])[np.arange(count) % 630]
+    found = {cell: weight / 2**32 for cell, weight in rows}
+    for (a, i), (b, j) in [((0, 0), (0, 0)), ((0, 0), (5, 1)), ((5, 1), (2000, 2)), ((2000, 2), (2000, 2))]:
+        assert abs(found.get(a * len(terms) + b, 0) - (one[:, i] * one[:, j]).sum()) < 1e-3
+
+    monkeypatch.setattr(decontaminate, "_CELLS", 300)  # the task gives what it holds several times
+    lots = decontaminate.moment_rows(texts, terms, idf, decontaminate.Settings())
+    assert lots.count() > len(rows) and dict(lots.groupBy("cell").sum("weight").collect()) == dict(rows)
+
+    parts = [(np.array([1, 4, 9]), np.array([1, 2, 3])), (np.array([4, 9]), np.array([2**53, 1])), (np.zeros(0, int), np.zeros(0, int))]
+    assert [x.tolist() for x in decontaminate._summed(parts)] == [[1, 4, 9], [1, 2**53 + 2, 4]]
+    assert [x.tolist() for x in decontaminate._summed(parts[2:])] == [[], []]
+
+
 def test_terms_are_found_without_an_object_per_word():
     """The numbers are those of the words one by one, whatever the texts; and no word becomes an object."""
     texts = ["The cat, the CAT!", None, "", " \t", "ΑΣ Σίσυφος ΣΑΣ.", "İstanbul É é ß \x00 a\x00b x1", "no terms", "cat", "ΟΔΟΣ", "\U0001f600 cat"]
